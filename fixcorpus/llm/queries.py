@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import capping, components, nearedit
+from . import capping, components, nearedit, truncation
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,4 +40,18 @@ def p4_by_year(spark: SparkSession, d: str) -> DataFrame:
     return kept.groupBy("contributor", "stratum").agg(F.count("*").alias("n_rows"), F.count_if("kept").alias("n_kept"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_groups, p3_found, p3_group_sizes, p4_found, p4_by_year)}
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.cut_values(read(spark, d, "wallet_vulns"))[0].select("id", "field_name").distinct()
+
+
+def p6_rates(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.cut_rates(read(spark, d, "wallet_vulns"))
+
+
+def p6_limits(spark: SparkSession, d: str) -> DataFrame:
+    limits = truncation.cut_values(read(spark, d, "wallet_vulns"))[1]
+    names = F.array(*[F.lit(m) for m in truncation.MEASURES])
+    return limits.select("field_name", F.element_at(names, (F.col("measure") + 1).cast("int")).alias("measure"), "length", "n")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_groups, p3_found, p3_group_sizes, p4_found, p4_by_year, p6_found, p6_rates, p6_limits)}
