@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import capping, components, nearedit, truncation
+from . import capping, components, mojibake, nearedit, truncation
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,4 +54,12 @@ def p6_limits(spark: SparkSession, d: str) -> DataFrame:
     return limits.select("field_name", F.element_at(names, (F.col("measure") + 1).cast("int")).alias("measure"), "length", "n")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_groups, p3_found, p3_group_sizes, p4_found, p4_by_year, p6_found, p6_rates, p6_limits)}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return mojibake.restore(read(spark, d, "documents")).select("doc_id").distinct()
+
+
+def p10_restored(spark: SparkSession, d: str) -> DataFrame:
+    return mojibake.restore(read(spark, d, "documents")).select("doc_id", "chains", "text")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_groups, p3_found, p3_group_sizes, p4_found, p4_by_year, p6_found, p6_rates, p6_limits, p10_found, p10_restored)}
