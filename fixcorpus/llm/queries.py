@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import capping, components, mojibake, nearedit, truncation
+from . import capping, components, mixing, mojibake, nearedit, packing, truncation
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,22 @@ def p6_limits(spark: SparkSession, d: str) -> DataFrame:
     return limits.select("field_name", F.element_at(names, (F.col("measure") + 1).cast("int")).alias("measure"), "length", "n")
 
 
+def p8_sequences(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(read(spark, d, "documents"))
+
+
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    return packing.packing_report(read(spark, d, "documents"))
+
+
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix_sources(read(spark, d, "documents"), read(spark, d, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix_report(read(spark, d, "documents"), read(spark, d, "mix_targets"))
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return mojibake.restore(read(spark, d, "documents")).select("doc_id").distinct()
 
@@ -62,4 +78,4 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
     return mojibake.restore(read(spark, d, "documents")).select("doc_id", "chains", "text")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_groups, p3_found, p3_group_sizes, p4_found, p4_by_year, p6_found, p6_rates, p6_limits, p10_found, p10_restored)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_groups, p3_found, p3_group_sizes, p4_found, p4_by_year, p6_found, p6_rates, p6_limits, p8_sequences, p8_report, p9_mix, p9_shares, p10_found, p10_restored)}
