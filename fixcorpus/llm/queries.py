@@ -7,12 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import capping, components, mixing, mojibake, nearedit, packing, truncation
+from . import capping, components, mixing, mojibake, nearedit, packing, secrets, truncation
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    found = secrets.secret_values(read(spark, d, "wallet_vulns")).filter("file_path is not null and id is not null")
+    return found.select("id", "field_name", "file_path").distinct()
+
+
+def p1_masked(spark: SparkSession, d: str) -> DataFrame:
+    return secrets.redact_code(read(spark, d, "wallet_vulns"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return nearedit.near_pairs(read(spark, d, "wallet_vulns"))
 
@@ -78,4 +87,4 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
     return mojibake.restore(read(spark, d, "documents")).select("doc_id", "chains", "text")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p2_found, p2_groups, p3_found, p3_group_sizes, p4_found, p4_by_year, p6_found, p6_rates, p6_limits, p8_sequences, p8_report, p9_mix, p9_shares, p10_found, p10_restored)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_masked, p2_found, p2_groups, p3_found, p3_group_sizes, p4_found, p4_by_year, p6_found, p6_rates, p6_limits, p8_sequences, p8_report, p9_mix, p9_shares, p10_found, p10_restored)}
