@@ -6,10 +6,10 @@ selects, so that similar sets end in the same bucket; buckets of at most
 ``BUCKET`` records are compared by brute force, larger ones are split again on
 further tokens, and runs are repeated until the target recall.
 
-The first two splits depend on nothing but the record and are made where it
-lies. Records with the same set are one class, named by a hash of the set, so
-exact copies meet once in a bucket whatever their number. Bucket rows carry a
-128-bit minwise sketch; pairs whose sketches rule the threshold out are not
+The first two splits depend on nothing but the record and the run and are made
+where it lies. Records with the same set are one class, named by a hash of the
+set, so exact copies meet once in a bucket whatever their number. Bucket rows
+carry a minwise sketch of 256 bits; pairs whose sketches rule the threshold out are not
 checked further. Remaining pairs are verified on the sets themselves.
 """
 
@@ -31,13 +31,18 @@ WORDS = 3
 MIN_DESCRIPTION_WORDS = 30
 TARGET_RECALL = 0.999
 #: Largest bucket compared by brute force; larger ones are split.
-BUCKET = 64
+BUCKET = 512
 #: Tokens a record is expected to follow per split, in the map stage and in later splits.
-BRANCH, LATER_BRANCH = 1.0, 4.0
+BRANCH, LATER_BRANCH = 1.25, 4.0
 MAX_SPLITS = 6
 #: Copies of one set up to this number are listed as all their pairs, above it as pairs with the class's first record.
 COPIES_AS_PAIRS = 200
-SKETCH_BITS = 128
+#: Positions of a sketch, of two bits each.
+SKETCH = 128
+COLUMNS = SKETCH // 32
+SKETCH_FIELDS = [f"s{i}" for i in range(COLUMNS)]
+#: Classes up to this number are sent to all executors (8 bytes each) to filter the sets before they are shuffled.
+BROADCAST_CLASSES = 500_000
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -46,7 +51,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 def runs_for(threshold: float, recall: float, branch: float = BRANCH) -> int:
     """Runs after which a pair of equal-sized sets at the threshold is met with the target recall."""
     both = branch * 2 * threshold / (1 + threshold)
-    once = 1 - math.exp(-both * (1 - math.exp(-both)))
+    once = (1 - math.exp(-both)) ** 2
     return math.ceil(math.log(1 - recall) / math.log(1 - once))
 
 
@@ -98,7 +103,7 @@ def shingle_sets(text: pa.Array, lo: np.ndarray | None, hi: np.ndarray | None, w
         return np.zeros(0, np.uint64), np.zeros(n + 1, np.int64), inside
     g = hashes[: len(hashes) - k + 1].copy()
     for j in range(1, k):
-        g = mix(g + _BASE * np.uint64(j)) + hashes[j : len(hashes) - k + 1 + j]
+        g = mix(g + np.uint64(j * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) + hashes[j : len(hashes) - k + 1 + j]
     whole = row[: len(g)] == row[k - 1 :]
     g, grow = mix(g[whole]), row[: len(g)][whole]
     order = np.lexsort((g, grow))
@@ -118,25 +123,33 @@ def set_names(g: np.ndarray, off: np.ndarray) -> np.ndarray:
     return (out >> np.uint64(1)).astype(np.int64)
 
 
+_PAIRS = np.uint64(0x5555555555555555)
+
+
 def _sketches(g: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """128 bits of one-bit minwise hashing per (non-empty) set, as two columns of 64."""
-    out = np.zeros((len(off) - 1, 2), np.uint64)
+    """Two-bit minwise hashing per (non-empty) set: 128 positions in four columns of 64 bits."""
+    out = np.zeros((len(off) - 1, COLUMNS), np.uint64)
     low = (g >> np.uint64(32)).astype(np.uint32)
-    for k in range(SKETCH_BITS):
-        a, b = np.uint32((0x9E3779B1 * (2 * k + 1)) & 0xFFFFFFFF | 1), np.uint32((0x85EBCA6B * (k + 7)) & 0xFFFFFFFF)
-        h = low * a + b
+    for k in range(SKETCH):
+        h = low * np.uint32((0x9E3779B1 * (2 * k + 1)) & 0xFFFFFFFF | 1)
         h ^= h >> np.uint32(15)
-        h *= np.uint32(0x2C1B3C6D)
+        h *= np.uint32((0x2C1B3C6D * (2 * k + 3)) & 0xFFFFFFFF | 1)
         least = np.minimum.reduceat(h, off[:-1])
-        bit = ((least * np.uint32(0x297A2D39)) >> np.uint32(31)).astype(np.uint64)
-        out[:, k // 64] |= bit << np.uint64(k % 64)
+        bits = ((least * np.uint32(0x297A2D39)) >> np.uint32(30)).astype(np.uint64)
+        out[:, k // 32] |= bits << np.uint64(2 * (k % 32))
     return out
 
 
-#: Agreeing bits below which a pair is ruled out: 4.5 standard deviations under the mean at the threshold.
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Positions in which two columns of sketches differ."""
+    d = x ^ y
+    return np.bitwise_count((d | (d >> np.uint64(1))) & _PAIRS)
+
+
 def least_agreement(threshold: float) -> int:
-    p = (1 + threshold) / 2
-    return math.floor(SKETCH_BITS * p - 4.5 * math.sqrt(SKETCH_BITS * p * (1 - p)))
+    """Agreeing positions below which a pair is ruled out: 4 standard deviations under the mean at the threshold."""
+    p = threshold + (1 - threshold) / 4
+    return math.floor(SKETCH * p - 4 * math.sqrt(SKETCH * p * (1 - p)))
 
 
 def _chosen(g: np.ndarray, of: np.ndarray, limit: np.ndarray, salt: np.ndarray | np.uint64) -> np.ndarray:
@@ -167,33 +180,32 @@ def _bucket_rows(batches: Iterator[pa.RecordBatch], runs: int, seed: int) -> Ite
         sk = _sketches(g, off)
         of = np.repeat(np.arange(len(size)), size)
         limit = np.minimum(2.0**32, 2.0**32 * BRANCH / size).astype(np.uint64)
+        each = limit[of]
         paths, recs = [], []
         for r in range(runs):
-            first = np.flatnonzero(_chosen(g, of, limit, np.uint64((r + 1 + 1000 * seed) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)))
-            rec, tok = of[first], g[first]
-            path = mix(tok + np.uint64(r + 1))
-            # the whole set of each record that chose a token, once per token
-            n = size[rec]
-            rep = np.repeat(np.arange(len(rec)), n)
-            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(off[rec], n)
-            second = _chosen(g[at], of[at], limit, path[rep] * _M2) & (g[at] != tok[rep])
-            rep, at = rep[second], at[second]
-            # a path is an unordered pair: both orders of two tokens are different paths of the tree
-            paths.append(mix(path[rep] * _M1 + g[at]))
-            recs.append(rec[rep])
+            h = mix(g ^ np.uint64((r + 1 + 1000 * seed) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+            first, second = np.flatnonzero(h >> np.uint64(32) < each), np.flatnonzero((h & np.uint64(0xFFFFFFFF)) < each)
+            # every first token of a record with every second one
+            begin = np.searchsorted(of[second], of[first], "left")
+            n = np.searchsorted(of[second], of[first], "right") - begin
+            x = np.repeat(first, n)
+            y = second[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin, n)]
+            x, y = x[x != y], y[x != y]
+            paths.append(mix(mix(g[x] + np.uint64(r + 1)) * _M1 + g[y]))
+            recs.append(of[x])
         path, rec = np.concatenate(paths), np.concatenate(recs)
-        yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), pa.array(names[rec]), pa.array(sk[rec, 0].view(np.int64)), pa.array(sk[rec, 1].view(np.int64))], names=["path", "rid", "s0", "s1"])
+        yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), pa.array(names[rec]), *[pa.array(sk[rec, i].view(np.int64)) for i in range(COLUMNS)]], names=["path", "rid", *SKETCH_FIELDS])
 
 
-def _compare_sorted(path: np.ndarray, rid: np.ndarray, s0: np.ndarray, s1: np.ndarray, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+def _compare_sorted(path: np.ndarray, rid: np.ndarray, sketch: list[np.ndarray], least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs in buckets (equal, adjacent paths) whose sketches agree in enough bits."""
     a, b = [], []
     for d in range(1, most):
         same = np.flatnonzero(path[d:] == path[:-d])
         if not len(same):
             break
-        apart = np.bitwise_count(s0[same] ^ s0[same + d]) + np.bitwise_count(s1[same] ^ s1[same + d])
-        near = same[SKETCH_BITS - apart.astype(np.int64) >= least]
+        apart = sum(_apart(s[same], s[same + d]).astype(np.int64) for s in sketch)
+        near = same[SKETCH - apart >= least]
         a.append(rid[near])
         b.append(rid[near + d])
     if not a:
@@ -212,14 +224,14 @@ def _buckets(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Recor
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), pa.array(a), pa.array(b)], names=["kind", "a", "b"])
 
     def work(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        path, rid, s0, s1 = cols
+        path, rid, *sketch = cols
         start = np.flatnonzero(np.concatenate([[True], path[1:] != path[:-1]]))
         n = np.diff(np.concatenate([start, [len(path)]]))
         big = np.repeat(n > BUCKET, n)
         if big.any():
             yield out(1, rid[big], path[big])
         small = ~big & np.repeat(n > 1, n)
-        a, b = _compare_sorted(path[small], rid[small], s0[small], s1[small], least, BUCKET)
+        a, b = _compare_sorted(path[small], rid[small], [s[small] for s in sketch], least, BUCKET)
         if len(a):
             pairs = np.unique(np.stack([a, b]), axis=1)
             fresh = [i for i, p in enumerate(zip(pairs[0].tolist(), pairs[1].tolist())) if p not in done]
@@ -230,8 +242,8 @@ def _buckets(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Recor
     for batch in batches:
         if not batch.num_rows:
             continue
-        cols = [np.asarray(batch.column(i)) for i in range(4)]
-        cols[2], cols[3] = cols[2].view(np.uint64), cols[3].view(np.uint64)
+        cols = [np.asarray(batch.column(i)) for i in range(2 + COLUMNS)]
+        cols[2:] = [c.view(np.uint64) for c in cols[2:]]
         if carry is not None:
             cols = [np.concatenate([x, y]) for x, y in zip(carry, cols)]
             carry = None
@@ -301,13 +313,21 @@ def _split(batches: Iterator[pa.RecordBatch], level: int) -> Iterator[pa.RecordB
         path = np.asarray(b.column("path")).view(np.uint64)
         at = np.flatnonzero(_chosen(g, of, limit, (path * _M2 + np.uint64(level))[of]))
         rec = of[at]
-        yield pa.RecordBatch.from_arrays([pa.array(mix(path[rec] * _M1 + g[at]).view(np.int64)), b.column("rid").take(pa.array(rec)), pa.array(sk[rec, 0].view(np.int64)), pa.array(sk[rec, 1].view(np.int64))], names=["path", "rid", "s0", "s1"])
+        yield pa.RecordBatch.from_arrays([pa.array(mix(path[rec] * _M1 + g[at]).view(np.int64)), b.column("rid").take(pa.array(rec)), *[pa.array(sk[rec, i].view(np.int64)) for i in range(COLUMNS)]], names=["path", "rid", *SKETCH_FIELDS])
 
 
-_ROWS = "path long, rid long, s0 long, s1 long"
+def _sets_of(base: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(rid, tokens) of the wanted classes; filtered before the shuffle where their number is small enough to be sent to all."""
+    sets = base.mapInArrow(_sets, "rid long, tokens array<long>")
+    if wanted.count() <= BROADCAST_CLASSES:
+        sets = sets.join(F.broadcast(wanted), "rid", "left_semi")
+    return sets.dropDuplicates(["rid"])
+
 
+_ROWS = "path long, rid long, " + ", ".join(f"{c} long" for c in SKETCH_FIELDS)
 
-def _in_blocks(large: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+
+def _in_blocks(large: DataFrame) -> DataFrame:
     """All pairs of buckets that further splits leave together, block against block."""
     blocks = F.ceil(F.col("n") / BUCKET).cast("int")
     sized = large.groupBy("path").agg(F.count("*").alias("n"))
@@ -335,7 +355,6 @@ def class_pairs(vulns: DataFrame, threshold: float = THRESHOLD, recall: float =
     runs = runs_for(threshold, recall)
     base = _prepared(vulns)
     rows = base.mapInArrow(lambda it: _bucket_rows(it, runs, seed), _ROWS)
-    sets = base.mapInArrow(_sets, "rid long, tokens array<long>")
     found: list[DataFrame] = []
     level = 2
     while True:
@@ -346,17 +365,19 @@ def class_pairs(vulns: DataFrame, threshold: float = THRESHOLD, recall: float =
         if not large.take(1):
             break
         if level >= MAX_SPLITS:
-            found.append(_in_blocks(large.distinct(), sets, least))
+            found.append(_in_blocks(large.distinct()))
             break
         level += 1
-        tokens = large.join(sets.dropDuplicates(["rid"]), "rid").select("path", "rid", "tokens")
+        wanted = large.select("rid").distinct()
+        tokens = large.join(_sets_of(base, wanted), "rid").select("path", "rid", "tokens")
         rows = tokens.mapInArrow(lambda it, lv=level: _split(it, lv), _ROWS)
     pairs = found[0]
     for f in found[1:]:
         pairs = pairs.unionByName(f)
-    pairs = pairs.select("a", "b").distinct()
+    pairs = materialize(pairs.select("a", "b").distinct(), "candidates")
     sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("rid"))
-    both = sides.join(sets.dropDuplicates(["rid"]), "rid").groupBy("a", "b").agg(F.collect_list("tokens").alias("t"))
+    wanted = materialize(sides.select("rid").distinct(), "wanted")
+    both = sides.join(_sets_of(base, wanted), "rid").groupBy("a", "b").agg(F.collect_list("tokens").alias("t"))
     shared = F.size(F.array_intersect(F.col("t")[0], F.col("t")[1]))
     both = both.withColumn("shared", shared).withColumn("united", F.size(F.col("t")[0]) + F.size(F.col("t")[1]) - F.col("shared"))
     good = both.filter(F.col("shared") >= F.lit(threshold) * F.col("united")).select("a", "b", (F.col("shared") / F.col("united")).alias("similarity"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import capping, components, mixing, mojibake, nearedit, packing, secrets, truncation
+from . import capping, components, mixing, mojibake, nearedit, packing, residue, secrets, truncation
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,14 @@ def p4_by_year(spark: SparkSession, d: str) -> DataFrame:
     return kept.groupBy("contributor", "stratum").agg(F.count("*").alias("n_rows"), F.count_if("kept").alias("n_kept"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return residue.residue_fields(read(spark, d, "wallet_vulns")).select("id", "field_name").distinct()
+
+
+def p5_clean(spark: SparkSession, d: str) -> DataFrame:
+    return residue.without_residue(read(spark, d, "wallet_vulns"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return truncation.cut_values(read(spark, d, "wallet_vulns"))[0].select("id", "field_name").distinct()
 
@@ -87,4 +95,4 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
     return mojibake.restore(read(spark, d, "documents")).select("doc_id", "chains", "text")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_masked, p2_found, p2_groups, p3_found, p3_group_sizes, p4_found, p4_by_year, p6_found, p6_rates, p6_limits, p8_sequences, p8_report, p9_mix, p9_shares, p10_found, p10_restored)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_masked, p2_found, p2_groups, p3_found, p3_group_sizes, p4_found, p4_by_year, p5_found, p5_clean, p6_found, p6_rates, p6_limits, p8_sequences, p8_report, p9_mix, p9_shares, p10_found, p10_restored)}
