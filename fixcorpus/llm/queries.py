@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import capping, components, mixing, mojibake, nearedit, packing, residue, secrets, truncation
+from . import capping, components, mixing, mojibake, nearedit, packing, personal, residue, secrets, truncation
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,15 @@ def p6_limits(spark: SparkSession, d: str) -> DataFrame:
     return limits.select("field_name", F.element_at(names, (F.col("measure") + 1).cast("int")).alias("measure"), "length", "n")
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    items = personal.personal_items(read(spark, d, "wallet_vulns"), read(spark, d, "name_lexicon"))
+    return items.select("id", "field_name", "pii_kind").distinct()
+
+
+def p7_sanitised(spark: SparkSession, d: str) -> DataFrame:
+    return personal.sanitised(read(spark, d, "wallet_vulns"), read(spark, d, "name_lexicon"))
+
+
 def p8_sequences(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(read(spark, d, "documents"))
 
@@ -95,4 +104,4 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
     return mojibake.restore(read(spark, d, "documents")).select("doc_id", "chains", "text")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_masked, p2_found, p2_groups, p3_found, p3_group_sizes, p4_found, p4_by_year, p5_found, p5_clean, p6_found, p6_rates, p6_limits, p8_sequences, p8_report, p9_mix, p9_shares, p10_found, p10_restored)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_masked, p2_found, p2_groups, p3_found, p3_group_sizes, p4_found, p4_by_year, p5_found, p5_clean, p6_found, p6_rates, p6_limits, p7_found, p7_sanitised, p8_sequences, p8_report, p9_mix, p9_shares, p10_found, p10_restored)}
