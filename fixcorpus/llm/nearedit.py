@@ -33,7 +33,7 @@ TARGET_RECALL = 0.999
 #: Largest bucket compared by brute force; larger ones are split.
 BUCKET = 512
 #: Tokens a record is expected to follow per split, in the map stage and in later splits.
-BRANCH, LATER_BRANCH = 1.25, 4.0
+BRANCH, LATER_BRANCH = 1.25, 1.5
 MAX_SPLITS = 6
 #: Copies of one set up to this number are listed as all their pairs, above it as pairs with the class's first record.
 COPIES_AS_PAIRS = 200
