@@ -21,8 +21,14 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
+#: Tables with texts that are worth spreading when they lie in fewer files than there are cores.
+WIDE = ("wallet_vulns", "crawl_rows", "commit_history", "documents")
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(d, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(d, f"{name}.parquet"))
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if name in WIDE and df.rdd.getNumPartitions() < cores else df
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

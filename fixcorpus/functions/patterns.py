@@ -27,12 +27,45 @@ def loose(keyword: str) -> str:
     return r"[-_\s]+".join(literal(p) for p in keyword.split())
 
 
+def _atoms(keyword: str, form) -> list[str]:
+    """A keyword as pattern atoms, one per character; what joins words loosely is one atom."""
+    if form is loose:
+        out: list[str] = []
+        for i, part in enumerate(keyword.split()):
+            out += ([r"[-_\s]+"] if i else []) + [literal(c.lower()) for c in part]
+        return out
+    return [literal(c.lower()) for c in keyword]
+
+
+def _trie(keywords: list[str], form) -> str:
+    """An alternation in which common beginnings are written once, so that a text is held against few branches."""
+    root: dict = {}
+    for k in keywords:
+        node = root
+        for atom in _atoms(k, form):
+            node = node.setdefault(atom, {})
+        node[""] = {}
+
+    def write(node: dict) -> str:
+        ends = "" in node
+        branches = []
+        for atom, sub in node.items():
+            if atom:
+                branches.append(atom + write(sub))
+        if not branches:
+            return ""
+        body = branches[0] if len(branches) == 1 and not ends else f"(?:{'|'.join(branches)})"
+        return body + "?" if ends else body
+
+    return write(root)
+
+
 def alternation(keywords: list[str], form=literal, extra: str = "") -> str:
-    """One pattern for all keywords with \\b at alphanumeric edges, the common boundaries factored out."""
-    whole = [form(k) for k in keywords if k[:1].isalnum() and k[-1:].isalnum()] + ([extra] if extra else [])
+    """One pattern for all keywords with \\b at alphanumeric edges; boundaries and beginnings are factored out."""
+    whole = [k for k in keywords if k[:1].isalnum() and k[-1:].isalnum()]
     rest = [(r"\b" if k[:1].isalnum() else "") + form(k) + (r"\b" if k[-1:].isalnum() else "") for k in keywords if not (k[:1].isalnum() and k[-1:].isalnum())]
-    parts = ([rf"\b(?:{'|'.join(dict.fromkeys(whole))})\b"] if whole else []) + rest
-    return "|".join(parts)
+    parts = ([_trie(whole, form)] if whole else []) + ([extra] if extra else [])
+    return "|".join(([rf"\b(?:{'|'.join(parts)})\b"] if parts else []) + rest)
 
 
 STRONG = alternation([k for g in V.STRONG_GROUPS for k in V.GROUPS[g]], extra=V.STRONG_WORDS)

@@ -12,7 +12,7 @@ from ..functions.text import text
 SCORE_ADMITS, PROBABILITY_ADMITS = 0.5, 0.70
 
 
-def fresh_path(blob: Column) -> Column:
+def fresh_path(blob: Column) -> tuple[Column, Column]:
     """A sensitive area is named that no matched keyword already contains.
 
     An area spelled like a keyword can't be fresh; for each other one, the
@@ -20,16 +20,19 @@ def fresh_path(blob: Column) -> Column:
     """
     keywords = list(dict.fromkeys(k for g in V.GROUPS.values() for k in g))
     lower = [k.lower() for k in keywords]
+    able = [p for p in V.SENSITIVE_PATHS if p.lower() not in lower]
+    # every area is looked for in one pass; blockers only where their area was found
+    named = F.transform(F.regexp_extract_all(blob, F.lit(P.FLAGS + "(" + P.alternation(able, P.loose) + ")"), 1), F.lower)
     any_fresh = F.lit(False)
-    for p in V.SENSITIVE_PATHS:
+    for p in able:
         blockers = [k for k, low in zip(keywords, lower) if p.lower() in low]
-        if p.lower() in lower:
-            continue
-        hit = P.hits(blob, P.alternation([p], P.loose))
-        if blockers:
-            hit = hit & ~P.hits(blob, P.alternation(blockers, P.loose))
-        any_fresh = any_fresh | hit
-    return any_fresh
+        hit = F.array_contains(F.col("named_paths"), p.lower())
+        any_fresh = any_fresh | (hit & ~P.hits(blob, P.alternation(blockers, P.loose)) if blockers else hit)
+    return named, F.coalesce(any_fresh, F.lit(False))
+
+
+#: Longer than any keyword of STRONG and MODERATE: what may lie across the end of the title and the start of the description.
+ACROSS = 80
 
 
 def with_features(df: DataFrame) -> DataFrame:
@@ -37,18 +40,18 @@ def with_features(df: DataFrame) -> DataFrame:
     x = df.withColumns({"t": text("title"), "d": text("description"), "sev": F.lower(F.trim(text("severity")))})
     x = x.withColumn("blob", F.concat_ws(" ", "t", "d"))
     blob, t, d = F.col("blob"), F.col("t"), F.col("d")
+    # words cut at the ends of this stretch are left out: they'd begin or end where no word does
+    head, tail = F.substring(t, -ACROSS, ACROSS), F.substring(d, 1, ACROSS)
+    across = F.concat_ws(" ", F.when(F.length(t) > ACROSS, F.regexp_replace(head, r"(?U)^\w+", "")).otherwise(head), F.when(F.length(d) > ACROSS, F.regexp_replace(tail, r"(?U)\w+$", "")).otherwise(tail))
+    x = x.withColumns({"f_strong_t": P.hits(t, P.STRONG), "f_strong_d": P.hits(d, P.STRONG), "f_moderate_t": P.hits(t, P.MODERATE), "f_moderate_d": P.hits(d, P.MODERATE)})
     return x.withColumns(
         {
             "f_cve": P.hits(blob, P.CVE),
             "f_advisory": P.hits(blob, P.ADVISORY_ID),
             "f_rated": F.col("sev").isin(*V.RATED),
             "f_high": F.col("sev").isin(*V.HIGH),
-            "f_strong_t": P.hits(t, P.STRONG),
-            "f_strong_d": P.hits(d, P.STRONG),
-            "f_strong": P.hits(blob, P.STRONG),
-            "f_moderate_t": P.hits(t, P.MODERATE),
-            "f_moderate_d": P.hits(d, P.MODERATE),
-            "f_moderate": P.hits(blob, P.MODERATE),
+            "f_strong": F.col("f_strong_t") | F.col("f_strong_d") | P.hits(across, P.STRONG),
+            "f_moderate": F.col("f_moderate_t") | F.col("f_moderate_d") | P.hits(across, P.MODERATE),
             "f_impact_t": P.hits(t, P.FIX_IMPACT),
             "f_impact": P.hits(blob, P.FIX_IMPACT),
             "f_stride": ~F.coalesce(F.nullif(F.trim("stride"), F.lit("")), F.lit("Other")).isin("Other", "nan"),

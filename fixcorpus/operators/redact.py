@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import text
-
 MASK = "XXXXXXX"
 # fixed values: credential shapes in the order in which they are masked
 SHAPES: list[tuple[str, str]] = [
@@ -26,15 +24,18 @@ SHAPES: list[tuple[str, str]] = [
 ]
 PHRASE_CONTEXT = r"(?i)mnemonic|seed[_ -]?phrase|recovery[_ -]?phrase|seed[_ -]?words"
 WORD_RUN = r"\b(?:[a-z]{3,8}\s+){11,23}[a-z]{3,8}\b"
+#: What a text must hold for any shape to be in it; looked for once before the shapes are.
+MAY_HOLD = r"\b(?:AKIA|ASIA|AGPA|AIDA|AROA|AIPA|ANPA|ANVA)[0-9A-Z]|gh[pousr]_|github_pat_|xox[baprs]-|[sr]k_(?:live|test)_|SG\.|AIza|\bsk-|-----BEGIN|eyJ|(?<![A-Za-z0-9/+=])[A-Za-z0-9/+=]{40}"
 KINDS = [k for k, _ in SHAPES] + ["MNEMONIC"]
 
 
-def redact(c: Column) -> tuple[Column, Column]:
-    """(masked text, kinds found): every shape is looked for in what the ones before it left."""
+def redact(c: Column, may: Column) -> tuple[Column, Column]:
+    """(masked text, kinds found): every shape is looked for in what the ones before it left, where ``may`` says so."""
     out, kinds = c, []
     for kind, shape in SHAPES:
-        kinds.append(F.when(F.coalesce(out.rlike(shape), F.lit(False)), F.lit(kind)))
+        kinds.append(F.when(may & F.coalesce(out.rlike(shape), F.lit(False)), F.lit(kind)))
         out = F.regexp_replace(out, shape, MASK)
+    out = F.when(may, out).otherwise(c)
     phrase = F.coalesce(out.rlike(PHRASE_CONTEXT) & out.rlike(WORD_RUN), F.lit(False))
     kinds.append(F.when(phrase, F.lit("MNEMONIC")))
     return F.when(phrase, F.regexp_replace(out, WORD_RUN, MASK)).otherwise(out), F.array_compact(F.array(*kinds))
@@ -42,10 +43,11 @@ def redact(c: Column) -> tuple[Column, Column]:
 
 def redact_columns(df: DataFrame, columns: tuple[str, ...] = ("title", "description")) -> DataFrame:
     """The columns masked, and ``<column>_kinds`` beside each. Nulls stay null; masking twice changes nothing."""
+    df = df.withColumns({f"_may_{c}": F.coalesce(F.col(c).rlike(MAY_HOLD), F.lit(False)) for c in columns})
     for c in columns:
-        masked, kinds = redact(F.col(c))
+        masked, kinds = redact(F.col(c), F.col(f"_may_{c}"))
         df = df.withColumns({f"{c}_kinds": kinds, c: masked})
-    return df
+    return df.drop(*[f"_may_{c}" for c in columns])
 
 
 def tally(df: DataFrame, columns: tuple[str, ...] = ("title", "description")) -> DataFrame:
@@ -54,6 +56,3 @@ def tally(df: DataFrame, columns: tuple[str, ...] = ("title", "description")) ->
     per = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"{c}_kinds").alias("kinds")) for c in columns])).alias("x")
     long = x.select(per).select("x.column_name", F.explode("x.kinds").alias("kind"))
     return long.groupBy("column_name", "kind").agg(F.count("*").alias("n_rows"))
-
-
-__all__ = ["KINDS", "MASK", "redact", "redact_columns", "tally", "text"]

@@ -58,7 +58,9 @@ def judged(vulns: DataFrame, registry: DataFrame, scores: DataFrame | None = Non
     dims = identity_patterns(registry).dropDuplicates(["slug"]).withColumnRenamed("slug", "source_platform").withColumn("known", F.lit(True))
     x = x.join(F.broadcast(dims), "source_platform", "left").withColumn("known", F.coalesce("known", F.lit(False)))
     x = X.with_features(x)
-    x = x.withColumns({"score": X.score(), "f_fresh": X.fresh_path(F.col("blob")), "scope": X.advisory_scope(F.col("t"))})
+    named, fresh = X.fresh_path(F.col("blob"))
+    x = x.withColumn("named_paths", named)
+    x = x.withColumns({"score": X.score(), "f_fresh": fresh, "scope": X.advisory_scope(F.col("t"))})
     x = x.withColumns({"confidence_tier": X.confidence(), "signal_count": X.signals()})
     x = x.withColumns({"authority_tier": X.authority_tier(), "verdict": X.verdict(F.col("scored_fix")), "relevant": relevant(), "fix_commit": fix_commit(F.col("source_url"))})
     stage = F.when(~F.col("relevant"), "low_signal")
