@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import severity_rank, text, title_key
@@ -15,7 +15,11 @@ def keys(df: DataFrame, with_sha: bool = True) -> DataFrame:
     """(node, key): ids and title of a row within its platform, full commit hashes across platforms."""
     p = F.coalesce(F.col("source_platform"), F.lit(""))
     ids = F.concat_ws(" ", text("issue_id"), text("description"))
-    own = [F.transform(F.regexp_extract_all(ids, F.lit(pat), 0), lambda v, t=tag: F.concat_ws("|", F.lit(t), p, F.upper(v))) for tag, pat in (("cve", CVE_ID), ("ghsa", GHSA_ID))]
+
+    def named(tag: str, pattern: str) -> Column:
+        return F.transform(F.regexp_extract_all(ids, F.lit(pattern), 0), lambda v: F.concat_ws("|", F.lit(tag), p, F.upper(v)))
+
+    own = [named("cve", CVE_ID), named("ghsa", GHSA_ID)]
     titled = F.when(title_key(F.col("title")).isNotNull(), F.array(F.concat_ws("|", F.lit("title"), p, title_key(F.col("title"))))).otherwise(F.array().cast("array<string>"))
     parts = [*own, titled]
     if with_sha:

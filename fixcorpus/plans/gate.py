@@ -44,13 +44,14 @@ def relevant() -> Column:
     return F.col("f_cve") | F.col("f_rated") | (F.col("score") >= X.SCORE_ADMITS) | F.col("f_stride") | F.col("f_cwe") | F.col("f_impact_t") | F.col("f_silent")
 
 
-def judged(vulns: DataFrame, registry: DataFrame, scores: DataFrame | None = None) -> DataFrame:
+def judged(vulns: DataFrame, registry: DataFrame, scores: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Every finding with features, ``drop_stage`` (null for survivors) and what the gate derives.
 
     The registry is a dimension of fixed size and goes to all executors; the
-    scores grow with the data and are joined by shuffle.
+    scores grow with the data and are joined by shuffle. Columns of ``keep`` are
+    carried along.
     """
-    x = vulns.select("id", F.lower(F.trim(text("source_platform"))).alias("source_platform"), "contest", "issue_id", "severity", "title", "description", "source_url", "stride", "cwe_top25", "silent_fix_prob", "scraped_at")
+    x = vulns.select("id", F.lower(F.trim(text("source_platform"))).alias("source_platform"), "contest", "issue_id", "severity", "title", "description", "source_url", "stride", "cwe_top25", "silent_fix_prob", "scraped_at", *keep)
     if scores is not None:
         x = x.join(best_scores(scores), "source_url", "left").withColumn("silent_fix_prob", F.coalesce("scored_prob", "silent_fix_prob"))
     else:

@@ -40,7 +40,10 @@ def advisories(feed: DataFrame, source: str) -> DataFrame:
 def best_id(id_: Column, aliases: Column, order: tuple[str, ...]) -> Column:
     """The id or alias of the best kind, the kinds in order; else the id itself."""
     every = F.concat(F.array(id_), F.coalesce(aliases, F.array().cast("array<string>")))
-    return F.coalesce(*[_first(every, lambda v, p=p: v.startswith(p)) for p in order], id_)
+    def of_kind(prefix: str) -> Column:
+        return _first(every, lambda v: v.startswith(prefix))
+
+    return F.coalesce(*[of_kind(p) for p in order], id_)
 
 
 def _fix(affected: Column) -> tuple[Column, Column]:

@@ -12,16 +12,15 @@ def gated(stream: DataFrame, registry: DataFrame, event_time: str = "scraped_ts"
     """Findings of a stream with their drop stage; an id counts once within the watermark."""
     x = stream.withColumn(event_time, F.try_to_timestamp(F.col("scraped_at"))).withWatermark(event_time, delay)
     x = x.dropDuplicatesWithinWatermark(["id"])
-    judged = gate.judged(x, registry)
-    return judged.withColumn(event_time, F.try_to_timestamp(F.col("scraped_at")))
+    return gate.judged(x, registry, keep=(event_time,))
 
 
 def stage_counters(stream: DataFrame, registry: DataFrame, window: str = "30 days", delay: str = "1 day") -> DataFrame:
     """Drop-stage counts per window of event time."""
     x = stream.withColumn("scraped_ts", F.try_to_timestamp(F.col("scraped_at"))).withWatermark("scraped_ts", delay)
-    kept = gate.judged(x, registry).withColumn("scraped_ts", F.try_to_timestamp(F.col("scraped_at")))
+    kept = gate.judged(x, registry, keep=("scraped_ts",))
     stage = F.coalesce("drop_stage", F.lit("kept"))
-    return kept.withWatermark("scraped_ts", delay).groupBy(F.window("scraped_ts", window), stage.alias("stage")).agg(F.count("*").alias("n")).select(F.col("window.start").alias("window_start"), "stage", "n")
+    return kept.groupBy(F.window("scraped_ts", window), stage.alias("stage")).agg(F.count("*").alias("n")).select(F.col("window.start").alias("window_start"), "stage", "n")
 
 
 def late_commits(stream: DataFrame, delay: str = "30 days") -> DataFrame:
