@@ -10,7 +10,7 @@ counts; documents then take the slots of their size by their rank in it.
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -61,16 +61,14 @@ def dominance(counts: dict[int, int], capacity: int) -> tuple[list[Pattern], dic
         return None
 
     def largest_pair(room: int, without: int) -> int:
-        best, sizes = 0, sorted(left)
-        lo, hi = 0, len(sizes) - 1
-        while lo <= hi:
-            a, b = sizes[lo], sizes[hi]
-            if a + b > room:
-                hi -= 1
-                continue
-            if (a != b or left[a] - (a == without) >= 2) and left[a] - (a == without) and left[b] - (b == without):
-                best = max(best, a + b)
-            lo += 1
+        n = {s: k - (s == without) for s, k in left.items() if k > (s == without)}
+        sizes, best = sorted(n), 0
+        for i, a in enumerate(sizes):
+            j = bisect_right(sizes, room - a) - 1
+            if j == i and n[a] < 2:
+                j -= 1
+            if j >= 0:
+                best = max(best, a + sizes[j])
         return best
 
     again = True

@@ -324,6 +324,8 @@ def _parse(exemplar: str) -> list[str]:
     return ["0" if w == "0" else w if w in ("SLOT", "URL", "NAME") else w.lower() for w in exemplar.split()]
 
 
+#: Words that tell nothing of what a sentence is about (fixed values).
+_FUNCTION_WORDS = frozenset("SLOT NAME URL 0 a an the in on of to by is are was were and or for from with at it as that so no not now when after before".split())
 _RESIDUE = [Counter(_parse(x)) for x in RESIDUE]
 _REAL = [Counter(_parse(x)) for x in REAL]
 _VOCABULARY = frozenset(t for c in (*_RESIDUE, *_REAL) for t in c)
@@ -408,7 +410,7 @@ class Weigher:
         """Largest share of a window that a residue exemplar covers, and the exemplar; 0 where a real one speaks for it."""
         c = Counter(words)
         for e, (x, w) in enumerate(self.real):
-            if self._shared(x, c) >= REAL_COVER * w and len(set(x) & set(c)) >= 3:
+            if self._shared(x, c) >= REAL_COVER * w and len((set(x) & set(c)) - _FUNCTION_WORDS) >= 2:
                 return 0.0, ""
         best, name = (1.0, "SLOT") if "SLOT" in c else (0.0, "")
         total = self._weight(c)
