@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from .functions import patterns as P
 from .functions import text as T
 from .functions import vocabulary as V
-from .operators import analytics, code, features, labels, normalize, redact, severity, xref
+from .operators import analytics, code, features, labels, normalize, redact, refs, severity, xref
 from .operators.dedup import fix_commit_key
 from .plans import gate
-from .sources import commits, lines
+from .sources import commits, lines, slices
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -577,3 +577,64 @@ def class_sample(spark: SparkSession, d: str) -> DataFrame:
 @query("preview_projection", "SELECT id, source_platform, severity, substr(title, 1, 70) AS title, confidence FROM wallet_vulns")
 def preview_projection(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "wallet_vulns").select("id", "source_platform", "severity", F.substring("title", 1, 70).alias("title"), "confidence")
+
+
+_KIND = "CASE " + " ".join(f"WHEN starts_with(coalesce(issue_id, ''), '{p}') THEN '{p.rstrip('#-')}'" for p in V.ISSUE_PREFIXES) + " ELSE 'unknown' END"
+_NUMBER = "coalesce(" + ", ".join(f"nullif(regexp_extract(coalesce(description, ''), {q(refs.CHANGE)}, {i}), '')" for i in (1, 2, 3, 4)) + ")"
+
+
+@query("inline_reference", f"SELECT id, CASE WHEN regexp_extract(coalesce(description, ''), '/commit/([0-9a-f]{{7,40}})', 1) <> '' THEN 'commit:' || regexp_extract(description, '/commit/([0-9a-f]{{7,40}})', 1) WHEN {_NUMBER} IS NOT NULL THEN 'pr:' || {_NUMBER} ELSE '' END AS reference FROM wallet_vulns")
+def inline_reference(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "wallet_vulns").select("id", refs.inline_reference(F.col("description")).alias("reference"))
+
+
+@query("blame_coverage", f"SELECT {_KIND} AS issue_kind, count(*) AS n, count(*) FILTER (regexp_full_match(trim(coalesce(introduced_in_commit, '')), '[0-9a-fA-F]{{7,40}}')) AS resolved, round(100 * count(*) FILTER (regexp_full_match(trim(coalesce(introduced_in_commit, '')), '[0-9a-fA-F]{{7,40}}')) / count(*), 4) AS coverage FROM wallet_vulns GROUP BY 1")
+def blame_coverage(spark: SparkSession, d: str) -> DataFrame:
+    return refs.coverage(table(spark, d, "wallet_vulns"))
+
+
+@query(
+    "parent_resolution",
+    f"""WITH r AS (SELECT wallet AS repo, substr(sha, 1, 12) AS k, min(patch_id) AS parent FROM commit_history WHERE sha IS NOT NULL GROUP BY 1, 2),
+    x AS (SELECT id, source_platform AS repo, introduced_in_commit, {_KIND} AS kind, coalesce(nullif(regexp_extract(coalesce(source_url, ''), '/commit/([0-9a-f]{{7,40}})', 1, 'i'), ''), regexp_replace(coalesce(issue_id, ''), '^[A-Z]+[#-]', '')) AS k FROM wallet_vulns)
+    SELECT id, coalesce(nullif(parent, ''), introduced_in_commit) AS introduced_in_commit FROM x LEFT JOIN r ON x.kind = 'COMMIT' AND r.repo = x.repo AND r.k = substr(x.k, 1, 12)""",
+)
+def parent_resolution(spark: SparkSession, d: str) -> DataFrame:
+    """Parents by commit; the history's patch ids stand in for parents, which the tables don't have."""
+    h = table(spark, d, "commit_history").filter("sha is not null").select(F.col("wallet").alias("repo"), F.lit("COMMIT").alias("kind"), F.substring("sha", 1, 12).alias("key"), F.col("patch_id").alias("parent_sha"))
+    v = table(spark, d, "wallet_vulns").withColumn("source_url", F.regexp_replace("source_url", r"(?i)(/commit/[0-9a-f]{12})[0-9a-f]*", "$1"))
+    return refs.resolve_parents(v, h)
+
+
+@query("body_keyword_slice", "WITH x AS (SELECT id, CASE " + " ".join(f"WHEN {rx('description', P.alternation([k], P.loose))} THEN {q(k)}" for k in V.CORE_TERMS) + " END AS word FROM wallet_vulns) SELECT id, 'body_kw:' || word AS contest FROM x WHERE word IS NOT NULL")
+def body_keyword_slice(spark: SparkSession, d: str) -> DataFrame:
+    return slices.by_body_word(table(spark, d, "wallet_vulns"), V.CORE_TERMS)
+
+
+@query("direct_slice", f"SELECT id FROM wallet_vulns WHERE {rx("coalesce(title, '') || ' ' || substr(coalesce(description, ''), 1, 1000)", P.alternation(V.CORE_TERMS, P.loose))}")
+def direct_slice(spark: SparkSession, d: str) -> DataFrame:
+    return slices.direct(table(spark, d, "wallet_vulns")).select("id")
+
+
+@query("silent_prevalence", "WITH x AS (SELECT 100 * avg(regexp_matches(coalesce(title, '') || ' ' || coalesce(description, ''), 'CVE-|GHSA-')::INT) AS i, 100 * avg((lower(coalesce(severity, '')) IN ('critical', 'high', 'medium', 'low'))::INT) AS r FROM wallet_vulns) SELECT round(i, 4) AS with_id, round(greatest(r - i, 0), 4) AS rated_only, round(100 - r, 4) AS silent FROM x")
+def silent_prevalence(spark: SparkSession, d: str) -> DataFrame:
+    return analytics.prevalence(table(spark, d, "wallet_vulns"))
+
+
+def _map_sql(value: str, names: dict[str, str]) -> str:
+    return f"CASE {value} {' '.join(f'WHEN {q(k)} THEN {q(v)}' for k, v in names.items())} ELSE 'other' END"
+
+
+@query("impact_classes", f"SELECT {_map_sql("split_part(coalesce(label, ''), ':', 1)", analytics.IMPACT)} AS name, count(*) AS n FROM wallet_vulns GROUP BY 1")
+def impact_classes(spark: SparkSession, d: str) -> DataFrame:
+    return analytics.mapped_counts(table(spark, d, "wallet_vulns"), F.element_at(F.split(T.text("label"), ":"), 1), analytics.IMPACT, without_rest=False)
+
+
+@query("entry_channels", f"SELECT * FROM (SELECT {_map_sql("coalesce(attack_path, '')", analytics.CHANNEL)} AS name, count(*) AS n FROM wallet_vulns GROUP BY 1) WHERE name <> 'other'")
+def entry_channels(spark: SparkSession, d: str) -> DataFrame:
+    return analytics.mapped_counts(table(spark, d, "wallet_vulns"), T.text("attack_path"), analytics.CHANNEL)
+
+
+@query("dominance_cap", "WITH c AS (SELECT count(*) * 50 // 1000 AS cap FROM wallet_vulns), s AS (SELECT id, row_number() OVER (ORDER BY md5('42:' || id), id) AS rn FROM wallet_vulns WHERE source_platform = 'nimbus-keys') SELECT id FROM wallet_vulns WHERE NOT coalesce(source_platform = 'nimbus-keys', false) UNION ALL SELECT id FROM s, c WHERE rn <= cap")
+def dominance_cap(spark: SparkSession, d: str) -> DataFrame:
+    return slices.dominance_cap(table(spark, d, "wallet_vulns").select("id", "source_platform"), F.col("source_platform") == "nimbus-keys", 50, "id").select("id")

@@ -89,3 +89,28 @@ def platform_layers(vulns: DataFrame, layers: list[str], least: int = 5) -> Data
     x = vulns.withColumn("wallet_platform", p).groupBy("wallet_platform").pivot("layer", layers).agg(F.count(F.lit(1)))
     x = x.na.fill(0, layers).withColumn("total", sum((F.col(c) for c in layers), F.lit(0)))
     return x.filter(F.col("total") > least)
+
+
+def prevalence(vulns: DataFrame) -> DataFrame:
+    """One row: per cent of findings with an advisory id, rated without one (never below 0), and silent."""
+    named = F.concat_ws(" ", text("title"), text("description")).rlike("CVE-|GHSA-")
+    rated = F.lower(text("severity")).isin("critical", "high", "medium", "low")
+    x = vulns.agg((100 * F.avg(named.cast("int"))).alias("i"), (100 * F.avg(rated.cast("int"))).alias("r"))
+    return x.select(F.round("i", 4).alias("with_id"), F.round(F.greatest(F.col("r") - F.col("i"), F.lit(0.0)), 4).alias("rated_only"), F.round(100 - F.col("r"), 4).alias("silent"))
+
+
+#: Impact by the area's family, and channels by attack path (parameters of the summaries).
+IMPACT = {"key": "funds", "sign": "funds", "approval": "funds", "mpc": "funds", "contract": "funds", "transport": "deception", "ui": "deception", "platform": "exposure", "firmware": "exposure"}
+CHANNEL = {
+    "malicious_dapp": "web", "phishing_site": "web", "malicious_signing_request": "request", "malicious_deeplink_or_qr": "request", "malicious_pairing_session": "session", "malicious_contract_or_token": "chain",
+    "compromised_dependency": "build", "physical_device_access": "device", "compromised_host": "device", "malicious_local_app": "device", "malformed_input": "input", "hostile_network_or_rpc": "network", "malicious_peer": "network",
+}
+
+
+def mapped_counts(df: DataFrame, value: Column, names: dict[str, str], without_rest: bool = True) -> DataFrame:
+    """Rows per name of a mapped value; unmapped ones are ``other`` or left out."""
+    name = F.lit("other")
+    for k, v in names.items():
+        name = F.when(value == k, v).otherwise(name)
+    x = df.groupBy(name.alias("name")).agg(F.count("*").alias("n"))
+    return x.filter("name <> 'other'") if without_rest else x
