@@ -47,6 +47,11 @@ description goes here
 enter a title
 untitled
 no title
+no description provided
+no description given
+no description
+no details provided
+description not provided
 new pull request
 new issue
 test title please ignore
@@ -54,6 +59,10 @@ test description please ignore
 please ignore
 asdf
 asdf asdf
+test
+test test
+test test test
+testing
 qwerty
 xxx
 foo bar baz
@@ -259,6 +268,8 @@ SLOT = re.compile(
     r"\{\{[^{}\n]{0,60}\}\}|\$\{[^{}\n]{1,60}\}|<%=?[^%\n]{1,60}%>|__[A-Z][A-Z_]*__|%[A-Z][A-Z_]{2,}%|\{(?P<brace>[a-z_ ]{1,30}|\d)\}|\[(?P<square>[A-Z][A-Z_ ]{2,30})\]|(?<![\w@])<(?P<angle>[A-Za-z][A-Za-z_ /?-]{0,40})>|\$(?P<dollar>[A-Z][A-Z_]{2,30})\b|%[sd]\b"
 )
 HTML_TAGS = frozenset("html head title body h1 h2 h3 hr br p div span a b i em strong ul ol li table tr td th pre code img details summary noscript script style meta doctype center kbd sub sup".split())
+#: A field that is nothing but the name of a field in angle brackets.
+WHOLE_SLOT = re.compile(r"^\s*<(?:title|body|summary|details?|description|text|name|subject)>\s*$", re.I)
 COMMENT = re.compile(r"<!--.*?(?:-->|\Z)", re.S)
 TAG = re.compile(r"</?([A-Za-z][A-Za-z0-9]*)(?:\s[^<>]*)?/?>|<!DOCTYPE[^>]*>", re.I)
 URL = re.compile(r"https?://[^\s\"'<>)]+")
@@ -309,6 +320,8 @@ _CODE_NAME = re.compile(r"\b[\w.-]*[a-z][A-Z]\w*\b|(?<![\w<])[\w-]+(?:/[\w.-]+)+
 
 def windows(text: str) -> tuple[list[str], bool]:
     """Passage windows of a field, and whether it is a form in which nothing was written."""
+    if WHOLE_SLOT.match(text):
+        return ["§slot§"], False
     plain = COMMENT.sub("\n", text)
     body = FENCE.sub("\n", plain)
     lines = [x for x in plain.split("\n") if x.strip()]

@@ -278,7 +278,7 @@ def weak_label(kind: str, name: str, value: str, before: str) -> int | None:
     if STAND_IN.match(v) or PUBLIC_VALUE.match(v) or _CAMEL.match(v) or " " in v:
         return 0
     tail = re.sub(r"[\d_.-]+$", "", name)
-    secret, harmless = kind == "vcomment" or bool(SECRET_NAME.search(tail)), bool(HARMLESS_NAME.search(tail))
+    secret, harmless = kind in ("vcomment", "vparam") or bool(SECRET_NAME.search(tail)), bool(HARMLESS_NAME.search(tail))
     if kind in ("vurl", "vu"):
         return 0 if re.match(r"^\d+$", v) or v.startswith(("$", "{")) else 1
     if kind == "vauth":
