@@ -45,6 +45,7 @@ CUT_MARK = re.compile(
 )
 DOTS = re.compile(r"(?:…|\.{3,})\s*$")
 LAST_WORD = re.compile(r"(?<![A-Za-z0-9])([A-Z]?[a-z]*|[A-Z]+)$")
+LONE_LETTER = re.compile(r"(?<=[A-Za-z,;:]) (?![aiAI]$)[A-Za-z]$")
 ENDED = re.compile(r"[.!?。！？][\"'”’»)\]*_`]*\s*$")
 
 #: Numbers of last tokens whose continuation is counted; the longest seen often enough decides.
@@ -180,7 +181,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = b.column("id").to_pylist()
         for f, field in enumerate(FIELDS):
             code = f > 0
-            rows, texts, flags, lens, bodies = [], [], [], [], []
+            rows, texts, flags, lens, bodies, ends_in = [], [], [], [], [], []
             for i, v in enumerate(b.column(field).to_pylist()):
                 if v is None or v.strip().lower() in BLANK:
                     continue
@@ -192,6 +193,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         texts.append("")
                         flags.append(True)
                         lens.append(lengths(v))
+                        ends_in.append(None)
                         continue
                     if not codes:
                         continue
@@ -208,7 +210,12 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         tail = stripped[:-3].rstrip(".")
                 elif not mark and not code and ENDED.search(stripped[-8:]):
                     tail = ""
+                letter = LONE_LETTER.search(tail) if tail and not mark else None
+                if letter:
+                    # one letter is the start of a word: what stands before it is judged
+                    tail = tail[: letter.start()]
                 if tail or mark:
+                    ends_in.append(letter.group().strip().lower() if letter else None)
                     rows.append(i)
                     texts.append("" if mark else tail[-200:])
                     flags.append(mark)
@@ -239,7 +246,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 last = np.full(len(rows), -1)
                 last[row] = np.arange(len(row))
                 k1, k2, k3, k5 = (np.where(last >= 0, k[last].view(np.int64), 0) if len(k) else np.zeros(len(rows), np.int64) for k in _keys(hashes, code))
-                last_words = [m.group(1).lower() if (m := LAST_WORD.search(t)) else None for t in texts]
+                last_words = [e or (m.group(1).lower() if (m := LAST_WORD.search(t)) else None) for t, e in zip(texts, ends_in)]
                 yield batch(len(rows), kind=np.zeros(len(rows), np.int8), id=[ids[i] for i in rows], field_name=[field] * len(rows), mark=flags, k1=k1, k2=k2, k3=k3, k5=k5, word=last_words, lens=lens)
     merged()
     for u, n, e, x in contexts:
@@ -285,7 +292,7 @@ def cut_values(vulns: DataFrame) -> tuple[DataFrame, DataFrame]:
     at_limit, on, ends, stops = F.coalesce("at_limit", F.lit(False)), F.col("c.on"), F.col("c.ends"), F.col("c.stops")
 
     def goes_on(rare: float, stop: float) -> Column:
-        return (on > 0) & (ends <= rare * (ends + on)) & (stops <= stop * on)
+        return (on > 0) & (ends <= rare * (ends + on)) & ((stops <= stop * on) | (F.col("c.order") >= 1) & (on >= 2) & (stops <= 1))
 
     reason = (
         F.when(F.col("mark"), F.when(F.col("lens").isNotNull() & (F.col("k1") == 0) & (F.col("field_name") != "description"), "broken document or mark").otherwise("mark"))
