@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HOT_ROWS, materialize, release
+from .common import HOT_ROWS, join_by_group, materialize
 from .components import link_groups
 
 THRESHOLD = 0.5
@@ -395,13 +395,16 @@ def near_pairs(vulns: DataFrame, threshold: float = THRESHOLD, recall: float = T
     pairs, members = class_pairs(vulns, threshold, recall)
     members = materialize(members.distinct(), "members")
     sized = members.groupBy("rid").agg(F.count("*").alias("n"), F.min("id").alias("first"))
-    copies = sized.filter("n > 1")
-    few = members.join(copies.filter(F.col("n") <= COPIES_AS_PAIRS).select("rid"), "rid")
+    many = sized.filter(F.col("n") > COPIES_AS_PAIRS)
+    star = join_by_group(members, many, "rid", "n").filter("id > first").select(F.col("first").alias("id_a"), F.col("id").alias("id_b"))
+    # the records of huge classes (at most all rows / HOT_ROWS classes) stay out of the shuffle by class
+    huge = sized.filter(F.col("n") > HOT_ROWS).select("rid")
+    cool = members.join(F.broadcast(huge), "rid", "left_anti") if huge.take(1) else members
+    small = cool.join(sized.filter(F.col("n") <= COPIES_AS_PAIRS).select("rid", "n"), "rid")
+    few = small.filter("n > 1")
     within = few.alias("x").join(few.alias("y"), (F.col("x.rid") == F.col("y.rid")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("id_a"), F.col("y.id").alias("id_b"))
-    many = copies.filter(F.col("n") > COPIES_AS_PAIRS)
-    star = members.join(F.broadcast(many.select("rid", "first")), "rid").filter("id > first").select(F.col("first").alias("id_a"), F.col("id").alias("id_b"))
     # what stands for a class in pairs of classes: its records, or the first where there are many
-    stand = members.join(F.broadcast(many.select("rid", "first")), "rid", "left").filter("first is null or id = first").select("rid", "id")
+    stand = small.select("rid", "id").unionByName(many.select("rid", F.col("first").alias("id")))
     across = pairs.select("a", "b").join(stand.select(F.col("rid").alias("a"), F.col("id").alias("ia")), "a").join(stand.select(F.col("rid").alias("b"), F.col("id").alias("ib")), "b")
     across = across.select(F.least("ia", "ib").alias("id_a"), F.greatest("ia", "ib").alias("id_b"))
     return across.unionByName(within).unionByName(star).filter("id_a <> id_b").distinct()
