@@ -1,10 +1,13 @@
 """Problem 2: pairs and groups of records that differ by small edits.
 
 Method (chosen-path join): a record is a set of word triples. In each run a
-record follows the few tokens of its set that a hash of (path so far, token)
-selects, so that similar sets end in the same bucket; buckets of at most
-``BUCKET`` records are compared by brute force, larger ones are split again on
-further tokens, and runs are repeated until the target recall.
+record follows tokens of its set, each the least one under a hash of (path so
+far, choice), so that two sets go on together with a chance of their similarity
+whatever their sizes; buckets of at most ``BUCKET`` records are compared by
+brute force, those of up to ``BLOCKS`` blocks block against block, larger ones
+are split again on further tokens, and what ``MAX_SPLITS`` splits leave together
+is compared in blocks. Runs are repeated until the target recall holds for pairs
+at the threshold that go through all splits.
 
 The first two splits depend on nothing but the record and the run and are made
 where it lies. Records with the same set are one class, named by a hash of the
@@ -30,10 +33,12 @@ THRESHOLD = 0.5
 WORDS = 3
 MIN_DESCRIPTION_WORDS = 30
 TARGET_RECALL = 0.999
-#: Largest bucket compared by brute force; larger ones are split.
+#: Largest bucket compared by brute force.
 BUCKET = 512
-#: Tokens a record is expected to follow per split, in the map stage and in later splits.
-BRANCH, LATER_BRANCH = 1.25, 1.5
+#: Records expected in a block (two of them, and five standard deviations, make a bucket); most blocks of a bucket that is compared without further splits.
+BLOCK, BLOCKS = 205, 16
+#: Tokens a record follows per split after the first two, in which it follows one.
+LATER_BRANCH = 4
 MAX_SPLITS = 6
 #: Copies of one set up to this number are listed as all their pairs, above it as pairs with the class's first record.
 COPIES_AS_PAIRS = 200
@@ -48,11 +53,12 @@ _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def runs_for(threshold: float, recall: float, branch: float = BRANCH) -> int:
-    """Runs after which a pair of equal-sized sets at the threshold is met with the target recall."""
-    both = branch * 2 * threshold / (1 + threshold)
-    once = (1 - math.exp(-both)) ** 2
-    return math.ceil(math.log(1 - recall) / math.log(1 - once))
+def runs_for(threshold: float, recall: float) -> int:
+    """Runs after which a pair at the threshold is met with the target recall, whatever the sizes of its sets and however often its buckets are split."""
+    stays = 1.0
+    for _ in range(MAX_SPLITS - 2):
+        stays = 1 - (1 - threshold * stays) ** LATER_BRANCH
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - threshold**2 * stays)))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -126,20 +132,33 @@ def set_names(g: np.ndarray, off: np.ndarray) -> np.ndarray:
 _PAIRS = np.uint64(0x5555555555555555)
 
 
-def _sketches(g: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Two-bit minwise hashing per (non-empty) set: 128 positions in four columns of 64 bits."""
-    out = np.zeros((len(off) - 1, COLUMNS), np.uint64)
-    low = (g >> np.uint64(32)).astype(np.uint32)
-    for k in range(SKETCH):
+def _minima(g: np.ndarray, off: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
+    """Least hash of each (non-empty) set under each of n hash functions."""
+    out = np.zeros((n, len(off) - 1), np.uint32)
+    low = ((mix(g ^ np.uint64(seed)) if seed else g) >> np.uint64(32)).astype(np.uint32)
+    for k in range(n):
         h = low * np.uint32((0x9E3779B1 * (2 * k + 1)) & 0xFFFFFFFF | 1)
         h ^= h >> np.uint32(15)
         h *= np.uint32((0x2C1B3C6D * (2 * k + 3)) & 0xFFFFFFFF | 1)
-        least = np.minimum.reduceat(h, off[:-1])
-        bits = ((least * np.uint32(0x297A2D39)) >> np.uint32(30)).astype(np.uint64)
+        out[k] = np.minimum.reduceat(h, off[:-1])
+    return out
+
+
+def _sketches(minima: np.ndarray) -> np.ndarray:
+    """Two-bit minwise hashing per set: 128 positions in four columns of 64 bits."""
+    out = np.zeros((minima.shape[1], COLUMNS), np.uint64)
+    for k in range(SKETCH):
+        bits = ((minima[k] * np.uint32(0x297A2D39)) >> np.uint32(30)).astype(np.uint64)
         out[:, k // 32] |= bits << np.uint64(2 * (k % 32))
     return out
 
 
+def _paths(minima: np.ndarray, runs: int) -> np.ndarray:
+    """Bucket of every set after two splits in each run: runs x sets."""
+    first, second = minima[: 2 * runs : 2].astype(np.uint64), minima[1 : 2 * runs : 2].astype(np.uint64)
+    return mix(mix((first << np.uint64(32)) | second) + np.arange(1, runs + 1, dtype=np.uint64)[:, None] * _BASE)
+
+
 def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Positions in which two columns of sketches differ."""
     d = x ^ y
@@ -152,10 +171,6 @@ def least_agreement(threshold: float) -> int:
     return math.floor(SKETCH * p - 4 * math.sqrt(SKETCH * p * (1 - p)))
 
 
-def _chosen(g: np.ndarray, of: np.ndarray, limit: np.ndarray, salt: np.ndarray | np.uint64) -> np.ndarray:
-    return mix(g ^ salt) >> np.uint64(32) < limit[of]
-
-
 def _bucket_rows(batches: Iterator[pa.RecordBatch], runs: int, seed: int) -> Iterator[pa.RecordBatch]:
     seen: set[int] = set()
     for b in batches:
@@ -177,23 +192,9 @@ def _bucket_rows(batches: Iterator[pa.RecordBatch], runs: int, seed: int) -> Ite
         if not len(g):
             continue
         off = np.concatenate([[0], np.cumsum(size)])
-        sk = _sketches(g, off)
-        of = np.repeat(np.arange(len(size)), size)
-        limit = np.minimum(2.0**32, 2.0**32 * BRANCH / size).astype(np.uint64)
-        each = limit[of]
-        paths, recs = [], []
-        for r in range(runs):
-            h = mix(g ^ np.uint64((r + 1 + 1000 * seed) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
-            first, second = np.flatnonzero(h >> np.uint64(32) < each), np.flatnonzero((h & np.uint64(0xFFFFFFFF)) < each)
-            # every first token of a record with every second one
-            begin = np.searchsorted(of[second], of[first], "left")
-            n = np.searchsorted(of[second], of[first], "right") - begin
-            x = np.repeat(first, n)
-            y = second[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin, n)]
-            x, y = x[x != y], y[x != y]
-            paths.append(mix(mix(g[x] + np.uint64(r + 1)) * _M1 + g[y]))
-            recs.append(of[x])
-        path, rec = np.concatenate(paths), np.concatenate(recs)
+        minima = _minima(g, off, max(SKETCH, 2 * runs), seed)
+        sk = _sketches(minima)
+        path, rec = _paths(minima, runs).ravel(), np.tile(np.arange(len(size)), runs)
         yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), pa.array(names[rec]), *[pa.array(sk[rec, i].view(np.int64)) for i in range(COLUMNS)]], names=["path", "rid", *SKETCH_FIELDS])
 
 
@@ -298,7 +299,7 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _split(batches: Iterator[pa.RecordBatch], level: int) -> Iterator[pa.RecordBatch]:
-    """(path, rid, tokens) of buckets to split -> rows of their children."""
+    """(path, rid, blocks, tokens) of large buckets -> rows of their pairs of blocks, or where blocks is 0 of their children."""
     for b in batches:
         if not b.num_rows:
             continue
@@ -307,13 +308,30 @@ def _split(batches: Iterator[pa.RecordBatch], level: int) -> Iterator[pa.RecordB
         g = np.asarray(tokens.values)[off[0] : off[-1]].view(np.uint64)
         off = off - off[0]
         size = np.diff(off)
-        sk = _sketches(g, off)
-        of = np.repeat(np.arange(len(size)), size)
-        limit = np.minimum(2.0**32, 2.0**32 * LATER_BRANCH / size).astype(np.uint64)
+        sk = _sketches(_minima(g, off, SKETCH))
         path = np.asarray(b.column("path")).view(np.uint64)
-        at = np.flatnonzero(_chosen(g, of, limit, (path * _M2 + np.uint64(level))[of]))
-        rec = of[at]
-        yield pa.RecordBatch.from_arrays([pa.array(mix(path[rec] * _M1 + g[at]).view(np.int64)), b.column("rid").take(pa.array(rec)), *[pa.array(sk[rec, i].view(np.int64)) for i in range(COLUMNS)]], names=["path", "rid", *SKETCH_FIELDS])
+        rid = np.asarray(b.column("rid"))
+        blocks = np.asarray(b.column("blocks")).astype(np.int64)
+        parts = []
+        deep = np.flatnonzero(blocks == 0)
+        if len(deep):
+            inner, start = g[np.repeat(blocks == 0, size)], np.concatenate([[0], np.cumsum(size[deep])])
+            for j in range(LATER_BRANCH):
+                salt = mix(path[deep] * _M2 + np.uint64(level * LATER_BRANCH + j + 1))
+                least = np.minimum.reduceat(mix(inner ^ np.repeat(salt, size[deep])), start[:-1])
+                parts.append((mix(salt * _M1 + least), deep))
+        flat = np.flatnonzero(blocks > 0)
+        if len(flat):
+            n = blocks[flat]
+            rec = np.repeat(flat, n)
+            other = np.arange(len(rec)) - np.repeat(np.cumsum(n) - n, n)
+            own = (mix(rid[rec].view(np.uint64) ^ path[rec]) % blocks[rec].astype(np.uint64)).astype(np.int64)
+            low, high = np.minimum(own, other).astype(np.uint64), np.maximum(own, other).astype(np.uint64)
+            parts.append((mix(mix(path[rec] + low * _BASE) + high * _M1 + np.uint64(level)), rec))
+        for to, rec in parts:
+            for i in range(0, len(rec), 100_000):
+                r = rec[i : i + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(to[i : i + 100_000].view(np.int64)), pa.array(rid[r]), *[pa.array(sk[r, c].view(np.int64)) for c in range(COLUMNS)]], names=["path", "rid", *SKETCH_FIELDS])
 
 
 def _sets_of(base: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -327,17 +345,6 @@ def _sets_of(base: DataFrame, wanted: DataFrame) -> DataFrame:
 _ROWS = "path long, rid long, " + ", ".join(f"{c} long" for c in SKETCH_FIELDS)
 
 
-def _in_blocks(large: DataFrame) -> DataFrame:
-    """All pairs of buckets that further splits leave together, block against block."""
-    blocks = F.ceil(F.col("n") / BUCKET).cast("int")
-    sized = large.groupBy("path").agg(F.count("*").alias("n"))
-    x = large.join(sized, "path").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
-    x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    x = x.select("rid", F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other")).alias("block"))
-    pairs = x.alias("x").join(x.alias("y"), (F.col("x.block") == F.col("y.block")) & (F.col("x.rid") < F.col("y.rid")))
-    return pairs.select(F.lit(0).cast("byte").alias("kind"), F.col("x.rid").alias("a"), F.col("y.rid").alias("b"))
-
-
 def _prepared(vulns: DataFrame) -> DataFrame:
     t, d, u = (F.lower(F.coalesce(F.col(c), F.lit(""))) for c in ("title", "description", "source_url"))
     lo = F.octet_length(t) + 1
@@ -364,12 +371,12 @@ def class_pairs(vulns: DataFrame, threshold: float = THRESHOLD, recall: float =
         large = out.filter("kind = 1").select(F.col("a").alias("rid"), F.col("b").alias("path"))
         if not large.take(1):
             break
-        if level >= MAX_SPLITS:
-            found.append(_in_blocks(large.distinct()))
-            break
+        sized = large.groupBy("path").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        if level < MAX_SPLITS:
+            sized = sized.withColumn("blocks", F.when(F.col("blocks") <= BLOCKS, F.col("blocks")).otherwise(0))
         level += 1
         wanted = large.select("rid").distinct()
-        tokens = large.join(_sets_of(base, wanted), "rid").select("path", "rid", "tokens")
+        tokens = large.join(sized, "path").join(_sets_of(base, wanted), "rid").select("path", "rid", "blocks", "tokens")
         rows = tokens.mapInArrow(lambda it, lv=level: _split(it, lv), _ROWS)
     pairs = found[0]
     for f in found[1:]:

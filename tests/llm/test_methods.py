@@ -85,6 +85,33 @@ def test_large_buckets_are_split_and_compared_in_blocks(spark, monkeypatch):
     assert nearedit.class_pairs(df)[0].count() == n * (n - 1) // 2
 
 
+def _planted(n, lead, both, first, second):
+    """Rows of n pairs of records (lead words in all, own words in both, in the first, in the second) and the pairs at the threshold."""
+    rows, pairs = [], set()
+    for i in range(n):
+        x, y = (" ".join([f"lead{k}" for k in range(lead)] + [f"b{i}x{k}" for k in range(both)] + [f"{s}{i}x{k}" for k in range(m)]) for s, m in (("p", first), ("q", second)))
+        rows += [(f"{i:05d}p", "", x, ""), (f"{i:05d}q", "", y, "")]
+        pairs |= _brute(rows[-2:])
+    return rows, pairs
+
+
+def test_a_record_and_its_longer_copy_meet(spark):
+    # similarity 38 / 76
+    rows, want = _planted(4000, 0, 40, 0, 38)
+    assert len(want) == 4000
+    got = {(r["id_a"], r["id_b"]) for r in nearedit.near_pairs(spark.createDataFrame(rows, "id string, title string, description string, source_url string").repartition(4)).collect()}
+    assert not got - want and len(got) >= 0.9975 * len(want)
+
+
+@pytest.mark.parametrize("blocks", [nearedit.BLOCKS, 1])
+def test_pairs_under_shared_boilerplate_are_kept(spark, monkeypatch, blocks):
+    monkeypatch.setattr(nearedit, "BLOCKS", blocks)
+    rows, want = _planted(5000, 16, 18, 16, 16)
+    assert len(want) == 5000
+    got = {(r["id_a"], r["id_b"]) for r in nearedit.near_pairs(spark.createDataFrame(rows, "id string, title string, description string, source_url string").repartition(4)).collect()}
+    assert not got - want and len(got) >= 0.9975 * len(want)
+
+
 def test_many_copies_meet_once(spark):
     text = " ".join(f"word{i}" for i in range(50))
     n = nearedit.COPIES_AS_PAIRS + 50
