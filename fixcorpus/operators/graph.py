@@ -30,23 +30,27 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(node, comp): the smallest node of each node's component; links are (node, key), null keys link nothing.
 
-    Each round a node takes the smallest label among the nodes of its keys and
-    then the label of its label, so that chains shorten by halves. Labels meet
-    on keys as one row per key, so a key of many nodes is no hot group on the
-    aggregated side.
+    Each round a label takes the smallest label at its keys, chains of labels
+    are followed to their ends, and nodes and keys go on with the labels that
+    are left, until no key has two. Labels meet on keys as one row per key, so
+    a key of many nodes is no hot group on the aggregated side.
     """
     edges = written(links.filter("key is not null").select("node", "key").distinct())
     labels = written(edges.select("node").distinct().withColumn("comp", F.col("node")))
-    for _ in range(max_rounds):
-        at_key = edges.join(labels, "node").groupBy("key").agg(F.min("comp").alias("low"))
-        lower = edges.join(at_key, "key").groupBy("node").agg(F.min("low").alias("low"))
-        nxt = labels.join(lower, "node").select("node", "comp", F.least("comp", "low").alias("next"))
-        root = nxt.select(F.col("node").alias("next"), F.col("next").alias("further"))
-        jumped = written(nxt.join(root, "next", "left").select("node", "comp", F.least("next", F.coalesce("further", "next")).alias("next")))
-        labels = jumped.select("node", F.col("next").alias("comp"))
-        if not jumped.filter("comp <> next").take(1):
-            break
-    return labels
+    edges = edges.withColumnRenamed("node", "comp")
+    while True:
+        at_key = edges.groupBy("key").agg(F.min("comp").alias("low"))
+        up = written(edges.join(at_key, "key").groupBy("comp").agg(F.min("low").alias("up")))
+        if not up.filter("up <> comp").take(1):
+            return labels
+        while True:
+            further = up.select(F.col("comp").alias("up"), F.col("up").alias("top"))
+            jumped = written(up.join(further, "up").select("comp", "up", "top"))
+            up = jumped.select("comp", F.col("top").alias("up"))
+            if not jumped.filter("up <> top").take(1):
+                break
+        labels = written(labels.join(up, "comp").select("node", F.col("up").alias("comp")))
+        edges = written(edges.join(up, "comp").select(F.col("up").alias("comp"), "key").distinct())

@@ -32,6 +32,14 @@ def test_components_equal_union_find(spark):
     assert got == want
 
 
+def test_components_of_a_long_chain(spark):
+    names = [f"{i:04d}" for i in range(2000)]
+    random.Random(5).shuffle(names)
+    links = [(n, f"k{i + d}") for i, n in enumerate(names) for d in (0, 1)]
+    got = graph.components(spark.createDataFrame(links, "node string, key string"))
+    assert got.count() == 2000 and {r["comp"] for r in got.select("comp").distinct().collect()} == {"0000"}
+
+
 def test_components_of_nothing(spark):
     assert graph.components(spark.createDataFrame([("a", None)], "node string, key string")).count() == 0
 
