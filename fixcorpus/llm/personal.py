@@ -3,7 +3,7 @@
 Method (information-theoretic sanitisation): candidate terms are found by
 shape alone (addresses of mail, runs of digits, mixed codes, postal lines,
 capitalised word runs). Over all rows it is counted how often the words around
-a candidate (its cues) and the parts of the candidate stand with terms known to
+a candidate (its cues; not the parts of the candidate) stand with terms known to
 be protected (seeds: lexicon names, unmistakable numbers and addresses). From
 these co-occurrences follows how much information, in bits, a cue gives about
 the kind; a candidate whose cues and form together exceed the kind's disclosure
