@@ -2,52 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
 import os
-import shutil
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_OWN: dict[str, str] = {}
+from ..operators.tables import HOT_ROWS, join_by_group, materialize, release, scratch_dir
 
-
-def _own_dir() -> str:
-    if "dir" not in _OWN:
-        _OWN["dir"] = tempfile.mkdtemp(prefix="fixcorpus-")
-        atexit.register(shutil.rmtree, _OWN["dir"], True)
-    return _OWN["dir"]
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of the session (``spark.checkpoint.dir``); a local one only where it is unset."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    return found or "file://" + _own_dir()
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: cuts lineage, survives the loss of executors.
-
-    The folder's life is the session's; its cleaner (or the process exit for the
-    test folder) removes it.
-    """
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark).rstrip('/')}/fixcorpus/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    back = spark.read.schema(df.schema).parquet(path)
-    back._fixcorpus_path = path
-    return back
-
-
-def release(df: DataFrame) -> None:
-    """Delete a table of ``materialize`` that nothing reads any more."""
-    path = getattr(df, "_fixcorpus_path", None)
-    if path:
-        spark = df.sparkSession
-        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+__all__ = ["HOT_ROWS", "join_by_group", "materialize", "norm", "parts", "read", "release", "scratch_dir"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -62,23 +24,3 @@ def norm(c: Column) -> Column:
 def parts(df: DataFrame, rows_each: int, rows: int) -> int:
     """Number of partitions so that each holds about ``rows_each`` rows."""
     return max(1, -(-rows // rows_each))
-
-
-#: Groups with more rows than this are joined by broadcast; there are at most (all rows / HOT_ROWS) of them.
-HOT_ROWS = 200_000
-
-
-def join_by_group(rows: DataFrame, groups: DataFrame, key: str, count_col: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Inner join of rows to one row per group, where a group may hold a third of all rows.
-
-    ``count_col`` of ``groups`` is the number of rows of the group. Groups above
-    ``hot_rows`` are few (all rows / hot_rows) and go by broadcast; the others
-    are joined by shuffle, where no key holds more than ``hot_rows`` rows.
-    """
-    hot = groups.filter(F.col(count_col) > hot_rows)
-    cold = groups.filter(F.col(count_col) <= hot_rows)
-    if not hot.take(1):
-        return rows.join(cold, key)
-    in_hot = rows.join(F.broadcast(hot), key)
-    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
-    return in_hot.unionByName(rest.join(cold, key))

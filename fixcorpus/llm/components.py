@@ -21,107 +21,53 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_by_group, materialize, norm, parts
+from ..operators.graph import Forest, merge_forests
+from .common import join_by_group, materialize, norm, release
 
 EDGES_PER_PARTITION = 1_000_000
 #: Texts that never link (fixed values).
 NO_VALUE = ("", "nan", "n/a", "none", "null", "-")
 
 
-def spanning_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Nodes and, for each, the smallest node of its component: array union-find by hooking roots and halving paths."""
-    nodes, inv = np.unique(np.concatenate([a, b]), return_inverse=True)
-    u, v = inv[: len(a)], inv[len(a) :]
-    parent = np.arange(len(nodes))
-    while len(u):
-        pu, pv = parent[u], parent[v]
-        open_ = pu != pv
-        if not open_.any():
-            break
-        u, v, pu, pv = u[open_], v[open_], pu[open_], pv[open_]
-        np.minimum.at(parent, np.maximum(pu, pv), np.minimum(pu, pv))
-        while True:
-            up = parent[parent]
-            if np.array_equal(up, parent):
-                break
-            parent = up
-    return nodes, nodes[parent]
-
-
-def _local_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(rid, k0..kn) -> kind 0: (rid, root) per record with a key; kind 1: (node, root) per distinct key."""
-    ids, cols = [], []
-    for b in batches:
-        ids.append(b.column(0))
-        cols.append(np.stack([np.asarray(b.column(i).fill_null(0)) for i in range(1, b.num_columns)], axis=1) if b.num_rows else np.zeros((0, b.num_columns - 1), np.int64))
-    if not cols:
-        return
-    keys = np.concatenate(cols)
-    rid = pa.chunked_array(ids).combine_chunks() if ids else pa.array([], pa.string())
-    has = keys != 0
-    any_ = has.any(axis=1)
-    if not any_.any():
-        return
-    first = np.where(any_, keys[np.arange(len(keys)), has.argmax(axis=1)], 0)
-    left = np.broadcast_to(first[:, None], keys.shape)[has]
-    nodes, roots = spanning_forest(left, keys[has])
-    at = np.searchsorted(nodes, first[any_])
-    rid = rid.filter(pa.array(any_))
-    row_roots = roots[at]
+def _local_level(batches: Iterator[pa.RecordBatch], edges_per_partition: int) -> Iterator[pa.RecordBatch]:
+    """(rid, k0..kn) -> kind 0: (rid, root) per record; kind 1: (node, root) per distinct key of a piece."""
+    forest = Forest(edges_per_partition)
     step = 100_000
-    for i in range(0, len(row_roots), step):
-        n = len(row_roots[i : i + step])
-        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int8)), rid.slice(i, n), pa.nulls(n, pa.int64()), pa.array(row_roots[i : i + step])], names=["kind", "rid", "node", "root"])
-    for i in range(0, len(nodes), step):
-        n = len(nodes[i : i + step])
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int8)), pa.nulls(n, pa.string()), pa.array(nodes[i : i + step]), pa.array(roots[i : i + step])], names=["kind", "rid", "node", "root"])
-
-
-def _edge_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b) edges of a partition -> its forest as (node, root)."""
-    a, b = [], []
-    for x in batches:
-        a.append(np.asarray(x.column(0)))
-        b.append(np.asarray(x.column(1)))
-    if not a:
-        return
-    nodes, roots = spanning_forest(np.concatenate(a), np.concatenate(b))
-    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(roots)], names=["node", "root"])
-
-
-def _root_edges(forest: DataFrame) -> DataFrame:
-    """Edges between the roots under which one node stands in several partitions."""
-    at = forest.groupBy("node").agg(F.min("root").alias("b"), F.collect_set("root").alias("rs")).filter(F.size("rs") > 1)
-    return at.select(F.explode("rs").alias("a"), "b").filter("a <> b").distinct()
-
-
-def merge_forests(forest: DataFrame, edges_per_partition: int = EDGES_PER_PARTITION) -> DataFrame:
-    """(node, root) forests of many partitions -> (root, comp) for every root that is not its component's name."""
-    edges = materialize(_root_edges(forest), "root-edges")
-    found: DataFrame | None = None
-    before = None
-    while (n := edges.count()) > 0:
-        k = parts(edges, edges_per_partition, n)
-        if before is not None and k > 1 and n > 0.9 * before:
-            k = max(1, k // 2)
-            edges_per_partition *= 2
-        before = n
-        split = edges.repartition(k, F.greatest("a", "b")) if k > 1 else edges.coalesce(1)
-        level = materialize(split.mapInArrow(_edge_level, "node long, root long"), "forest")
-        up = level if k == 1 else level.groupBy("node").agg(F.min("root").alias("root"))
-        up = up.filter("node <> root").select(F.col("node").alias("root"), F.col("root").alias("comp"))
-        if found is None:
-            found = up
-        else:
-            # labels of earlier levels that were merged further
-            moved = found.join(up.select(F.col("root").alias("comp"), F.col("comp").alias("to")), "comp", "left").select("root", F.coalesce("to", "comp").alias("comp"))
-            found = materialize(moved.unionByName(up.join(found.select("root"), "root", "left_anti")), "merged")
-        if k == 1:
-            break
-        edges = materialize(_root_edges(level), "root-edges")
-    if found is None:
-        return forest.sparkSession.createDataFrame([], "root long, comp long")
-    return found
+    rids: list[pa.Array] = []
+    firsts: list[np.ndarray] = []
+
+    def out(nodes: np.ndarray, roots: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The forest of a piece, and the records waiting whose first key it holds."""
+        for i in range(0, len(nodes), step):
+            n = len(nodes[i : i + step])
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int8)), pa.nulls(n, pa.string()), pa.array(nodes[i : i + step]), pa.array(roots[i : i + step])], names=["kind", "rid", "node", "root"])
+        if not rids:
+            return
+        rid, first = pa.concat_arrays(rids), np.concatenate(firsts)
+        order = np.argsort(nodes)
+        at = np.minimum(np.searchsorted(nodes, first, sorter=order), len(nodes) - 1)
+        here = nodes[order][at] == first
+        own, mine = roots[order][at][here], rid.filter(pa.array(here))
+        rids[:], firsts[:] = ([rid.filter(pa.array(~here))], [first[~here]]) if not here.all() else ([], [])
+        for i in range(0, len(own), step):
+            n = len(own[i : i + step])
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int8)), mine.slice(i, n), pa.nulls(n, pa.int64()), pa.array(own[i : i + step])], names=["kind", "rid", "node", "root"])
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        keys = np.stack([np.asarray(b.column(i).fill_null(0)) for i in range(1, b.num_columns)], axis=1)
+        has = keys != 0
+        first = keys[np.arange(len(keys)), has.argmax(axis=1)]  # every record has its own id as a key
+        rids.append(b.column(0))
+        firsts.append(first)
+        for piece in forest.add(np.broadcast_to(first[:, None], keys.shape)[has], keys[has]):
+            yield from out(*piece)
+        if sum(map(len, firsts)) > edges_per_partition:
+            for piece in forest.rest():
+                yield from out(*piece)
+    for piece in forest.rest():
+        yield from out(*piece)
 
 
 def link_groups(df: DataFrame, id_col: str, keys: list[Column], edges_per_partition: int = EDGES_PER_PARTITION) -> DataFrame:
@@ -136,12 +82,13 @@ def link_groups(df: DataFrame, id_col: str, keys: list[Column], edges_per_partit
     """
     hashed = [F.when(k.isNotNull(), F.xxhash64(F.lit(i), k)) for i, k in enumerate(keys)]
     links = df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("rid"), *[h.alias(f"k{i}") for i, h in enumerate([*hashed, F.xxhash64(F.lit("own id"), F.col(id_col))])])
-    level0 = materialize(links.mapInArrow(_local_level, "kind byte, rid string, node long, root long"), "links")
+    level0 = materialize(links.mapInArrow(lambda it: _local_level(it, edges_per_partition), "kind byte, rid string, node long, root long"), "links")
     rows = level0.filter("kind = 0").select("rid", "root")
     merged = merge_forests(level0.filter("kind = 1").select("node", "root"), edges_per_partition)
     roots = rows.groupBy("root").agg(F.count("*").alias("n"), F.min("rid").alias("low"), F.max("rid").alias("high"))
     named = roots.join(merged, "root", "left").withColumn("comp", F.coalesce("comp", "root"))
     named = materialize(named, "roots")
+    release(merged)
     groups = named.groupBy("comp").agg(F.sum("n").alias("rows"), F.count("*").alias("roots"), F.min("low").alias("group_id"), F.max("high").alias("last"))
     groups = groups.filter("group_id <> last").drop("last")
     by_root = join_by_group(named.select("root", "n", "comp"), groups, "comp", "roots").select("root", "n", "group_id", F.col("rows").alias("group_size"))

@@ -5,15 +5,21 @@ record follows tokens of its set, each the least one under a hash of (path so
 far, choice), so that two sets go on together with a chance of their similarity
 whatever their sizes; buckets of at most ``BUCKET`` records are compared by
 brute force, those of up to ``BLOCKS`` blocks block against block, larger ones
-are split again on further tokens, and what ``MAX_SPLITS`` splits leave together
-is compared in blocks. Runs are repeated until the target recall holds for pairs
-at the threshold that go through all splits.
-
-The first two splits depend on nothing but the record and the run and are made
-where it lies. Records with the same set are one class, named by a hash of the
-set, so exact copies meet once in a bucket whatever their number. Bucket rows
-carry a minwise sketch of 256 bits; pairs whose sketches rule the threshold out are not
-checked further. Remaining pairs are verified on the sets themselves.
+are split again on further tokens for as long as a split at least halves them.
+A bucket of which a split leaves more than half together holds records that are
+mostly alike, so that its pairs are mostly results: it is compared in blocks.
+Runs are repeated until the target recall holds for pairs at the threshold
+however often their buckets are split.
+
+Texts are read once: a table of the shared folder holds the set of every class
+(records with the same set, named by a hash of it), and all later stages read
+that. Exact copies so meet once in a bucket whatever their number. Bucket rows
+carry a minwise sketch of 256 bits; pairs whose sketches rule the threshold out
+are not checked further. Remaining pairs are verified on the sets themselves.
+
+A path that one batch alone fills beyond ``BUCKET`` is known to be large there:
+its rows are spread over slots instead of meeting in one task, and a mark in the
+path's own slot tells those of other batches that they belong to a large bucket.
 """
 
 from __future__ import annotations
@@ -26,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HOT_ROWS, join_by_group, materialize
+from .common import HOT_ROWS, join_by_group, materialize, release
 from .components import link_groups
 
 THRESHOLD = 0.5
@@ -39,9 +45,12 @@ BUCKET = 512
 BLOCK, BLOCKS = 205, 16
 #: Tokens a record follows per split after the first two, in which it follows one.
 LATER_BRANCH = 4
-MAX_SPLITS = 6
-#: Copies of one set up to this number are listed as all their pairs, above it as pairs with the class's first record.
+#: Copies of one set up to this number are listed as all their pairs, above it as pairs with the class's first record (unless ``near_pairs`` is asked for all).
 COPIES_AS_PAIRS = 200
+#: Records per block where all pairs of a large class are asked for.
+COPY_BLOCK = 500
+#: Stands for no record: marks a path that is large in another slot.
+MARK = -1
 #: Positions of a sketch, of two bits each.
 SKETCH = 128
 COLUMNS = SKETCH // 32
@@ -56,7 +65,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 def runs_for(threshold: float, recall: float) -> int:
     """Runs after which a pair at the threshold is met with the target recall, whatever the sizes of its sets and however often its buckets are split."""
     stays = 1.0
-    for _ in range(MAX_SPLITS - 2):
+    for _ in range(100):  # the chance of staying together through any number of later splits (its fixed point)
         stays = 1 - (1 - threshold * stays) ** LATER_BRANCH
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - threshold**2 * stays)))
 
@@ -171,31 +180,37 @@ def least_agreement(threshold: float) -> int:
     return math.floor(SKETCH * p - 4 * math.sqrt(SKETCH * p * (1 - p)))
 
 
+def _spread(path: np.ndarray, rid: np.ndarray, sketch: np.ndarray, up: np.ndarray) -> pa.RecordBatch:
+    """Bucket rows with their slot: 0, or where this batch alone makes a bucket large one of many, besides a mark in slot 0."""
+    paths, inv, n = np.unique(path, return_inverse=True, return_counts=True)
+    large = n > BUCKET
+    slot = np.where(large[inv], (mix(rid.view(np.uint64)) >> np.uint64(44)).astype(np.int32) + 1, 0).astype(np.int32)
+    if large.any():
+        k = int(large.sum())
+        ups = np.zeros(len(paths), up.dtype)
+        ups[inv] = up
+        path, rid, slot = np.concatenate([path, paths[large]]), np.concatenate([rid, np.full(k, MARK)]), np.concatenate([slot, np.zeros(k, np.int32)])
+        sketch, up = np.concatenate([sketch, np.zeros((k, COLUMNS), np.uint64)]), np.concatenate([up, ups[large]])
+    return pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), pa.array(slot), pa.array(rid), pa.array(up), *[pa.array(sketch[:, i].view(np.int64)) for i in range(COLUMNS)]], names=["path", "slot", "rid", "up", *SKETCH_FIELDS])
+
+
+def _list_values(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values and row offsets of a column of sets."""
+    off = np.asarray(col.offsets).astype(np.int64)
+    return np.asarray(col.values)[off[0] : off[-1]].view(np.uint64), off - off[0]
+
+
 def _bucket_rows(batches: Iterator[pa.RecordBatch], runs: int, seed: int) -> Iterator[pa.RecordBatch]:
-    seen: set[int] = set()
+    """(rid, tokens) -> a row per run with the bucket after two splits."""
     for b in batches:
         if not b.num_rows:
             continue
-        g, off, inside = shingle_sets(b.column("text"), np.asarray(b.column("lo")).astype(np.int64), np.asarray(b.column("hi")).astype(np.int64))
-        size = np.diff(off)
-        names = set_names(g, off)
-        ok = (inside >= MIN_DESCRIPTION_WORDS) & (size > 0)
-        # copies inside the partition walk the tree once
-        fresh = ok.copy()
-        for i in np.flatnonzero(ok).tolist():
-            if names[i] in seen:
-                fresh[i] = False
-            else:
-                seen.add(int(names[i]))
-        keep = np.repeat(fresh, size)
-        g, size, names = g[keep], size[fresh], names[fresh]
-        if not len(g):
-            continue
-        off = np.concatenate([[0], np.cumsum(size)])
+        names = np.asarray(b.column("rid"))
+        g, off = _list_values(b.column("tokens"))
         minima = _minima(g, off, max(SKETCH, 2 * runs), seed)
         sk = _sketches(minima)
-        path, rec = _paths(minima, runs).ravel(), np.tile(np.arange(len(size)), runs)
-        yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), pa.array(names[rec]), *[pa.array(sk[rec, i].view(np.int64)) for i in range(COLUMNS)]], names=["path", "rid", *SKETCH_FIELDS])
+        path, rec = _paths(minima, runs).ravel(), np.tile(np.arange(len(names)), runs)
+        yield _spread(path, names[rec], sk[rec], np.zeros(len(rec), np.int64))
 
 
 def _compare_sorted(path: np.ndarray, rid: np.ndarray, sketch: list[np.ndarray], least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -216,21 +231,23 @@ def _compare_sorted(path: np.ndarray, rid: np.ndarray, sketch: list[np.ndarray],
 
 
 def _buckets(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (path, rid) -> kind 0: candidate pair (a, b); kind 1: row (rid, path) of a bucket to split."""
+    """Rows sorted by (path, slot, rid) -> kind 0: candidate pair (a, b); kind 1: row (rid, path) of a large bucket, and the size ``up`` of the bucket it was split from."""
     carry: list[np.ndarray] | None = None
     large_path: int | None = None
     done: set[tuple[int, int]] = set()
 
-    def out(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), pa.array(a), pa.array(b)], names=["kind", "a", "b"])
+    def out(kind: int, a: np.ndarray, b: np.ndarray, up: np.ndarray | None = None) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), pa.array(a), pa.array(b), pa.array(np.zeros(len(a), np.int64) if up is None else up)], names=["kind", "a", "b", "up"])
 
     def work(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        path, rid, *sketch = cols
+        path, rid, up, *sketch = cols
         start = np.flatnonzero(np.concatenate([[True], path[1:] != path[:-1]]))
         n = np.diff(np.concatenate([start, [len(path)]]))
-        big = np.repeat(n > BUCKET, n)
+        # a mark is the first row of its path, as records have names from 0 on
+        big = np.repeat((n > BUCKET) | (rid[start] == MARK), n)
         if big.any():
-            yield out(1, rid[big], path[big])
+            real = big & (rid != MARK)
+            yield out(1, rid[real], path[real], up[real])
         small = ~big & np.repeat(n > 1, n)
         a, b = _compare_sorted(path[small], rid[small], [s[small] for s in sketch], least, BUCKET)
         if len(a):
@@ -243,8 +260,16 @@ def _buckets(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Recor
     for batch in batches:
         if not batch.num_rows:
             continue
-        cols = [np.asarray(batch.column(i)) for i in range(2 + COLUMNS)]
-        cols[2:] = [c.view(np.uint64) for c in cols[2:]]
+        cols = [np.asarray(batch.column(c)) for c in ("path", "rid", "up", *SKETCH_FIELDS)]
+        cols[3:] = [c.view(np.uint64) for c in cols[3:]]
+        slot = np.asarray(batch.column("slot"))
+        if slot.any():
+            # known to be large where they come from
+            far = slot > 0
+            yield out(1, cols[1][far], cols[0][far], cols[2][far])
+            cols = [c[~far] for c in cols]
+            if not len(cols[0]):
+                continue
         if carry is not None:
             cols = [np.concatenate([x, y]) for x, y in zip(carry, cols)]
             carry = None
@@ -254,7 +279,7 @@ def _buckets(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Recor
         if large_path is not None:
             same = cols[0] == large_path
             if same.any():
-                yield out(1, cols[1][same], cols[0][same])
+                yield out(1, cols[1][same], cols[0][same], cols[2][same])
                 cols = [c[~same] for c in cols]
             if not len(cols[0]):
                 continue
@@ -272,45 +297,35 @@ def _buckets(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Recor
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text, lo, hi) -> (rid, tokens): the set of every class met in the partition, once."""
+    """(id, text, lo, hi) -> (id, rid, tokens) of every record taking part; tokens are null where the partition has met the class."""
     seen: set[int] = set()
     for b in batches:
         if not b.num_rows:
             continue
         g, off, inside = shingle_sets(b.column("text"), np.asarray(b.column("lo")).astype(np.int64), np.asarray(b.column("hi")).astype(np.int64))
-        names = set_names(g, off)
-        keep = []
-        for i in np.flatnonzero((inside >= MIN_DESCRIPTION_WORDS) & (np.diff(off) > 0)).tolist():
-            if names[i] not in seen:
-                seen.add(int(names[i]))
-                keep.append(i)
-        if keep:
-            tokens = pa.LargeListArray.from_arrays(pa.array(off), pa.array(g.view(np.int64))).cast(pa.list_(pa.int64())).take(pa.array(keep))
-            yield pa.RecordBatch.from_arrays([pa.array(names[keep]), tokens], names=["rid", "tokens"])
-
-
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        if not b.num_rows:
+        ok = np.flatnonzero((inside >= MIN_DESCRIPTION_WORDS) & (np.diff(off) > 0))
+        if not len(ok):
             continue
-        g, off, inside = shingle_sets(b.column("text"), np.asarray(b.column("lo")).astype(np.int64), np.asarray(b.column("hi")).astype(np.int64))
-        ok = (inside >= MIN_DESCRIPTION_WORDS) & (np.diff(off) > 0)
-        yield pa.RecordBatch.from_arrays([b.column("id").filter(pa.array(ok)), pa.array(set_names(g, off)[ok])], names=["id", "rid"])
+        names = set_names(g, off)[ok]
+        fresh = np.zeros(len(ok), bool)
+        for i, x in enumerate(names.tolist()):
+            if x not in seen:
+                seen.add(x)
+                fresh[i] = True
+        tokens = pa.LargeListArray.from_arrays(pa.array(off), pa.array(g.view(np.int64))).cast(pa.list_(pa.int64())).take(pa.array(np.where(fresh, ok, -1), mask=~fresh))
+        yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(ok)), pa.array(names), tokens], names=["id", "rid", "tokens"])
 
 
 def _split(batches: Iterator[pa.RecordBatch], level: int) -> Iterator[pa.RecordBatch]:
-    """(path, rid, blocks, tokens) of large buckets -> rows of their pairs of blocks, or where blocks is 0 of their children."""
+    """(path, rid, n, blocks, tokens) of large buckets of n records -> rows of their pairs of blocks, or where blocks is 0 of their children."""
     for b in batches:
         if not b.num_rows:
             continue
-        tokens = b.column("tokens")
-        off = np.asarray(tokens.offsets).astype(np.int64)
-        g = np.asarray(tokens.values)[off[0] : off[-1]].view(np.uint64)
-        off = off - off[0]
+        g, off = _list_values(b.column("tokens"))
         size = np.diff(off)
         sk = _sketches(_minima(g, off, SKETCH))
         path = np.asarray(b.column("path")).view(np.uint64)
-        rid = np.asarray(b.column("rid"))
+        rid, n_records = np.asarray(b.column("rid")), np.asarray(b.column("n"))
         blocks = np.asarray(b.column("blocks")).astype(np.int64)
         parts = []
         deep = np.flatnonzero(blocks == 0)
@@ -331,18 +346,17 @@ def _split(batches: Iterator[pa.RecordBatch], level: int) -> Iterator[pa.RecordB
         for to, rec in parts:
             for i in range(0, len(rec), 100_000):
                 r = rec[i : i + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(to[i : i + 100_000].view(np.int64)), pa.array(rid[r]), *[pa.array(sk[r, c].view(np.int64)) for c in range(COLUMNS)]], names=["path", "rid", *SKETCH_FIELDS])
+                yield _spread(to[i : i + 100_000], rid[r], sk[r], n_records[r])
 
 
-def _sets_of(base: DataFrame, wanted: DataFrame) -> DataFrame:
+def _sets_of(sets: DataFrame, wanted: DataFrame) -> DataFrame:
     """(rid, tokens) of the wanted classes; filtered before the shuffle where their number is small enough to be sent to all."""
-    sets = base.mapInArrow(_sets, "rid long, tokens array<long>")
     if wanted.count() <= BROADCAST_CLASSES:
         sets = sets.join(F.broadcast(wanted), "rid", "left_semi")
     return sets.dropDuplicates(["rid"])
 
 
-_ROWS = "path long, rid long, " + ", ".join(f"{c} long" for c in SKETCH_FIELDS)
+_ROWS = "path long, slot int, rid long, up long, " + ", ".join(f"{c} long" for c in SKETCH_FIELDS)
 
 
 def _prepared(vulns: DataFrame) -> DataFrame:
@@ -360,54 +374,83 @@ def class_pairs(vulns: DataFrame, threshold: float = THRESHOLD, recall: float =
     """
     least = least_agreement(threshold)
     runs = runs_for(threshold, recall)
-    base = _prepared(vulns)
-    rows = base.mapInArrow(lambda it: _bucket_rows(it, runs, seed), _ROWS)
+    base = materialize(_prepared(vulns).mapInArrow(_sets, "id string, rid long, tokens array<long>"), "sets")
+    sets = base.filter("tokens is not null").select("rid", "tokens")
+    rows = sets.mapInArrow(lambda it: _bucket_rows(it, runs, seed), _ROWS)
     found: list[DataFrame] = []
     level = 2
     while True:
-        by_path = rows.repartition("path").sortWithinPartitions("path", "rid")
-        out = materialize(by_path.mapInArrow(lambda it: _buckets(it, least), "kind byte, a long, b long"), "buckets")
-        found.append(out.filter("kind = 0"))
-        large = out.filter("kind = 1").select(F.col("a").alias("rid"), F.col("b").alias("path"))
+        by_path = rows.repartition("path", "slot").sortWithinPartitions("path", "slot", "rid")
+        out = materialize(by_path.mapInArrow(lambda it: _buckets(it, least), "kind byte, a long, b long, up long"), "buckets")
+        found.append(out)
+        # records of one class may come from several partitions of the table
+        large = out.filter("kind = 1").select(F.col("a").alias("rid"), F.col("b").alias("path"), "up")
         if not large.take(1):
             break
-        sized = large.groupBy("path").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-        if level < MAX_SPLITS:
-            sized = sized.withColumn("blocks", F.when(F.col("blocks") <= BLOCKS, F.col("blocks")).otherwise(0))
+        sized = large.groupBy("path").agg(F.count("*").alias("n"), F.max("up").alias("up"))
+        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+        alike = (F.col("up") > 0) & (2 * F.col("n") > F.col("up"))
+        sized = materialize(sized.select("path", "n", F.when((blocks <= BLOCKS) | alike, blocks).otherwise(0).alias("blocks")), "sized")
         level += 1
         wanted = large.select("rid").distinct()
-        tokens = large.join(sized, "path").join(_sets_of(base, wanted), "rid").select("path", "rid", "blocks", "tokens")
+        tokens = join_by_group(large.select("path", "rid"), sized, "path", "n").join(_sets_of(sets, wanted), "rid").select("path", "rid", "n", "blocks", "tokens")
         rows = tokens.mapInArrow(lambda it, lv=level: _split(it, lv), _ROWS)
-    pairs = found[0]
+    pairs = found[0].filter("kind = 0")
     for f in found[1:]:
-        pairs = pairs.unionByName(f)
+        pairs = pairs.unionByName(f.filter("kind = 0"))
     pairs = materialize(pairs.select("a", "b").distinct(), "candidates")
+    for f in found:
+        release(f)
     sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("rid"))
     wanted = materialize(sides.select("rid").distinct(), "wanted")
-    both = sides.join(_sets_of(base, wanted), "rid").groupBy("a", "b").agg(F.collect_list("tokens").alias("t"))
+    both = sides.join(_sets_of(sets, wanted), "rid").groupBy("a", "b").agg(F.collect_list("tokens").alias("t"))
     shared = F.size(F.array_intersect(F.col("t")[0], F.col("t")[1]))
     both = both.withColumn("shared", shared).withColumn("united", F.size(F.col("t")[0]) + F.size(F.col("t")[1]) - F.col("shared"))
     good = both.filter(F.col("shared") >= F.lit(threshold) * F.col("united")).select("a", "b", (F.col("shared") / F.col("united")).alias("similarity"))
-    return materialize(good, "pairs"), base.mapInArrow(_members, "id string, rid long")
-
-
-def near_pairs(vulns: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL) -> DataFrame:
+    verified, members = materialize(good, "pairs"), materialize(base.select("id", "rid").distinct(), "members")
+    for x in (pairs, wanted, base):
+        release(x)
+    return verified, members
+
+
+def _all_copies(members: DataFrame, sized: DataFrame) -> DataFrame:
+    """(id_a, id_b): all pairs of records of one class, block against block, so that no task holds more than two blocks of a class."""
+    blocked = sized.filter("n > 1").select("rid", "n", F.ceil(F.col("n") / COPY_BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks")).cast("int")
+    x = join_by_group(members, blocked, "rid", "n").select("rid", "id", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    x = x.select("rid", "id", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    left, right = x.alias("x"), x.alias("y")
+    meet = (F.col("x.rid") == F.col("y.rid")) & (F.col("x.low") == F.col("y.low")) & (F.col("x.high") == F.col("y.high")) & (F.col("x.id") < F.col("y.id"))
+    # records of one block meet in the row of that block only
+    once = (F.col("x.low") == F.col("x.high")) | (F.col("x.own") != F.col("y.own"))
+    return left.join(right, meet & once).select(F.col("x.id").alias("id_a"), F.col("y.id").alias("id_b"))
+
+
+def near_pairs(vulns: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL, copies_as_pairs: int | None = COPIES_AS_PAIRS) -> DataFrame:
     """(id_a, id_b), id_a < id_b: pairs of records with similarity at or above the threshold.
 
     Records of two similar sets are paired one by one. Copies of one set are
-    paired with each other up to COPIES_AS_PAIRS copies; a larger class gives
+    paired with each other up to ``copies_as_pairs`` copies; a larger class gives
     the pairs of its first record with all others (no link is lost), and so do
-    pairs of classes of which one is that large.
+    pairs of classes of which one is that large. With ``copies_as_pairs`` None
+    every pair is listed, also of large classes.
     """
     pairs, members = class_pairs(vulns, threshold, recall)
-    members = materialize(members.distinct(), "members")
-    sized = members.groupBy("rid").agg(F.count("*").alias("n"), F.min("id").alias("first"))
-    many = sized.filter(F.col("n") > COPIES_AS_PAIRS)
+    sized = materialize(members.groupBy("rid").agg(F.count("*").alias("n"), F.min("id").alias("first")), "classes")
+    if copies_as_pairs is None:
+        sides = pairs.select("a", "b").join(sized.select(F.col("rid").alias("a"), F.col("n").alias("na")), "a").join(sized.select(F.col("rid").alias("b"), F.col("n").alias("nb")), "b")
+        # the records of the smaller class stand beside the pair, those of the larger one are joined to them
+        small, large = F.when(F.col("na") <= F.col("nb"), F.col("a")).otherwise(F.col("b")), F.when(F.col("na") <= F.col("nb"), F.col("b")).otherwise(F.col("a"))
+        sides = sides.select(small.alias("s"), large.alias("l"), F.greatest("na", "nb").alias("n"))
+        one = sides.join(members.select(F.col("rid").alias("s"), F.col("id").alias("ia")), "s")
+        across = one.join(members.select(F.col("rid").alias("l"), F.col("id").alias("ib")), "l")
+        return across.select(F.least("ia", "ib").alias("id_a"), F.greatest("ia", "ib").alias("id_b")).unionByName(_all_copies(members, sized)).filter("id_a <> id_b").distinct()
+    many = sized.filter(F.col("n") > copies_as_pairs)
     star = join_by_group(members, many, "rid", "n").filter("id > first").select(F.col("first").alias("id_a"), F.col("id").alias("id_b"))
     # the records of huge classes (at most all rows / HOT_ROWS classes) stay out of the shuffle by class
     huge = sized.filter(F.col("n") > HOT_ROWS).select("rid")
     cool = members.join(F.broadcast(huge), "rid", "left_anti") if huge.take(1) else members
-    small = cool.join(sized.filter(F.col("n") <= COPIES_AS_PAIRS).select("rid", "n"), "rid")
+    small = cool.join(sized.filter(F.col("n") <= copies_as_pairs).select("rid", "n"), "rid")
     few = small.filter("n > 1")
     within = few.alias("x").join(few.alias("y"), (F.col("x.rid") == F.col("y.rid")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("id_a"), F.col("y.id").alias("id_b"))
     # what stands for a class in pairs of classes: its records, or the first where there are many
@@ -420,7 +463,6 @@ def near_pairs(vulns: DataFrame, threshold: float = THRESHOLD, recall: float = T
 def near_groups(vulns: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL) -> DataFrame:
     """(id, class_id, group_id, links): every record taking part, its class of equal sets, its group, its number of similar other classes."""
     pairs, members = class_pairs(vulns, threshold, recall)
-    members = materialize(members.distinct(), "members")
     ends = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     links = ends.groupBy("a").agg(F.count("*").alias("links")).withColumnRenamed("a", "rid")
     edge = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.hash("a", "b").alias("salt"), F.col("a"), F.col("b")), F.struct(F.col("b").alias("node"), F.hash("a", "b").alias("salt"), F.col("a"), F.col("b")))).alias("e"))
@@ -430,7 +472,5 @@ def near_groups(vulns: DataFrame, threshold: float = THRESHOLD, recall: float =
     classes = classes.withColumn("comp", F.coalesce("comp", "rid"))
     first = classes.groupBy("comp").agg(F.min("class_id").alias("group_id"))
     classes = classes.join(first, "comp").select("rid", "class_id", "group_id", F.coalesce("links", F.lit(0)).alias("links"), "n")
-    hot = classes.filter(F.col("n") > HOT_ROWS)
-    cold = classes.filter(F.col("n") <= HOT_ROWS)
-    out = members.join(F.broadcast(hot), "rid").unionByName(members.join(F.broadcast(hot.select("rid")), "rid", "left_anti").join(cold, "rid"))
+    out = join_by_group(members, materialize(classes, "classes"), "rid", "n")
     return out.select("id", "class_id", "group_id", "links")

@@ -11,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from fixcorpus.operators.graph import spanning_forest
 from fixcorpus.llm import capping, components, mixing, mojibake, nearedit, packing, personal, residue, secrets, truncation
 
 
@@ -78,7 +79,7 @@ def test_near_pairs_equal_brute_force(spark):
 
 
 def test_large_buckets_are_split_and_compared_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(nearedit, "MAX_SPLITS", 2)
+    monkeypatch.setattr(nearedit, "BLOCKS", 1)
     text = " ".join(f"common{i}" for i in range(60))
     n = nearedit.BUCKET + 40
     df = spark.createDataFrame([(f"{i:04d}", "", f"{text} end{i}", "") for i in range(n)], "id string, title string, description string, source_url string")
@@ -118,6 +119,8 @@ def test_many_copies_meet_once(spark):
     df = spark.createDataFrame([(f"{i:04d}", "", text, "") for i in range(n)] + [("z", "", text + " more", "")], "id string, title string, description string, source_url string")
     got = {(r["id_a"], r["id_b"]) for r in nearedit.near_pairs(df).collect()}
     assert got == {("0000", f"{i:04d}") for i in range(1, n)} | {("0000", "z")}
+    every = {(r["id_a"], r["id_b"]) for r in nearedit.near_pairs(df, copies_as_pairs=None).collect()}
+    assert every == set(itertools.combinations([*(f"{i:04d}" for i in range(n)), "z"], 2))
     groups = nearedit.near_groups(df).collect()
     assert len(groups) == n + 1 and {r["group_id"] for r in groups} == {"0000"}
 
@@ -129,7 +132,7 @@ def test_many_copies_meet_once(spark):
 @given(st.lists(st.tuples(st.integers(0, 40), st.integers(0, 40)), min_size=1, max_size=80))
 def test_spanning_forest(edges):
     a, b = np.array(edges).T
-    nodes, roots = components.spanning_forest(a, b)
+    nodes, roots = spanning_forest(a, b)
     label = {n: n for n in nodes.tolist()}
     for _ in range(len(label)):
         for x, y in edges:
