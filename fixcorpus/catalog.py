@@ -21,14 +21,8 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
-#: Tables with texts that are worth spreading when they lie in fewer files than there are cores.
-WIDE = ("wallet_vulns", "crawl_rows", "commit_history", "documents")
-
-
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    df = spark.read.parquet(os.path.join(d, f"{name}.parquet"))
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if name in WIDE and df.rdd.getNumPartitions() < cores else df
+    return spark.read.parquet(os.path.join(d, f"{name}.parquet"))
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -82,13 +76,31 @@ scores AS (
     FROM silent_fix_scores WHERE source_url IS NOT NULL AND trim(source_url) <> ''
   ) WHERE rn = 1
 )"""
+#: The shapes as SQL: a neighbour that is no key character is taken along and put back instead of being looked at.
+_SECRET_SQL = "(?i)(aws|secret|access[_ -]?key|api[_ -]?key|token|password|credential)([^\\n]{0,39}?[^A-Za-z0-9/+=\\n])[A-Za-z0-9/+=]{40}([^A-Za-z0-9/+=]|$)"
+
+
+def _masked_sql(column: str) -> str:
+    out = column
+    for _, shape in redact.SHAPES[:-1]:
+        out = f"regexp_replace({out}, {q(shape)}, '{redact.MASK}', 'g')"
+    return f"regexp_replace({out}, {q(_SECRET_SQL)}, '{redact.MASK}\\3', 'g')"
+
+
+def _phrase_sql(column: str) -> str:
+    return f"CASE WHEN regexp_matches({column}, {q(redact.PHRASE_CONTEXT)}) AND regexp_matches({column}, {q(redact.WORD_RUN)}) THEN regexp_replace({column}, {q(redact.WORD_RUN)}, '{redact.MASK}', 'g') ELSE {column} END"
+
+
+_MASKED = f"""
+masked0 AS (SELECT * REPLACE ({_masked_sql('title')} AS title, {_masked_sql('description')} AS description) FROM wallet_vulns),
+masked AS (SELECT * REPLACE ({_phrase_sql('title')} AS title, {_phrase_sql('description')} AS description) FROM masked0)"""
 _BASE = f"""
-WITH {_SCORES}, base AS (
+WITH {_SCORES}, {_MASKED}, base AS (
   SELECT v.id, lower(trim(coalesce(source_platform, ''))) AS source_platform, contest, severity, coalesce(title, '') AS t, coalesce(description, '') AS d, v.source_url,
     coalesce(title, '') || ' ' || coalesce(description, '') AS blob, lower(trim(coalesce(severity, ''))) AS sev, stride, cwe_top25,
     coalesce(s.scored_prob, v.silent_fix_prob) AS prob, s.scored_fix, r.slug IS NOT NULL AS known,
     '\\b' || regexp_replace(r.slug, '[-_ ]+', '[-_ ]?', 'g') || '\\b' AS ident
-  FROM wallet_vulns v LEFT JOIN scores s ON v.source_url = s.source_url
+  FROM masked v LEFT JOIN scores s ON v.source_url = s.source_url
   LEFT JOIN (SELECT DISTINCT lower(trim(slug)) AS slug FROM wallet_registry) r ON r.slug = lower(trim(coalesce(v.source_platform, '')))
 ), feat AS (
   SELECT *, {rx('blob', P.CVE)} AS f_cve, {rx('blob', P.ADVISORY_ID)} AS f_advisory, sev IN {in_list(V.RATED)} AS f_rated, sev IN {in_list(V.HIGH)} AS f_high,
@@ -118,7 +130,15 @@ WITH {_SCORES}, base AS (
   FROM scored
 ), staged AS (
   SELECT *, CASE {' '.join(f"WHEN {s} THEN '{s}'" for s in gate.STAGES[:-1])} WHEN NOT relevant THEN 'low_signal' END AS drop_stage FROM judged
-)
+), labels AS (
+  SELECT * FROM (SELECT id, fix_commit, introduced_in_commit, coalesce(nullif(cwe_top25, ''), 'N/A') AS cwe_top25, label, pre_fix_code, row_number() OVER (PARTITION BY id ORDER BY {', '.join(f'{c} NULLS LAST' for c in gate.LABEL_COLUMNS)}) AS rn FROM wallet_vulns WHERE id IS NOT NULL) WHERE rn = 1
+), ranked AS (
+  SELECT s.* EXCLUDE (fix_commit), l.fix_commit, l.label,
+    CASE WHEN coalesce(l.pre_fix_code, '') IN ('', '[]') THEN 0.0 ELSE 8.0 END + CASE WHEN regexp_matches(coalesce(s.source_url, ''), '/(pull|commit)/') THEN 4.0 ELSE 0.0 END
+      + CASE authority_tier WHEN 'A_authoritative' THEN 3.0 WHEN 'B_corroborated' THEN 2.0 WHEN 'A_dependency' THEN 1.5 ELSE 1.0 END + least(length(s.d), 2000) / 1000.0 AS richness,
+    coalesce(s.source_platform || '|' || nullif(l.fix_commit, ''), 'id|' || s.id) AS k
+  FROM staged s LEFT JOIN labels l ON l.id = s.id WHERE drop_stage IS NULL
+), curated AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY richness DESC, id) AS rn FROM ranked) WHERE rn = 1)
 """
 
 
@@ -126,6 +146,11 @@ def _judged(spark: SparkSession, d: str) -> DataFrame:
     return gate.judged(table(spark, d, "wallet_vulns"), table(spark, d, "wallet_registry"), table(spark, d, "silent_fix_scores"))
 
 
+def _curated(spark: SparkSession, d: str) -> DataFrame:
+    v = table(spark, d, "wallet_vulns")
+    return gate.curated(v, table(spark, d, "wallet_registry"), table(spark, d, "silent_fix_scores"), labels=v)
+
+
 def _feature_query(name: str, *columns: str) -> None:
     @query(name, _BASE + f"SELECT id, {', '.join(columns)} FROM staged")
     def run(spark: SparkSession, d: str) -> DataFrame:
@@ -157,24 +182,55 @@ def drop_stage_counts(spark: SparkSession, d: str) -> DataFrame:
     return gate.stage_counts(_judged(spark, d))
 
 
-@query("curated_findings", _BASE + "SELECT id, source_platform, severity, score, confidence_tier, signal_count, authority_tier, verdict, fix_commit FROM staged WHERE drop_stage IS NULL")
+@query("curated_findings", _BASE + "SELECT id, source_platform, severity, t AS title, score, confidence_tier, signal_count, authority_tier, verdict, fix_commit FROM curated")
 def curated_findings(spark: SparkSession, d: str) -> DataFrame:
-    kept = gate.curated(table(spark, d, "wallet_vulns"), table(spark, d, "wallet_registry"), table(spark, d, "silent_fix_scores"))
-    return kept.select("id", "source_platform", "severity", "score", "confidence_tier", "signal_count", "authority_tier", "verdict", "fix_commit")
+    kept = gate.checked(_curated(spark, d))
+    return kept.select("id", "source_platform", "severity", T.text("title").alias("title"), "score", "confidence_tier", "signal_count", "authority_tier", "verdict", "fix_commit")
 
 
-@query("gate_tier_counts", _BASE + "SELECT authority_tier, confidence_tier, count(*) AS n FROM staged WHERE drop_stage IS NULL GROUP BY ALL")
+@query("gate_tier_counts", _BASE + "SELECT authority_tier, confidence_tier, count(*) AS n FROM curated GROUP BY ALL")
 def gate_tier_counts(spark: SparkSession, d: str) -> DataFrame:
-    return _judged(spark, d).filter("drop_stage is null").groupBy("authority_tier", "confidence_tier").agg(F.count("*").alias("n"))
+    return _curated(spark, d).groupBy("authority_tier", "confidence_tier").agg(F.count("*").alias("n"))
 
 
-@query("manifest_counts", _BASE + "SELECT authority_tier, confidence_tier, verdict, grouping_id(authority_tier, confidence_tier, verdict)::INT AS which, count(*) AS n FROM staged WHERE drop_stage IS NULL GROUP BY GROUPING SETS ((authority_tier), (confidence_tier), (verdict), ())")
+@query("manifest_counts", _BASE + "SELECT authority_tier, confidence_tier, verdict, grouping_id(authority_tier, confidence_tier, verdict)::INT AS which, count(*) AS n FROM curated GROUP BY GROUPING SETS ((authority_tier), (confidence_tier), (verdict), ())")
 def manifest_counts(spark: SparkSession, d: str) -> DataFrame:
-    x = _judged(spark, d).filter("drop_stage is null").select("authority_tier", "confidence_tier", "verdict")
+    x = _curated(spark, d).select("authority_tier", "confidence_tier", "verdict")
     g = x.groupingSets([["authority_tier"], ["confidence_tier"], ["verdict"], []], "authority_tier", "confidence_tier", "verdict")
     return g.agg(F.grouping_id().cast("int").alias("which"), F.count("*").alias("n"))
 
 
+def _section(name: str, value: str, source: str, where: str = "") -> str:
+    return f"SELECT '{name}' AS section, coalesce(({value})::VARCHAR, '') AS value, count(*) AS n FROM {source} {where} GROUP BY ALL"
+
+
+@query(
+    "build_report",
+    _BASE
+    + " UNION ALL ".join([
+        _section("dropped_at", "coalesce(drop_stage, 'kept')", "staged"),
+        _section("off_registry_by_source", "source_platform", "staged", "WHERE drop_stage = 'off_registry' AND source_platform <> ''"),
+        _section("boilerplate_by_source", "source_platform", "staged", "WHERE drop_stage = 'boilerplate' AND source_platform <> ''"),
+        _section("by_confidence", "confidence_tier", "staged", "WHERE drop_stage IS NULL"), _section("by_n_signals", "signal_count", "staged", "WHERE drop_stage IS NULL"), _section("by_source", "source_platform", "staged", "WHERE drop_stage IS NULL"),
+        _section("by_severity", "severity", "staged", "WHERE drop_stage IS NULL"), _section("by_score", "round_even(score, 1)", "staged", "WHERE drop_stage IS NULL"), _section("residual_boilerplate", "boilerplate", "staged", "WHERE drop_stage IS NULL"),
+        _section("by_authority_tier", "authority_tier", "curated"), _section("labelled", "coalesce(label, 'other') <> 'other'", "curated"),
+    ]),
+)
+def build_report(spark: SparkSession, d: str) -> DataFrame:
+    return gate.report(_judged(spark, d), _curated(spark, d))
+
+
+@query("score_models", "WITH m AS (SELECT DISTINCT trim(model) AS m FROM silent_fix_scores WHERE trim(coalesce(model, '')) <> '') SELECT coalesce(string_agg(m, ',' ORDER BY m), '') AS models, count(*) > 1 AS mixed FROM m")
+def score_models(spark: SparkSession, d: str) -> DataFrame:
+    return gate.models(table(spark, d, "silent_fix_scores"))
+
+
+@query("labels_join", f"WITH l AS (SELECT * FROM (SELECT id, fix_commit, introduced_in_commit, cwe_top25, label, row_number() OVER (PARTITION BY id ORDER BY {', '.join(f'{c} NULLS LAST' for c in gate.LABEL_COLUMNS)}) AS rn FROM wallet_vulns WHERE id IS NOT NULL) WHERE rn = 1) SELECT v.id, l.fix_commit, l.introduced_in_commit, coalesce(nullif(l.cwe_top25, ''), 'N/A') AS cwe_top25, l.label FROM wallet_vulns v LEFT JOIN l ON l.id = v.id")
+def labels_join(spark: SparkSession, d: str) -> DataFrame:
+    v = table(spark, d, "wallet_vulns")
+    return gate.with_labels(v.select("id"), v).select("id", "fix_commit", "introduced_in_commit", "cwe_top25", "label")
+
+
 @query("silent_fix_left_join", f"WITH {_SCORES} SELECT v.id, s.scored_prob, s.scored_fix FROM wallet_vulns v LEFT JOIN scores s ON v.source_url = s.source_url")
 def silent_fix_left_join(spark: SparkSession, d: str) -> DataFrame:
     scores = gate.best_scores(table(spark, d, "silent_fix_scores"))
@@ -237,33 +293,68 @@ def search_terms(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- redaction
 
-_LOOK = redact.SHAPES[-1][1].replace("(?<![A-Za-z0-9/+=])[A-Za-z0-9/+=]{40}(?![A-Za-z0-9/+=])", "")
+def _kind_sql(column: str) -> str:
+    """Kinds found, each looked for in what the shapes before it left."""
+    parts, out = [], column
+    for kind, shape in redact.SHAPES[:-1]:
+        parts.append(f"CASE WHEN regexp_matches({out}, {q(shape)}) THEN '{kind}' END")
+        out = f"regexp_replace({out}, {q(shape)}, '{redact.MASK}', 'g')"
+    parts.append(f"CASE WHEN regexp_matches({out}, {q(_SECRET_SQL)}) THEN 'SECRET' END")
+    out = f"regexp_replace({out}, {q(_SECRET_SQL)}, '{redact.MASK}\\3', 'g')"
+    parts.append(f"CASE WHEN regexp_matches({out}, {q(redact.PHRASE_CONTEXT)}) AND regexp_matches({out}, {q(redact.WORD_RUN)}) THEN 'MNEMONIC' END")
+    return f"coalesce(array_to_string(list_filter([{', '.join(parts)}], lambda x: x IS NOT NULL), ','), '')"
+
+
+def _secrets(spark: SparkSession) -> DataFrame:
+    """Made-up secrets, put together here so that no file holds one."""
+    hexes, base = "0123456789abcdef" * 4, "Abc123+/" * 5
+    words = "copper quiet garlic falcon forest yonder lemon lantern temple acorn glade basin"
+    rows = [
+        ("s01", "key AKIA" + "ABCDEFGH" * 2, None), ("s02", "", "token gh" + "p_" + "aB3" * 8 + " leaked"), ("s03", "xox" + "b-1234567890-abc", "sk" + "_live_" + "a1" * 10), ("s04", "SG" + "." + "a" * 20 + "." + "b" * 20, "AIza" + "x" * 35),
+        ("s05", "sk" + "-" + "a1" * 12, "-----BEGIN EC PRIVATE" + " KEY-----\nabc\n-----END EC PRIVATE" + " KEY-----"), ("s06", "ey" + "J" + "a" * 10 + "." + "b" * 10 + "." + "c" * 10, "xpr" + "v" + "A1b2" * 20), ("s07", "5" + "K1b2" * 12 + "ab", "private key 0x" + hexes),
+        ("s08", "aws key: " + base, "password" + base), ("s09", "Seed phrase " + words, words), ("s10", "nothing here", "commit " + hexes[:40]), ("s11", "seed " + hexes + " and token = " + base, "both"),
+    ]
+    return spark.createDataFrame(rows, "id string, title string, description string")
+
+
+def _secrets_sql() -> str:
+    h, b, w = "repeat('0123456789abcdef', 4)", "repeat('Abc123+/', 5)", "'copper quiet garlic falcon forest yonder lemon lantern temple acorn glade basin'"
+    rows = [
+        ("s01", "'key AKIA' || repeat('ABCDEFGH', 2)", "NULL"), ("s02", "''", "'token gh' || 'p_' || repeat('aB3', 8) || ' leaked'"), ("s03", "'xox' || 'b-1234567890-abc'", "'sk' || '_live_' || repeat('a1', 10)"), ("s04", "'SG' || '.' || repeat('a', 20) || '.' || repeat('b', 20)", "'AIza' || repeat('x', 35)"),
+        ("s05", "'sk' || '-' || repeat('a1', 12)", "'-----BEGIN EC PRIVATE' || ' KEY-----' || chr(10) || 'abc' || chr(10) || '-----END EC PRIVATE' || ' KEY-----'"), ("s06", "'ey' || 'J' || repeat('a', 10) || '.' || repeat('b', 10) || '.' || repeat('c', 10)", "'xpr' || 'v' || repeat('A1b2', 20)"), ("s07", "'5' || repeat('K1b2', 12) || 'ab'", f"'private key 0x' || {h}"),
+        ("s08", f"'aws key: ' || {b}", f"'password' || {b}"), ("s09", f"'Seed phrase ' || {w}", w), ("s10", "'nothing here'", f"'commit ' || substr({h}, 1, 40)"), ("s11", f"'seed ' || {h} || ' and token = ' || {b}", "'both'"),
+    ]
+    return "WITH v(id, title, description) AS (VALUES " + ", ".join(f"('{i}', {t}, {x})" for i, t, x in rows) + ")"
+
+
+@query("redaction_kinds", f"{_secrets_sql()}, m AS (SELECT id, {_masked_sql('title')} AS title, {_masked_sql('description')} AS description, {_kind_sql('title')} AS title_kinds, {_kind_sql('description')} AS description_kinds FROM v) SELECT id, {_phrase_sql('title')} AS title, {_phrase_sql('description')} AS description, title_kinds, description_kinds FROM m")
+def redaction_kinds(spark: SparkSession, d: str) -> DataFrame:
+    """Every shape on an inline table, as the curated tables hold none of them."""
+    x = redact.redact_columns(_secrets(spark))
+    return x.select("id", "title", "description", F.array_join("title_kinds", ",").alias("title_kinds"), F.array_join("description_kinds", ",").alias("description_kinds"))
 
 
-@query("redaction_tally")
-def redaction_tally(spark: SparkSession, d: str) -> DataFrame:
-    return redact.tally(table(spark, d, "wallet_vulns").select("title", "description"))
+_TALLY = "k AS (SELECT 'title' AS column_name, unnest(string_split(t, ',')) AS kind FROM f UNION ALL SELECT 'description', unnest(string_split(d, ',')) FROM f) SELECT column_name, kind, count(*) AS n_rows FROM k WHERE kind <> '' GROUP BY ALL"
 
 
-@query("redact_findings")
-def redact_findings(spark: SparkSession, d: str) -> DataFrame:
-    x = redact.redact_columns(table(spark, d, "wallet_vulns").select("id", "title", "description"))
-    return x.select("id", "title", "description", F.array_join("title_kinds", ",").alias("title_kinds"), F.array_join("description_kinds", ",").alias("description_kinds"))
+@query("redaction_tally_inline", f"{_secrets_sql()}, f AS (SELECT {_kind_sql('title')} AS t, {_kind_sql('description')} AS d FROM v), {_TALLY}")
+def redaction_tally_inline(spark: SparkSession, d: str) -> DataFrame:
+    return redact.tally(_secrets(spark))
 
 
-def _redact_sql(column: str) -> str:
-    out = column
-    for _, shape in redact.SHAPES[:-2]:
-        out = f"regexp_replace({out}, {q(shape)}, '{redact.MASK}', 'g')"
-    return out
+@query("redaction_tally", f"WITH f AS (SELECT {_kind_sql('title')} AS t, {_kind_sql('description')} AS d FROM wallet_vulns), {_TALLY}")
+def redaction_tally(spark: SparkSession, d: str) -> DataFrame:
+    return redact.tally(table(spark, d, "wallet_vulns").select("title", "description"))
 
 
-@query("redact_unambiguous", f"SELECT id, {_redact_sql('description')} AS description FROM wallet_vulns")
-def redact_unambiguous(spark: SparkSession, d: str) -> DataFrame:
-    out = F.col("description")
-    for _, shape in redact.SHAPES[:-2]:
-        out = F.regexp_replace(out, shape, redact.MASK)
-    return table(spark, d, "wallet_vulns").select("id", out.alias("description"))
+@query("redaction_rows", f"WITH f AS (SELECT {_kind_sql('title')} AS t, {_kind_sql('description')} AS d FROM wallet_vulns) SELECT count(*) FILTER (t <> '') AS title_rows, count(*) FILTER (d <> '') AS description_rows FROM f")
+def redaction_rows(spark: SparkSession, d: str) -> DataFrame:
+    return redact.rows_touched(table(spark, d, "wallet_vulns"))
+
+
+@query("redact_findings", f"WITH {_MASKED} SELECT id, title, description FROM masked")
+def redact_findings(spark: SparkSession, d: str) -> DataFrame:
+    return redact.redact_columns(table(spark, d, "wallet_vulns").select("id", "title", "description")).select("id", "title", "description")
 
 
 # ---------------------------------------------------------------- normalisation
@@ -357,10 +448,36 @@ def xref_cluster_sizes(spark: SparkSession, d: str) -> DataFrame:
 _RANK = "CASE severity WHEN 'Unrated' THEN 1 WHEN 'Info' THEN 2 WHEN 'Low' THEN 3 WHEN 'Medium' THEN 4 WHEN 'High' THEN 5 WHEN 'Critical' THEN 6 ELSE 0 END"
 
 
-@query("xref_representative", _XREF + f", x AS (SELECT c.cluster, c.id, {_RANK} AS rk, url FROM c JOIN src USING (id)), b AS (SELECT cluster, id AS kept_id, row_number() OVER (PARTITION BY cluster ORDER BY rk DESC, id) AS rn FROM x) SELECT cluster, kept_id, n_rows, n_urls FROM b JOIN (SELECT cluster, count(*) AS n_rows, count(DISTINCT nullif(url, '')) AS n_urls FROM x GROUP BY cluster) USING (cluster) WHERE rn = 1")
+_REPS = f""", x AS (SELECT c.cluster, c.id, {_RANK} AS rk, url FROM c JOIN src USING (id)),
+b AS (SELECT cluster, id AS kept_id, row_number() OVER (PARTITION BY cluster ORDER BY rk DESC, id) AS rn, count(*) OVER (PARTITION BY cluster) AS n_rows, url FROM x),
+u AS (SELECT cluster, url, min(id) AS f FROM x WHERE url <> '' GROUP BY ALL), l AS (SELECT cluster, list(url ORDER BY f, url) AS urls FROM u GROUP BY cluster)"""
+
+
+@query("xref_representative", _XREF + _REPS + " SELECT b.cluster, kept_id, n_rows, array_to_string(CASE WHEN n_rows = 1 THEN [url] ELSE coalesce(urls, []) END, ' ') AS urls FROM b LEFT JOIN l USING (cluster) WHERE rn = 1")
 def xref_representative(spark: SparkSession, d: str) -> DataFrame:
     x = xref.representatives(table(spark, d, "wallet_vulns"))
-    return x.select("cluster", "kept_id", "n_rows", F.size(F.from_json("evidence", "array<string>")).cast("long").alias("n_urls"))
+    return x.select("cluster", "kept_id", "n_rows", F.array_join(F.from_json("evidence", "array<string>"), " ").alias("urls"))
+
+
+@query("xref_dropped", _XREF + _REPS + " SELECT cluster, k.kept_id, x.id AS dropped_id FROM x JOIN (SELECT cluster, kept_id FROM b WHERE rn = 1 AND n_rows > 1) k USING (cluster) WHERE x.id <> k.kept_id")
+def xref_dropped(spark: SparkSession, d: str) -> DataFrame:
+    return xref.dropped_rows(table(spark, d, "wallet_vulns"))
+
+
+@query("xref_stats", _XREF.replace("ks AS (", "ks0 AS (").replace("star AS (", "ks AS (SELECT * FROM ks0), star AS (") + ", n AS (SELECT cluster, count(*) AS n FROM c GROUP BY cluster) SELECT sum(n)::BIGINT AS input_rows, count(*) AS output_rows, sum(n - 1)::BIGINT AS duplicates_removed, count(*) FILTER (n > 1) AS clusters_deduped, round(100 * sum(n - 1) / sum(n), 2) AS dedup_rate_pct FROM n")
+def xref_stats(spark: SparkSession, d: str) -> DataFrame:
+    return xref.dedup_stats(table(spark, d, "wallet_vulns")).drop("sha_merges")
+
+
+def _ties(spark: SparkSession) -> DataFrame:
+    """Ids of which one begins another, equal severities, empty addresses, one address twice."""
+    rows = [("x10", "p", "Low", "same title", "http://h/2"), ("x1", "p", "Low", "same title", "http://h/3"), ("x2", "p", "Info", "same title", "http://h/2"), ("y", "p", "High", "alone", ""), ("z1", "q", "Low", "pair", ""), ("z2", "q", "High", "pair", None)]
+    return spark.createDataFrame(rows, "id string, source_platform string, severity string, title string, source_url string").withColumns({c: F.lit(None).cast("string") for c in ("issue_id", "description", "introduced_in_commit")})
+
+
+@query("xref_ties", "SELECT * FROM (VALUES ('x1', 'x1', 3::BIGINT, '[\"http://h/3\",\"http://h/2\"]'), ('y', 'y', 1, '[\"\"]'), ('z1', 'z2', 2, '[]')) AS t(cluster, kept_id, n_rows, evidence)")
+def xref_ties(spark: SparkSession, d: str) -> DataFrame:
+    return xref.representatives(_ties(spark))
 
 
 @query("title_key_clusters", f"WITH k AS (SELECT {_TITLE_KEY} AS title_key FROM wallet_vulns) SELECT title_key, count(*) AS n FROM k WHERE title_key <> '' GROUP BY title_key HAVING count(*) > 1")
@@ -382,7 +499,7 @@ def _files_all(p: str) -> str:
     return f"(len(files) > 0 AND len(list_filter(files, lambda f: NOT {rx('f', p)})) = 0)"
 
 
-_LABEL = f"CASE WHEN {_files_all(P.NON_PRODUCT_FILE)} THEN CASE WHEN len(list_filter(files, lambda f: {rx('f', r'(?:^|/)tests?/|(?:^|/)__tests__/|[._-](?:test|spec)\.[a-z]+$')})) > 0 THEN 'test' ELSE 'build-ci' END ELSE coalesce(CASE category {' '.join(f'WHEN {q(c)} THEN {rules("hay", [r for t in ts for r in t], "NULL")}' for c, ts in labels.BY_CATEGORY.items())} ELSE {rules('hay', [r for t in labels.DEFAULT_TABLES for r in t], 'NULL')} END, {rules('hay', labels.CROSS, 'NULL')}, 'other') END"
+_LABEL = f"CASE WHEN {_files_all(P.NON_PRODUCT_FILE)} THEN CASE WHEN len(list_filter(files, lambda f: {rx('f', 'tests?/|__tests__|[._-]test\\.|[._-]spec\\.|fixtures?/')})) > 0 THEN 'test' ELSE 'build-ci' END ELSE coalesce(CASE category {' '.join(f'WHEN {q(c)} THEN {rules("hay", [r for t in ts for r in t], "NULL")}' for c, ts in labels.BY_CATEGORY.items())} ELSE {rules('hay', [r for t in labels.DEFAULT_TABLES for r in t], 'NULL')} END, {rules('hay', labels.CROSS, 'NULL')}, 'other') END"
 
 
 @query("label_assign", _HAY + f"SELECT id, {_LABEL} AS area_label FROM h")
@@ -390,14 +507,30 @@ def label_assign(spark: SparkSession, d: str) -> DataFrame:
     return labels.labelled(table(spark, d, "wallet_vulns"), table(spark, d, "wallet_registry")).select("id", "area_label")
 
 
-@query("root_cause", _HAY + f"SELECT id, {rules('hay', labels.ROOT_CAUSES, q('other'))} AS cause FROM h")
+_WHY = _HAY.replace("WITH r AS", f"WITH {_SCORES.replace('SELECT source_url, silent_fix_prob', 'SELECT source_url, vuln_class, reason, silent_fix_prob')}, r AS").replace("coalesce(title, '') AS t", "s.vuln_class, coalesce(s.reason, '') AS reason, coalesce(title, '') AS t").replace("FROM wallet_vulns v LEFT JOIN r", "FROM wallet_vulns v LEFT JOIN scores s ON s.source_url = v.source_url LEFT JOIN r").replace("SELECT *, array_to_string", "SELECT *, reason || ' ' || array_to_string(files, ' ') || ' ' || t || ' ' || d AS why, array_to_string")
+_BY_CLASS = "CASE vuln_class WHEN 'dos' THEN 'resource_exhaustion' WHEN 'memory' THEN 'missing_bounds_check' WHEN 'overflow' THEN 'integer_overflow_underflow' WHEN 'crypto' THEN 'crypto_misuse' WHEN 'validation' THEN 'missing_input_validation' WHEN 'auth' THEN 'broken_access_control' ELSE 'other' END"
+
+
+def _labelled(spark: SparkSession, d: str) -> DataFrame:
+    return labels.labelled(table(spark, d, "wallet_vulns"), table(spark, d, "wallet_registry"), gate.best_scores(table(spark, d, "silent_fix_scores")))
+
+
+@query("root_cause", _WHY + f"SELECT id, {rules('why', labels.ROOT_CAUSES, _BY_CLASS)} AS cause FROM h")
 def root_cause(spark: SparkSession, d: str) -> DataFrame:
-    return labels.labelled(table(spark, d, "wallet_vulns"), table(spark, d, "wallet_registry")).select("id", "cause")
+    return _labelled(spark, d).select("id", "cause")
 
 
-@query("attack_path", _HAY + f"SELECT id, {rules('hay', labels.ATTACK_PATHS, q('unknown'))} AS path FROM h")
+@query("attack_path", _WHY + f"SELECT id, {rules('why', labels.ATTACK_PATHS, q('unknown'))} AS path FROM h")
 def attack_path(spark: SparkSession, d: str) -> DataFrame:
-    return labels.labelled(table(spark, d, "wallet_vulns"), table(spark, d, "wallet_registry")).select("id", "path")
+    return _labelled(spark, d).select("id", "path")
+
+
+@query("cause_rules_inline", "SELECT * FROM (VALUES ('a', 'build-ci', 'resource_exhaustion', 'unknown'), ('b', 'test', 'other', 'unknown'), ('c', 'key:seed-mnemonic', 'weak_key_generation', 'malicious_peer'), ('d', 'other', 'race_condition', 'unknown')) AS t(id, area_label, cause, path)")
+def cause_rules_inline(spark: SparkSession, d: str) -> DataFrame:
+    rows = [("a", '["docs/a.md"]', "notes", "u1"), ("b", '["fixtures/x.json"]', "notes", "u2"), ("c", '["src/a.rs"]', "seed phrase seen by a peer", "u3"), ("d", None, "tidy", "u4")]
+    v = spark.createDataFrame(rows, "id string, files_changed string, title string, source_url string").withColumns({"source_platform": F.lit("none"), "description": F.lit(None).cast("string")})
+    scores = spark.createDataFrame([("u1", "dos", None), ("u2", "odd", "nothing"), ("u4", "dos", "a race between two writers")], "source_url string, vuln_class string, scored_reason string")
+    return labels.labelled(v, table(spark, d, "wallet_registry"), scores).drop("non_product")
 
 
 @query("non_product_only", _HAY + f"SELECT {_files_all(P.NON_PRODUCT_FILE)} AS non_product, count(*) AS n FROM h GROUP BY ALL")

@@ -35,6 +35,17 @@ def loc_histogram(vulns: DataFrame) -> DataFrame:
     return x.groupBy(edge.alias("bin_from")).agg(F.count("*").alias("n"))
 
 
+def loc_median(vulns: DataFrame) -> DataFrame:
+    """One row: the exact median of lines after the fix, over fixes with code."""
+    return vulns.select(line_count(hunks_of(F.col("post_fix_code"))).alias("loc")).filter("loc > 0").agg(F.median("loc").alias("median_loc"), F.count("*").alias("n"))
+
+
+def counts_by(df: DataFrame, **by: Column) -> DataFrame:
+    """(section, value, n) of several columns in one pass."""
+    each = F.explode(F.array(*[F.struct(F.lit(s).alias("section"), F.coalesce(c.cast("string"), F.lit("")).alias("value")) for s, c in by.items()])).alias("x")
+    return df.select(each).groupBy("x.section", "x.value").agg(F.count("*").alias("n"))
+
+
 def files_touched(vulns: DataFrame) -> DataFrame:
     n = F.least(F.size(file_list(F.col("files_changed"))), F.lit(8))
     return vulns.select(n.alias("n_files")).groupBy("n_files").agg(F.count("*").alias("n"))

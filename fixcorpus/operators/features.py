@@ -69,9 +69,14 @@ def confidence() -> Column:
     return F.when(F.col("f_cve") | F.col("f_high") | F.col("f_strong_t"), "high").when(F.col("f_cwe") | (F.col("sev") == "medium") | (F.col("score") >= SCORE_ADMITS), "medium").otherwise("low")
 
 
+#: Columns of evidence that other stages may have added: anything but blanks in one is a signal.
+EXTRA_SIGNALS = ("comment_signal", "linked_issue_signal", "backport_signal")
+
+
 def signals() -> Column:
-    """How many independent signs speak for the finding."""
+    """How many of twelve independent signs speak for the finding (the last three are ``EXTRA_SIGNALS``)."""
     each = [F.col(c) for c in ("f_cve", "f_rated", "f_strong", "f_moderate", "f_fresh", "f_impact", "f_stride", "f_cwe", "f_silent")]
+    each += [F.trim(text(c)) != "" for c in EXTRA_SIGNALS]
     total = F.lit(0)
     for c in each:
         total = total + c.cast("int")

@@ -20,7 +20,7 @@ SHAPES: list[tuple[str, str]] = [
     ("XPRV", r"\b(?:xprv|yprv|zprv|tprv|uprv|vprv)[1-9A-HJ-NP-Za-km-z]{70,120}\b"),
     ("WIF-KEY", r"\b[5KL][1-9A-HJ-NP-Za-km-z]{50,51}\b"),
     ("HEX-PRIVKEY", r"(?i)(?:priv(?:ate)?[_ -]?key|secret[_ -]?key|seed|entropy|mnemonic)[^\n]{0,40}?\b(?:0x)?[0-9a-f]{64}\b"),
-    ("CONTEXT-SECRET", r"(?i)(?:aws|secret|access[_ -]?key|api[_ -]?key|token|password|credential)[^\n]{0,40}?(?<![A-Za-z0-9/+=])[A-Za-z0-9/+=]{40}(?![A-Za-z0-9/+=])"),
+    ("SECRET", r"(?i)(?:aws|secret|access[_ -]?key|api[_ -]?key|token|password|credential)[^\n]{0,40}?(?<![A-Za-z0-9/+=])[A-Za-z0-9/+=]{40}(?![A-Za-z0-9/+=])"),
 ]
 PHRASE_CONTEXT = r"(?i)mnemonic|seed[_ -]?phrase|recovery[_ -]?phrase|seed[_ -]?words"
 WORD_RUN = r"\b(?:[a-z]{3,8}\s+){11,23}[a-z]{3,8}\b"
@@ -56,3 +56,9 @@ def tally(df: DataFrame, columns: tuple[str, ...] = ("title", "description")) ->
     per = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"{c}_kinds").alias("kinds")) for c in columns])).alias("x")
     long = x.select(per).select("x.column_name", F.explode("x.kinds").alias("kind"))
     return long.groupBy("column_name", "kind").agg(F.count("*").alias("n_rows"))
+
+
+def rows_touched(df: DataFrame, columns: tuple[str, ...] = ("title", "description")) -> DataFrame:
+    """One row: how many rows of each column hold any credential."""
+    x = redact_columns(df.select(*columns), columns)
+    return x.agg(*[F.count_if(F.size(f"{c}_kinds") > 0).alias(f"{c}_rows") for c in columns])

@@ -9,6 +9,7 @@ from ..functions import patterns as P
 from ..functions.text import capitalised, text
 from ..functions.vocabulary import RATED
 from .dedup import keep_first
+from .tables import dimension
 
 ESTIMATE_COLUMNS = ("severity_estimated", "severity_source", "impact_type", "reachability", "blast_radius", "severity_why")
 
@@ -34,7 +35,7 @@ def provenance(vulns: DataFrame, estimates: DataFrame, registry: DataFrame) -> D
     """(id, severity_final, provenance): graded by people, by an upstream score, by estimate, or not at all."""
     est = best_estimates(estimates).select("id", F.col("severity_estimated").alias("est"), "impact_type", "reachability", "blast_radius")
     dims = registry.select(F.lower(F.trim("slug")).alias("slug"), (F.col("tier") >= 3).alias("minor")).dropDuplicates(["slug"])
-    x = vulns.select("id", F.lower(F.trim(text("source_platform"))).alias("slug"), "title", "source_url", "severity").join(est, "id", "left").join(F.broadcast(dims), "slug", "left")
+    x = vulns.select("id", F.lower(F.trim(text("source_platform"))).alias("slug"), "title", "source_url", "severity").join(est, "id", "left").join(dimension(dims), "slug", "left")
     sev = F.lower(F.trim(text("severity")))
     graded, dep = sev.isin(*RATED), is_dependency(F.col("title"), F.col("source_url"))
     bounded = guardrail(F.col("est"), F.col("impact_type"), F.col("reachability"), F.col("blast_radius"), F.coalesce("minor", F.lit(False)))
@@ -49,6 +50,13 @@ def title_case(c: Column) -> Column:
     return F.when(F.lower(c).isin(*RATED), capitalised(c)).otherwise(c)
 
 
+def disagreements(vulns: DataFrame, estimates: DataFrame, k: int = 12) -> DataFrame:
+    """The most frequent pairs of a graded tier and another estimated one (top k is the feature)."""
+    x = vulns.select("id", F.lower(F.trim(text("severity"))).alias("graded")).join(best_estimates(estimates).select("id", F.lower(F.trim(text("severity_estimated"))).alias("estimated")), "id")
+    x = x.filter(F.col("graded").isin(*RATED) & (F.col("graded") != F.col("estimated")))
+    return x.groupBy("graded", "estimated").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "graded", "estimated").limit(k)
+
+
 def agreement(vulns: DataFrame, estimates: DataFrame) -> DataFrame:
     """One row: graded findings with an estimate, how many agree exactly and within one tier."""
     rank = {"critical": 4, "high": 3, "medium": 2, "low": 1}

@@ -82,3 +82,12 @@ def join_by_group(rows: DataFrame, groups: DataFrame, key: str, count_col: str,
     in_hot = rows.join(F.broadcast(hot), key)
     rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
     return in_hot.unionByName(rest.join(cold, key))
+
+
+#: A dimension with more rows than this is joined by shuffle instead of being sent to all executors.
+DIMENSION_ROWS = 100_000
+
+
+def dimension(df: DataFrame) -> DataFrame:
+    """A side to send to all executors, if its size allows it (checked on at most DIMENSION_ROWS + 1 rows)."""
+    return F.broadcast(df) if df.limit(DIMENSION_ROWS + 1).count() <= DIMENSION_ROWS else df
