@@ -1,13 +1,22 @@
 """Problem 6: text values that lost their end.
 
-Method: the length of every value is recomputed under other encodings (UTF-8
-bytes, UTF-16 units), with entities or JSON escapes in place, and with CR LF
-line ends; a length that far more values share than its neighbours exposes a
-storage limit. Then the endings are inspected: over all rows it is counted how
-often a sentence or line goes on and how often it ends after the same last
-words; a value is cut if its last words nearly always go on, if it stops inside
-a word, at a mark of a cut, inside a JSON document, or at a limit where the
-last words go on more often than not.
+Method: the length of every distinct value is recomputed under other encodings
+(UTF-8 bytes, UTF-16 units), with entities or JSON escapes in place, and with
+CR LF line ends; values are grouped by each length, and a length that far more
+of them share than its neighbours exposes a storage limit. The endings of the
+values at a limit are then inspected, and those whose last words more likely go
+on than end, that stop inside a word or document or at a mark are cut. Values at
+no limit may have lost their end in transfer, at any length: of them only those
+are cut whose ending leaves little doubt.
+
+How likely words go on is counted over all rows: after the last 1, 2, 3 and 5
+words, how often a text goes on, how often a sentence or line ends, and how
+often a text stops. Each share is smoothed by that of fewer words (worth
+``PRIOR`` sightings), so that little evidence decides little and no number of
+rows switches a rule on or off. Texts that stop after the same words count once
+per title, the value's own left out: one fix filed again, or copied however
+often, is no evidence about itself, while a form's last line stands under many
+titles. Titles are told apart by one minwise hash of their words.
 """
 
 from __future__ import annotations
@@ -22,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_by_group, materialize, norm
+from .common import join_by_group, materialize, norm, release
 from .nearedit import _string_bytes, mix
 
 FIELDS = ("description", "pre_fix_code", "post_fix_code")
@@ -30,12 +39,14 @@ FIELDS = ("description", "pre_fix_code", "post_fix_code")
 RARE_END, RARE_END_AT_LIMIT = 0.04, 0.5
 #: Values that stop after the same words without an end, per time that these words go on, up to which stopping counts as a cut.
 STOPS, STOPS_AT_LIMIT = 0.3, 1.0
-#: Times that words must have been seen before their ends are judged.
-SEEN = 3
-#: Times that a longer word must be as frequent as its beginning for that to count as a part of it.
-PART_OF_WORD = 50
-#: A length is a limit if it is at least SPIKE_LEAST values and SPIKE_TIMES as many as its neighbours within SPIKE_NEAR.
-SPIKE_LEAST, SPIKE_TIMES, SPIKE_NEAR = 12, 5.0, 12
+#: Sightings that the share after fewer words is worth where that after more words is estimated.
+PRIOR = 4.0
+#: Share of a word's sightings on its own, among those inside longer words, up to which it counts as a part of one, and what is added for words never seen on their own.
+PART_OF_WORD, PART_PRIOR = 0.02, 0.08
+#: A length is a limit if SPIKE_TIMES as many values have it as its neighbours within SPIKE_NEAR, and more than chance gives (SPIKE_Z deviations).
+SPIKE_TIMES, SPIKE_NEAR, SPIKE_Z = 5.0, 12, 11.0
+#: Distinct keys a task holds before it hands its counts on.
+HELD_KEYS, HELD_WORDS = 2_000_000, 500_000
 BLANK = ("", "nan")
 
 #: What is written where the rest is missing (fixed values); dots alone are judged by the words before them.
@@ -159,12 +170,21 @@ def _keys(hashes: list[np.ndarray], code: bool) -> list[np.ndarray]:
     return [mix(h + salt * np.uint64(2 * k + 1)) for h, k in zip(hashes, ORDERS)]
 
 
-_OUT = "kind byte, id string, field_name string, mark boolean, k1 long, k2 long, k3 long, k5 long, word string, lens array<int>, n long, ends long, stops long"
+_OUT = "kind byte, id string, field_name string, value long, title_key long, mark boolean, k1 long, k2 long, k3 long, k5 long, word string, lens array<int>, n long, ends long, stops long"
+
+
+def _ending(text: str, words: int = 8) -> str:
+    """The end of a text that holds its last words, however long they are."""
+    parts = text.rsplit(None, words)
+    return text[len(text) - len(text.lstrip()) :] if len(parts) <= words else text[text.index(parts[1], len(parts[0])) :]
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """kind 0: a value whose end must be judged; kind 1: length counts (k1 measure, k2 length); kind 2: context counts (k1); kind 3: counts of words inside texts."""
-    schema = pa.schema([("kind", pa.int8()), ("id", pa.string()), ("field_name", pa.string()), ("mark", pa.bool_()), ("k1", pa.int64()), ("k2", pa.int64()), ("k3", pa.int64()), ("k5", pa.int64()), ("word", pa.string()), ("lens", pa.list_(pa.int32())), ("n", pa.int64()), ("ends", pa.int64()), ("stops", pa.int64())])
+    """kind 0: a value whose end must be judged; kind 1: lengths of a value the partition has not met; kind 2: context counts (k1); kind 3: counts of words inside texts.
+
+    Words are counted once per value (under one title) and partition.
+    """
+    schema = pa.schema([("kind", pa.int8()), ("id", pa.string()), ("field_name", pa.string()), ("value", pa.int64()), ("title_key", pa.int64()), ("mark", pa.bool_()), ("k1", pa.int64()), ("k2", pa.int64()), ("k3", pa.int64()), ("k5", pa.int64()), ("word", pa.string()), ("lens", pa.list_(pa.int32())), ("n", pa.int64()), ("ends", pa.int64()), ("stops", pa.int64())])
     contexts: list[tuple[np.ndarray, ...]] = []
     words: Counter[str] = Counter()
 
@@ -177,19 +197,40 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             u, inv = np.unique(k, return_inverse=True)
             contexts[:] = [(u, *(np.bincount(inv, np.concatenate([c[j] for c in contexts])) for j in (1, 2, 3)))]
 
+    def counts() -> Iterator[pa.RecordBatch]:
+        """What was counted so far, which then starts anew."""
+        merged()
+        for u, n, e, x in contexts:
+            for i in range(0, len(u), 100_000):
+                m = len(u[i : i + 100_000])
+                yield batch(m, kind=np.full(m, 2, np.int8), k1=u[i : i + m], n=n[i : i + m].astype(np.int64), ends=e[i : i + m].astype(np.int64), stops=x[i : i + m].astype(np.int64))
+        if words:
+            yield batch(len(words), kind=np.full(len(words), 3, np.int8), word=list(words), n=list(words.values()))
+        contexts.clear()
+        words.clear()
+
+    seen: set[tuple[int, int]] = set()
     for b in batches:
-        ids = b.column("id").to_pylist()
+        ids, title_keys = b.column("id").to_pylist(), b.column("title_key").to_pylist()
         for f, field in enumerate(FIELDS):
             code = f > 0
             rows, texts, flags, lens, bodies, ends_in = [], [], [], [], [], []
-            for i, v in enumerate(b.column(field).to_pylist()):
+            values, titles, every = [], [], []
+            names = b.column(f"h_{field}").to_pylist()
+            for i, (v, title) in enumerate(zip(b.column(field).to_pylist(), title_keys)):
                 if v is None or v.strip().lower() in BLANK:
                     continue
+                new = (f, names[i]) not in seen
+                if new:
+                    seen.add((f, names[i]))
+                    every.append((names[i], lengths(v)))
                 stripped = v.rstrip()
                 if code:
                     whole, codes = last_code(v)
                     if not whole:
                         rows.append(i)
+                        values.append(names[i])
+                        titles.append(title)
                         texts.append("")
                         flags.append(True)
                         lens.append(lengths(v))
@@ -197,12 +238,13 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         continue
                     if not codes:
                         continue
-                    body = "\n".join(codes)
                     stripped = codes[-1].rstrip()
-                    bodies.append(body)
-                else:
+                    if new:
+                        bodies.append("\n".join(codes))
+                elif new:
                     bodies.append(v)
-                mark = bool(CUT_MARK.search(stripped[-60:]))
+                stripped = _ending(stripped)
+                mark = bool(CUT_MARK.search(stripped))
                 tail = stripped
                 if not mark and (m := DOTS.search(stripped[-8:])):
                     tail = stripped[: len(stripped) - len(m.group())].rstrip() if stripped.endswith("…") or code else stripped
@@ -217,23 +259,20 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if tail or mark:
                     ends_in.append(letter.group().strip().lower() if letter else None)
                     rows.append(i)
-                    texts.append("" if mark else tail[-200:])
+                    values.append(names[i])
+                    titles.append(title)
+                    texts.append("" if mark else tail)
                     flags.append(mark)
                     lens.append(lengths(v))
-            # limits show in values at their full length; every value's lengths count
-            every = [lengths(v) for v in b.column(field).to_pylist() if v]
             if every:
-                m = np.array(every, np.int64)
-                for j in range(len(MEASURES)):
-                    u, c = np.unique(m[:, j], return_counts=True)
-                    yield batch(len(u), kind=np.ones(len(u), np.int8), field_name=[field] * len(u), k1=np.full(len(u), j), k2=u, n=c.astype(np.int64))
+                yield batch(len(every), kind=np.ones(len(every), np.int8), field_name=[field] * len(every), value=[h for h, _ in every], lens=[x for _, x in every])
             if bodies:
                 whole = pa.array(bodies)
                 row, hashes, next_, (begin, end) = token_contexts(whole, code)
                 for k in _keys(hashes, code):
                     u, inv = np.unique(k.view(np.int64), return_inverse=True)
                     contexts.append((u, np.bincount(inv), np.bincount(inv, next_ == 1), np.bincount(inv, next_ == 2)))
-                if sum(len(c[0]) for c in contexts) > 3_000_000:
+                if sum(len(c[0]) for c in contexts) > 2 * HELD_KEYS:
                     merged()
                 data, _ = _string_bytes(whole)
                 letters = np.flatnonzero((end > begin) & (next_ != 2))
@@ -247,22 +286,19 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 last[row] = np.arange(len(row))
                 k1, k2, k3, k5 = (np.where(last >= 0, k[last].view(np.int64), 0) if len(k) else np.zeros(len(rows), np.int64) for k in _keys(hashes, code))
                 last_words = [e or (m.group(1).lower() if (m := LAST_WORD.search(t)) else None) for t, e in zip(texts, ends_in)]
-                yield batch(len(rows), kind=np.zeros(len(rows), np.int8), id=[ids[i] for i in rows], field_name=[field] * len(rows), mark=flags, k1=k1, k2=k2, k3=k3, k5=k5, word=last_words, lens=lens)
-    merged()
-    for u, n, e, x in contexts:
-        for i in range(0, len(u), 100_000):
-            m = len(u[i : i + 100_000])
-            yield batch(m, kind=np.full(m, 2, np.int8), k1=u[i : i + m], n=n[i : i + m].astype(np.int64), ends=e[i : i + m].astype(np.int64), stops=x[i : i + m].astype(np.int64))
-    if words:
-        yield batch(len(words), kind=np.full(len(words), 3, np.int8), word=list(words), n=list(words.values()))
+                yield batch(len(rows), kind=np.zeros(len(rows), np.int8), id=[ids[i] for i in rows], field_name=[field] * len(rows), value=values, title_key=titles, mark=flags, k1=k1, k2=k2, k3=k3, k5=k5, word=last_words, lens=lens)
+        if sum(len(c[0]) for c in contexts) > HELD_KEYS or len(words) > HELD_WORDS:
+            yield from counts()
+    yield from counts()
 
 
 def length_limits(counts: DataFrame) -> DataFrame:
-    """(field_name, measure, length): lengths that far more values share than their neighbours."""
+    """(field_name, measure, length, n): lengths that far more distinct values share than their neighbours."""
     near = counts.select("field_name", "measure", F.explode(F.sequence(F.col("length") - SPIKE_NEAR, F.col("length") + SPIKE_NEAR)).alias("length"), F.col("n").alias("m"), F.col("length").alias("at"))
     around = near.filter("at <> length").groupBy("field_name", "measure", "length").agg(F.sum("m").alias("around"))
     x = counts.join(around, ["field_name", "measure", "length"], "left").withColumn("usual", F.coalesce("around", F.lit(0)) / (2 * SPIKE_NEAR))
-    return x.filter((F.col("length") > 64) & (F.col("n") >= SPIKE_LEAST) & (F.col("n") >= SPIKE_TIMES * F.col("usual"))).select("field_name", "measure", "length", "n")
+    chance = (F.col("n") - F.col("usual")) >= SPIKE_Z * F.sqrt(F.greatest(F.col("usual"), F.lit(1.0)))
+    return x.filter((F.col("length") > 64) & chance & (F.col("n") >= SPIKE_TIMES * F.col("usual"))).select("field_name", "measure", "length", "n")
 
 
 def cut_values(vulns: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -271,37 +307,57 @@ def cut_values(vulns: DataFrame) -> tuple[DataFrame, DataFrame]:
     Null, blank and ``nan`` values are no case; a null id gives null; repeated
     rows give repeated cases; an empty table gives empty results.
     """
-    out = materialize(vulns.select("id", *FIELDS).mapInArrow(_scan, _OUT), "ends")
-    counts = out.filter("kind = 1").groupBy("field_name", F.col("k1").alias("measure"), F.col("k2").alias("length")).agg(F.sum("n").alias("n"))
-    limits = materialize(length_limits(counts), "limits")
+    words = F.array_min(F.transform(F.split(F.lower(F.coalesce("title", F.lit(""))), "[^a-z0-9]+"), lambda w: F.when(w != "", F.xxhash64(w))))
+    texts = vulns.select(F.col("id").cast("string").alias("id"), *FIELDS, words.alias("title_key"), *[F.xxhash64(words, f).alias(f"h_{f}") for f in FIELDS])
+    out = materialize(texts.mapInArrow(_scan, _OUT), "ends")
+    values = out.filter("kind = 1").select("field_name", "value", "lens").dropDuplicates(["field_name", "value"])
+    counts = values.select("field_name", F.posexplode("lens").alias("measure", "length")).groupBy("field_name", "measure", "length").agg(F.count("*").alias("n"))
+    limits = materialize(length_limits(materialize(counts, "lengths")), "limits")
     asked = materialize(out.filter("kind = 0").withColumn("rid", F.monotonically_increasing_id()), "asked")
-    keys = asked.select("rid", F.posexplode(F.array("k1", "k2", "k3", "k5")).alias("order", "key"))
+    keys = asked.select("rid", F.coalesce("title_key", "value").alias("title_key"), F.posexplode(F.array("k1", "k2", "k3", "k5")).alias("order", "key"))
     wanted = keys.select("key").distinct()
-    stats = out.filter("kind = 2").select(F.col("k1").alias("key"), "n", "ends", "stops").join(wanted, "key", "left_semi").groupBy("key").agg(*[F.sum(c).alias(c) for c in ("n", "ends", "stops")])
-    stats = materialize(stats.withColumn("on", F.col("n") - F.col("ends") - F.col("stops")).withColumn("rows", F.col("stops")), "stats")
+    every = out.filter("kind = 2").select(F.col("k1").alias("key"), "n", "ends", "stops")
+    stats = every.join(wanted, "key", "left_semi").groupBy("key").agg(F.sum("ends").alias("ends"), F.sum(F.col("n") - F.col("ends") - F.col("stops")).alias("on"))
+    titles = keys.groupBy("key", "title_key").agg(F.count("*").alias("rows")).groupBy("key").agg(F.sum("rows").alias("rows"), (F.count("*") - 1).alias("stops"))
+    stats = materialize(titles.join(stats, "key", "left").select("key", "rows", "stops", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("on", "ends")]), "stats")
     # a last word may end a third of all values; such keys are few
-    met = join_by_group(keys, stats, "key", "rows").filter(F.col("n") >= SEEN)
-    judged = met.groupBy("rid").agg(F.max(F.struct("order", "on", "ends", "stops")).alias("c"))
+    met = join_by_group(keys, stats, "key", "rows")
+    judged = met.groupBy("rid").agg(*[F.sum(F.when(F.col("order") == i, F.col(c))).alias(f"{c}{i}") for i in range(len(ORDERS)) for c in ("on", "ends", "stops")])
     known = out.filter("kind = 3").groupBy("word").agg(F.sum("n").alias("n"))
     asked_words = asked.filter("word is not null and word <> ''").select("word").distinct()
     prefixes = known.select("n", "word", F.explode(F.expr("transform(sequence(1, length(word)), i -> substring(word, 1, i))")).alias("prefix")).join(asked_words.withColumnRenamed("word", "prefix"), "prefix", "left_semi")
     own, longer = (F.max(F.when(c, F.col("n")).otherwise(0)) for c in (F.col("word") == F.col("prefix"), F.col("word") != F.col("prefix")))
-    inside = prefixes.groupBy("prefix").agg(own.alias("own"), longer.alias("longer")).filter(F.col("longer") >= SEEN + PART_OF_WORD * F.col("own")).select(F.col("prefix").alias("word"), F.lit(True).alias("inside_word"))
-    at = asked.select("rid", "field_name", F.posexplode("lens").alias("measure", "length")).join(F.broadcast(limits.select("field_name", F.col("measure").cast("int").alias("measure"), "length")), ["field_name", "measure", "length"]).select("rid").distinct().withColumn("at_limit", F.lit(True))
+    inside = prefixes.groupBy("prefix").agg(own.alias("alone"), longer.alias("longer")).filter(F.col("alone") + PART_PRIOR <= PART_OF_WORD * (F.col("alone") + F.col("longer") + 1)).select(F.col("prefix").alias("word"), F.lit(True).alias("inside_word"))
+    at = asked.select("rid", "field_name", F.posexplode("lens").alias("measure", "length")).join(limits.select("field_name", "measure", "length"), ["field_name", "measure", "length"]).select("rid").distinct().withColumn("at_limit", F.lit(True))
     x = asked.join(judged, "rid", "left").join(at, "rid", "left").join(inside, "word", "left")
-    at_limit, on, ends, stops = F.coalesce("at_limit", F.lit(False)), F.col("c.on"), F.col("c.ends"), F.col("c.stops")
+    ends, stops = goes_on_shares()
+    x = x.withColumn("ends", ends).withColumn("stops", stops)
 
     def goes_on(rare: float, stop: float) -> Column:
-        return (on > 0) & (ends <= rare * (ends + on)) & ((stops <= stop * on) | (F.col("c.order") >= 1) & (on >= 2) & (stops <= 1))
+        return F.coalesce(F.col("on0") > 0, F.lit(False)) & (F.col("ends") <= rare) & (F.col("stops") <= stop / (1 + stop))
 
+    at_limit, unknown = F.coalesce("at_limit", F.lit(False)), F.col("on0").isNull() | (F.col("on0") + F.col("ends0") + F.col("stops0") == 0)
+    broken = F.col("mark") & (F.col("k1") == 0) & (F.col("field_name") != "description")
     reason = (
-        F.when(F.col("mark"), F.when(F.col("lens").isNotNull() & (F.col("k1") == 0) & (F.col("field_name") != "description"), "broken document or mark").otherwise("mark"))
+        F.when(at_limit & (F.col("mark") | F.col("inside_word") | goes_on(RARE_END_AT_LIMIT, STOPS_AT_LIMIT) | unknown), "at a storage limit")
+        .when(broken, "broken document or mark")
+        .when(F.col("mark"), "mark")
         .when(F.col("inside_word"), "inside a word")
         .when(goes_on(RARE_END, STOPS), "words that go on elsewhere")
-        .when(at_limit & (goes_on(RARE_END_AT_LIMIT, STOPS_AT_LIMIT) | F.col("c").isNull()), "at a storage limit")
     )
-    x = materialize(x.select("id", "field_name", reason.alias("reason")).filter("reason is not null"), "reasons")
-    return x, limits
+    found = materialize(x.select("id", "field_name", reason.alias("reason")).filter("reason is not null"), "reasons")
+    release(out, asked, stats)
+    return found, limits
+
+
+def goes_on_shares() -> tuple[Column, Column]:
+    """(share of ends, share of stops) after the last words: those of one word, moved by those of more as far as these were seen."""
+    ends, stops = F.lit(0.1), F.lit(0.1)
+    for i in range(len(ORDERS)):
+        on, e, x = (F.coalesce(F.col(f"{c}{i}"), F.lit(0)) for c in ("on", "ends", "stops"))
+        ends = (e + PRIOR * ends) / (e + on + PRIOR)
+        stops = (x + PRIOR * stops) / (x + on + PRIOR)
+    return ends, stops
 
 
 def cut_rates(vulns: DataFrame) -> DataFrame:

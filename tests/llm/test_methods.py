@@ -220,11 +220,35 @@ def test_cut_values(spark):
     whole = json.dumps([{"file": "a", "hunks": [{"start_line": 1, "code": "let a = 1;\nlet b = 2;"}]}])
     cut = {"x1": "The router keeps the session alive until the par", "x2": "The vault keeps the", "x3": "All is fine. The signer keeps [...]", "x4": "All is fine. The cache keeps the session…"}
     rows += [(k, v, whole, whole[:-9]) for k, v in cut.items()] + [("ok", "The panel keeps the session alive until the signer closes the pending request on a cold start", whole, "[]")]
-    df = spark.createDataFrame(rows, "id string, description string, pre_fix_code string, post_fix_code string")
+    df = spark.createDataFrame([(*r[:1], f"title {r[0]}", *r[1:]) for r in rows], "id string, title string, description string, pre_fix_code string, post_fix_code string")
     got = {(r["id"], r["field_name"]) for r in truncation.cut_values(df)[0].collect()}
     assert got == {(k, "description") for k in cut} | {(k, "post_fix_code") for k in cut}
 
 
+def test_copies_of_a_cut_value_and_of_a_form(spark):
+    """A cut value filed many times is cut in every copy; a form's last line under many titles is complete."""
+    rng = random.Random(5)
+    rows = [(f"{i:04d}", f"title {i}", f"The {rng.choice(['router', 'vault', 'panel'])} number {i} keeps the session alive until the signer closes it. See the checklist below.") for i in range(300)]
+    rows += [(f"c{i:03d}", "the same fix", "The vault keeps the session alive until the") for i in range(100)]
+    rows += [(f"f{i:03d}", f"form {rng.random()}", "Please tick the checklist") for i in range(60)]
+    df = spark.createDataFrame(rows, "id string, title string, description string").withColumns({c: F.lit(None).cast("string") for c in ("pre_fix_code", "post_fix_code")})
+    got = {r["id"] for r in truncation.cut_values(df)[0].collect()}
+    assert got == {f"c{i:03d}" for i in range(100)}
+
+
+def test_values_at_a_limit_are_decided_there(spark):
+    rng = random.Random(6)
+    words = [f"w{rng.choice('abcdefgh')}{i}x" for i in range(400)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(30, 90))) + "." for _ in range(1500)]
+    rows = [(f"{i:04d}", f"title {i} {rng.random()}", t) for i, t in enumerate(texts)]
+    rows += [(f"k{i:03d}", f"other {i} {rng.random()}", t[:150]) for i, t in enumerate(t for t in texts if len(t) > 200) if i < 80]
+    df = spark.createDataFrame(rows, "id string, title string, description string").withColumns({c: F.lit(None).cast("string") for c in ("pre_fix_code", "post_fix_code")})
+    cut, limits = truncation.cut_values(df)
+    assert (0, 150) in {(r["measure"], r["length"]) for r in limits.collect()}
+    got = {r["id"]: r["reason"] for r in cut.collect()}
+    assert len([k for k in got if k[0] == "k"]) >= 76 and {v for k, v in got.items() if k[0] == "k"} == {"at a storage limit"}
+
+
 def test_lengths_under_other_encodings():
     chars, utf8, utf16, entities, js, crlf, crlf8 = truncation.lengths('é<"\n😀')
     assert (chars, utf8, utf16, entities, js, crlf, crlf8) == (5, 9, 6, 5 + 3 + 5, 5 + 2, 6, 10)
