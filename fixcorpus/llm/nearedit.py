@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HOT_ROWS, join_by_group, materialize, release
+from .common import HOT_ROWS, join_by_group, materialize, parts, release
 from .components import link_groups
 
 THRESHOLD = 0.5
@@ -49,6 +49,8 @@ LATER_BRANCH = 4
 COPIES_AS_PAIRS = 200
 #: Records per block where all pairs of a large class are asked for.
 COPY_BLOCK = 500
+#: Bucket rows per partition of a shuffle: tasks keep their size whatever the number of records.
+ROWS_EACH = 400_000
 #: Stands for no record: marks a path that is large in another slot.
 MARK = -1
 #: Positions of a sketch, of two bits each.
@@ -379,8 +381,9 @@ def class_pairs(vulns: DataFrame, threshold: float = THRESHOLD, recall: float =
     rows = sets.mapInArrow(lambda it: _bucket_rows(it, runs, seed), _ROWS)
     found: list[DataFrame] = []
     level = 2
+    expected = base.count() * runs
     while True:
-        by_path = rows.repartition("path", "slot").sortWithinPartitions("path", "slot", "rid")
+        by_path = rows.repartition(parts(rows, ROWS_EACH, expected), "path", "slot").sortWithinPartitions("path", "slot", "rid")
         out = materialize(by_path.mapInArrow(lambda it: _buckets(it, least), "kind byte, a long, b long, up long"), "buckets")
         found.append(out)
         # records of one class may come from several partitions of the table
@@ -391,6 +394,7 @@ def class_pairs(vulns: DataFrame, threshold: float = THRESHOLD, recall: float =
         blocks = F.ceil(F.col("n") / BLOCK).cast("int")
         alike = (F.col("up") > 0) & (2 * F.col("n") > F.col("up"))
         sized = materialize(sized.select("path", "n", F.when((blocks <= BLOCKS) | alike, blocks).otherwise(0).alias("blocks")), "sized")
+        expected = sized.agg(F.sum(F.col("n") * F.greatest("blocks", F.when(F.col("blocks") == 0, LATER_BRANCH).otherwise(0)))).first()[0]
         level += 1
         wanted = large.select("rid").distinct()
         tokens = join_by_group(large.select("path", "rid"), sized, "path", "n").join(_sets_of(sets, wanted), "rid").select("path", "rid", "n", "blocks", "tokens")
