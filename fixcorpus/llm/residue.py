@@ -1,12 +1,16 @@
 """Problem 5: fields that were never written, or hold an error, login, wait or scripts-required page.
 
 Method: labelled exemplars of residue, and of real sentences about such things,
-stand in an inverted index from their words; every passage window of a field (a
-line or sentence; a slot of its own; the form as a whole) retrieves the
-exemplars it shares words with. A window is residue if the TF-IDF weight of its
-words is covered by one residue exemplar (and covers enough of it), unless a
-real exemplar covers it as well. Inverse document frequencies are counted over
-all windows of all rows.
+stand in an inverted index from their words. Passage windows of a field retrieve
+the exemplars they share words with, and the share of a window's TF-IDF weight
+that one exemplar covers decides: high coverage is residue, unless a real
+exemplar speaks for the sentence. There are three kinds of windows, each with
+its exemplars: sentences and lines (which an exemplar must cover nearly whole),
+the nearest words around a slot or a word of filler text (residue may stand
+inside a sentence that is otherwise real), and a field with headings as a whole
+(a form of which nothing but its own headings, prompts and empty items is left).
+An unfilled slot is the word SLOT, weighed like any other word. Inverse document
+frequencies are counted over all windows of all rows.
 """
 
 from __future__ import annotations
@@ -15,23 +19,28 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import join_by_group, materialize
 
 FIELDS = ("title", "description")
 #: Least share of a window's weight that one exemplar covers, and least share of the exemplar's weight.
 WINDOW_COVER, EXEMPLAR_COVER = 0.74, 0.5
-#: The same of filler exemplars, from whose words filler text is drawn.
-FILLER_COVER = 0.2
+#: Share of the weight of the words around a slot or filler word that an inline exemplar covers, and words to each side.
+INLINE_COVER, AROUND = 0.4, 1
+#: Share of an inline exemplar's weight that stands there.
+INLINE_EXEMPLAR = 0.55
+#: Distinct words a task counts before it hands its counts on.
+HELD_WORDS = 500_000
+#: Share of a form's weight that headings, prompts and empty items cover.
+FORM_COVER = 0.9
 #: Share of words (not weighed) that a window must share with the exemplars to be weighed at all.
 RETRIEVE = 0.55
-#: Share of a real exemplar's weight in a window from which the window counts as real.
-REAL_COVER = 0.45
+#: Share of a real exemplar's weight in a sentence from which the sentence counts as real.
+REAL_COVER = 0.6
 
 #: Labelled exemplars (fixed values). SLOT stands for an unfilled placeholder, 0 for numbers.
 RESIDUE = """
@@ -103,13 +112,8 @@ if applicable add screenshots to help explain your problem
 list the steps
 explain what this fixes
 provide a general summary of the issue in the title above
-SLOT
-vulnerability in SLOT allows SLOT
-in SLOT the SLOT is affected by SLOT
-upgrade SLOT to SLOT see SLOT
-a flaw in SLOT before SLOT allows SLOT to SLOT via SLOT
 lorem ipsum dolor sit amet consectetur adipiscing elit
-lorem ipsum velor dasit sevit comen artus nocra pelum
+sed do eiusmod tempor incididunt ut labore et dolore magna aliqua
 page not found
 0 not found
 0 bad gateway
@@ -242,19 +246,61 @@ włącz javascript aby kontynuować
 ative o javascript para continuar
 """.strip().split("\n")
 
-#: Real sentences about such pages and placeholders, by what is typical of them (fixed values).
+#: Exemplars of what may stand inside a real sentence: slots as forms and generators leave them, filler text.
+INLINE = """
+SLOT
+in SLOT the SLOT
+a vulnerability in SLOT allows SLOT
+a flaw in SLOT before SLOT
+upgrade SLOT to SLOT
+update SLOT to use SLOT
+see SLOT for details
+fix SLOT in SLOT
+fixes SLOT and SLOT
+closes SLOT
+add SLOT to SLOT
+remove SLOT from SLOT
+call SLOT with SLOT
+run SLOT for SLOT minutes
+trigger SLOT 0 times
+SLOT fails when SLOT
+SLOT returns SLOT
+SLOT is affected by SLOT
+allows SLOT to SLOT via SLOT
+reported by SLOT on SLOT
+before SLOT a SLOT could SLOT
+since SLOT NAME SLOT
+hi SLOT thanks SLOT
+dear SLOT
+lorem ipsum
+lorem ipsum dolor sit amet
+dolor sit amet consectetur
+""".strip().split("\n")
+
+#: Headings, prompts and empty items that forms are made of.
+FORM = """
+summary description details overview motivation context background what why how
+test plan tests testing how has this been tested docs documentation changelog checklist
+steps to reproduce reproduction expected actual behavior behaviour result results
+environment version versions platform browser os screenshots logs additional information
+related issue issues type of change bug fix feature breaking change notes impact severity
+0 label bug none n a yes no todo tbd
+please include a summary of the change describe your changes here what does this do
+""".split()
+
+#: Real sentences about pages, placeholders and filler, by what is typical of them (general knowledge, no sentence of any table).
 REAL = """
-escape SLOT and SLOT in the mail template so that NAME cannot inject markup
-placeholders such as SLOT in NAME reach NAME unescaped
-placeholder SLOT is substituted by the template
-the template variable SLOT is rendered without escaping
-interpolation of SLOT in the format string
-access denied replies are no longer cached by NAME
-todo entries in NAME were removed after NAME landed
-lorem text in the demo made NAME overflow at 0 characters
-a 0 from the relay made NAME retry 0 times it now backs off
-the captcha page of the price feed was parsed by NAME as a quote
-when javascript is disabled in the webview NAME leaves unlocked
+escape SLOT
+escapes SLOT before rendering
+placeholders such as SLOT
+the placeholder SLOT is replaced
+the template variable SLOT is not escaped
+substitute SLOT with the value
+the literal text SLOT is shown
+interpolate SLOT into the query
+unescaped SLOT leads to injection
+the format string SLOT is parsed
+names like SLOT in templates
 """.strip().split("\n")
 
 #: Words that slots are named with (fixed values).
@@ -275,7 +321,6 @@ TAG = re.compile(r"</?([A-Za-z][A-Za-z0-9]*)(?:\s[^<>]*)?/?>|<!DOCTYPE[^>]*>", r
 URL = re.compile(r"https?://[^\s\"'<>)]+")
 FENCE = re.compile(r"```.*?(?:```|\Z)", re.S)
 HEADING = re.compile(r"^\s{0,3}(?:#{1,6}\s+\S.*|\*\*[^*]+\*\*:?)\s*$")
-EMPTY_ITEM = re.compile(r"^\s*(?:[-*+]|\d+[.)])?\s*(?:\[ \])?\s*$|^\s*[-*+]\s*\[ \]\s*\w{1,20}\s*$|^/\w+\s+~?\w+\s*$")
 SENTENCE = re.compile(r"(?<=[.!?])[\s\"')\]]+|\n+|(?<=\})\s+")
 WORD = re.compile(r"§(?:slot|url|name)§|[^\W\d_][^\W_]*(?:[_'’][^\W_]+)*|\d[\w.]*")
 CAMEL = re.compile(r"[a-z][A-Z]|[A-Za-z]+/[\w./-]+|\w+\.\w{1,5}$")
@@ -318,19 +363,23 @@ def tokens(window: str) -> list[str]:
 _CODE_NAME = re.compile(r"\b[\w.-]*[a-z][A-Z]\w*\b|(?<![\w<])[\w-]+(?:/[\w.-]+)+")
 
 
-def windows(text: str) -> tuple[list[str], bool]:
-    """Passage windows of a field, and whether it is a form in which nothing was written."""
+def windows(text: str) -> tuple[list[str], str]:
+    """Sentences and lines of a field, and where it has headings the whole of it ('' else)."""
     if WHOLE_SLOT.match(text):
-        return ["§slot§"], False
+        return ["§slot§"], ""
     plain = COMMENT.sub("\n", text)
     body = FENCE.sub("\n", plain)
-    lines = [x for x in plain.split("\n") if x.strip()]
+    form = ""
     if "#" in body or "**" in body:
-        body = "\n".join(x for x in body.split("\n") if not HEADING.match(x))
-    form = any(HEADING.match(x) for x in lines) and all(HEADING.match(x) or EMPTY_ITEM.match(x) or _is_prompt(x) for x in lines)
+        lines = body.split("\n")
+        if any(HEADING.match(x) for x in lines):
+            form = body
+            body = "\n".join(x for x in lines if not HEADING.match(x))
+    elif not plain.strip() and text.strip():
+        form = "none"  # nothing but a comment of the form
     body = TAG.sub(lambda m: "\n" if (m.group(1) or "html").lower() in HTML_TAGS else m.group(), SLOT.sub(_slot, body)) if "<" in body or "{" in body or "[" in body or "%" in body or "$" in body or "__" in body else body
     body = _CODE_NAME.sub(" §name§ ", URL.sub(" §url§ ", body))
-    return [w for w in SENTENCE.split(body) if w and w.strip()], form or (not lines and bool(text.strip()))
+    return [w for w in SENTENCE.split(body) if w and w.strip()], form
 
 
 def _parse(exemplar: str) -> list[str]:
@@ -340,8 +389,12 @@ def _parse(exemplar: str) -> list[str]:
 #: Words that tell nothing of what a sentence is about (fixed values).
 _FUNCTION_WORDS = frozenset("SLOT NAME URL 0 a an the in on of to by is are was were and or for from with at it as that so no not now when after before".split())
 _RESIDUE = [Counter(_parse(x)) for x in RESIDUE]
+_INLINE = [Counter(_parse(x)) for x in INLINE]
 _REAL = [Counter(_parse(x)) for x in REAL]
-_VOCABULARY = frozenset(t for c in (*_RESIDUE, *_REAL) for t in c)
+_FORM = frozenset(_parse(" ".join(FORM)))
+_VOCABULARY = frozenset(t for c in (*_RESIDUE, *_INLINE, *_REAL) for t in c) | _FORM
+#: Words around which an inline window is taken: those of the inline exemplars that tell something, and SLOT.
+_ANCHORS = frozenset({"SLOT", "lorem", "ipsum", "consectetur", "adipiscing"})
 #: Inverted index: word -> residue exemplars with it.
 _INDEX: dict[str, list[int]] = {}
 for _i, _c in enumerate(_RESIDUE):
@@ -349,12 +402,6 @@ for _i, _c in enumerate(_RESIDUE):
         _INDEX.setdefault(_t, []).append(_i)
 
 
-@lru_cache(maxsize=20_000)
-def _is_prompt(line: str) -> bool:
-    words = tokens(line)
-    return bool(words) and any(Counter(words) == c for c in _RESIDUE)
-
-
 def retrieve(words: list[str]) -> list[int]:
     """Residue exemplars that share enough words with a window to be weighed."""
     hits: Counter[int] = Counter()
@@ -365,18 +412,26 @@ def retrieve(words: list[str]) -> list[int]:
     return [i for i, h in hits.items() if h >= RETRIEVE * n]
 
 
-_SCHEMA = pa.schema([("kind", pa.int8()), ("id", pa.string()), ("field_name", pa.string()), ("words", pa.list_(pa.string())), ("form", pa.bool_()), ("word", pa.string()), ("n", pa.int64())])
-_OUT = "kind byte, id string, field_name string, words array<string>, form boolean, word string, n long"
+SENTENCE_WINDOW, INLINE_WINDOW, FORM_WINDOW = 0, 1, 2
+_SCHEMA = pa.schema([("kind", pa.int8()), ("id", pa.string()), ("field_name", pa.string()), ("window_kind", pa.int8()), ("words", pa.list_(pa.string())), ("sentence", pa.list_(pa.string())), ("word", pa.string()), ("n", pa.int64())])
+_OUT = "kind byte, id string, field_name string, window_kind byte, words array<string>, sentence array<string>, word string, n long"
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """kind 0: a window to weigh, or an empty form; kind 1: windows with a word of the exemplars ('' counts all windows)."""
+    """kind 0: a window to weigh; kind 1: windows with a word ('' counts all windows)."""
     df: Counter[str] = Counter()
+
+    def counts() -> pa.RecordBatch:
+        n = len(df)
+        cols = {"kind": [1] * n, "word": list(df), "n": list(df.values())}
+        df.clear()
+        return pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) if f.name in cols else pa.nulls(n, f.type) for f in _SCHEMA], schema=_SCHEMA)
+
     for b in batches:
         cols: dict[str, list] = {f.name: [] for f in _SCHEMA}
 
-        def put(i: str, field: str, words: list[str], form: bool) -> None:
-            for c, v in zip(cols, (0, i, field, words, form, None, None)):
+        def put(i: str, field: str, kind: int, words: list[str], sentence: list[str] | None) -> None:
+            for c, v in zip(cols, (0, i, field, kind, words, sentence, None, None)):
                 cols[c].append(v)
 
         for field in FIELDS:
@@ -385,80 +440,114 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     continue
                 parts, form = windows(text)
                 if form:
-                    put(i, field, [], True)
+                    words = tokens(_CODE_NAME.sub(" §name§ ", URL.sub(" §url§ ", form)))
+                    if sum(t in _FORM for t in words) >= RETRIEVE * len(words):
+                        put(i, field, FORM_WINDOW, words, None)
                 for part in parts:
                     words = tokens(part)
                     if not words:
                         continue
+                    distinct = set(words)
                     df[""] += 1
-                    known = [t for t in set(words) if t in _VOCABULARY]
-                    for t in known:
-                        df[t] += 1
-                    if "SLOT" in known or (len(known) >= RETRIEVE * len(set(words)) and retrieve(words)):
-                        put(i, field, words, False)
+                    df.update(distinct)
+                    known = distinct & _VOCABULARY
+                    if len(known) >= RETRIEVE * len(distinct) and retrieve(words):
+                        put(i, field, SENTENCE_WINDOW, words, None)
+                    if not _ANCHORS.isdisjoint(known):
+                        for at, t in enumerate(words):
+                            if t in _ANCHORS:
+                                put(i, field, INLINE_WINDOW, words[max(0, at - AROUND) : at + AROUND + 1], words)
         yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) for f in _SCHEMA], schema=_SCHEMA)
+        if len(df) > HELD_WORDS:
+            yield counts()
     if df:
-        n = len(df)
-        yield pa.RecordBatch.from_arrays([pa.array([1] * n, pa.int8()), pa.nulls(n, pa.string()), pa.nulls(n, pa.string()), pa.nulls(n, pa.list_(pa.string())), pa.nulls(n, pa.bool_()), pa.array(list(df)), pa.array(list(df.values()), pa.int64())], schema=_SCHEMA)
+        yield counts()
 
 
 class Weigher:
     """Judges windows by the weights of their words."""
 
     def __init__(self, df: dict[str, int]):
-        n = max(1, df.get("", 1))
-        self.idf = {t: math.log((1 + n) / (1 + df.get(t, 0))) + 0.1 for t in _VOCABULARY}
-        #: of words that no exemplar has: as rare as one in a thousand windows
-        self.other = math.log(1000)
+        self.n = max(1, df.get("", 1))
+        self.idf = {t: self.rarity(df.get(t, 0)) for t in _VOCABULARY}
         self.residue = [(c, self._weight(c)) for c in _RESIDUE]
+        self.inline = [(c, self._weight(c)) for c in _INLINE]
         self.real = [(c, self._weight(c)) for c in _REAL]
 
+    def rarity(self, seen: int) -> float:
+        return math.log((1 + self.n) / (1 + seen)) + 0.1
+
     def _weight(self, c: Counter[str]) -> float:
-        return sum(self.idf.get(t, self.other) * k for t, k in c.items())
+        return sum(self.idf[t] * k for t, k in c.items())
 
     def _shared(self, a: Counter[str], b: Counter[str]) -> float:
-        return sum(self.idf.get(t, self.other) * min(k, b[t]) for t, k in a.items() if t in b)
+        return sum(self.idf[t] * min(k, b[t]) for t, k in a.items() if t in b)
 
-    def covered(self, words: list[str]) -> tuple[float, str]:
-        """Largest share of a window that a residue exemplar covers, and the exemplar; 0 where a real one speaks for it."""
+    def speaks_of(self, words: list[str]) -> bool:
+        """Whether a real exemplar covers what a sentence says of such things."""
         c = Counter(words)
-        for e, (x, w) in enumerate(self.real):
-            if self._shared(x, c) >= REAL_COVER * w and len((set(x) & set(c)) - _FUNCTION_WORDS) >= 2:
-                return 0.0, ""
-        best, name = (1.0, "SLOT") if "SLOT" in c else (0.0, "")
-        total = self._weight(c)
-        for i in retrieve(words):
-            x, w = self.residue[i]
-            least = FILLER_COVER if "ipsum" in x else EXEMPLAR_COVER
-            s = sum(self.idf[t] * k for t, k in c.items() if t in x)
-            if self._shared(x, c) >= least * w and s / total > best:
-                best, name = s / total, RESIDUE[i]
+        return any((set(x) & set(c)) - _FUNCTION_WORDS and self._shared(x, c) >= REAL_COVER * w for x, w in self.real)
+
+    def covered(self, kind: int, words: list[str], sentence: list[str] | None = None, others: dict[str, int] | None = None) -> tuple[float, str]:
+        """Share of a window that the best exemplar of its kind covers, as a part of what the kind asks for (1 and more is residue), and the exemplar.
+
+        ``others`` has the number of windows with each word that no exemplar has.
+        """
+        c = Counter(words)
+        others = others or {}
+        total = sum((self.idf[t] if t in self.idf else self.rarity(others.get(t, 0))) * k for t, k in c.items()) or 1.0
+        if kind == FORM_WINDOW:
+            return sum(self.idf[t] * k for t, k in c.items() if t in _FORM) / total / FORM_COVER, "form"
+        inline = kind == INLINE_WINDOW
+        if inline and self.speaks_of(sentence or words):
+            return 0.0, ""
+        best, name = 0.0, ""
+        for i in range(len(_INLINE)) if inline else retrieve(words):
+            x, w = self.inline[i] if inline else self.residue[i]
+            s = sum(self.idf[t] * k for t, k in c.items() if t in x) / total / (INLINE_COVER if inline else WINDOW_COVER)
+            if s > best and self._shared(x, c) >= (INLINE_EXEMPLAR if inline else EXEMPLAR_COVER) * w:
+                best, name = s, (INLINE if inline else RESIDUE)[i]
         return best, name
 
+    def is_residue(self, text: str) -> bool:
+        """Whether any window of a text is residue."""
+        parts, form = windows(text)
+        found = [(FORM_WINDOW, tokens(form), None)] if form else []
+        for words in map(tokens, parts):
+            found += [(SENTENCE_WINDOW, words, None)] if words else []
+            found += [(INLINE_WINDOW, words[max(0, i - AROUND) : i + AROUND + 1], words) for i, t in enumerate(words) if t in _ANCHORS]
+        return any(self.covered(*x)[0] >= 1 for x in found)
+
 
 def residue_fields(vulns: DataFrame) -> DataFrame:
-    """(id, field_name, window, exemplar, cover) of every window or form that is residue.
+    """(id, field_name, window, exemplar, cover) of every window that is residue; cover is 1 where it just suffices.
 
     Null, blank and ``nan`` values are no case; comments and fenced code are no
     text; a null id stays null; repeated rows give repeated windows; an empty
     table gives an empty result.
     """
     found = materialize(vulns.select(F.col("id").cast("string").alias("id"), *FIELDS).mapInArrow(_scan, _OUT), "windows")
+    counts = materialize(found.filter("kind = 1").groupBy("word").agg(F.sum("n").alias("n")), "words")
     # at most the words of the exemplars
-    df = {r["word"]: r["n"] for r in found.filter("kind = 1").groupBy("word").agg(F.sum("n").alias("n")).collect()}
+    df = {r["word"]: r["n"] for r in counts.filter(F.col("word").isin("", *sorted(_VOCABULARY))).collect()}
+    asked = materialize(found.filter("kind = 0").withColumn("rid", F.monotonically_increasing_id()), "asked")
+    # counts of the other words, joined by word; a word may stand in a third of all windows
+    each = asked.select("rid", F.explode(F.array_except("words", F.array(*[F.lit(t) for t in sorted(_VOCABULARY)]))).alias("word"))
+    rows = each.groupBy("word").agg(F.count("*").alias("rows")).join(counts, "word")
+    known = join_by_group(each, materialize(rows, "asked-words"), "word", "rows").groupBy("rid").agg(F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("others"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weigher = Weigher(df)
         for b in batches:
             out: dict[str, list] = {"id": [], "field_name": [], "window": [], "exemplar": [], "cover": []}
-            for i, field, words, form in zip(*[b.column(c).to_pylist() for c in ("id", "field_name", "words", "form")]):
-                cover, name = (1.0, "form") if form else weigher.covered(words)
-                if cover >= WINDOW_COVER:
-                    for k, v in zip(out, (i, field, " ".join(words or []), name, cover)):
+            for i, field, kind, words, sentence, others in zip(*[b.column(c).to_pylist() for c in ("id", "field_name", "window_kind", "words", "sentence", "others")]):
+                cover, name = weigher.covered(kind, words, sentence, dict(others or ()))
+                if cover >= 1:
+                    for k, v in zip(out, (i, field, " ".join(words), name, cover)):
                         out[k].append(v)
             yield pa.RecordBatch.from_arrays([*[pa.array(out[k], pa.string()) for k in ("id", "field_name", "window", "exemplar")], pa.array(out["cover"], pa.float64())], names=list(out))
 
-    return found.filter("kind = 0").mapInArrow(run, "id string, field_name string, window string, exemplar string, cover double")
+    return asked.join(known, "rid", "left").mapInArrow(run, "id string, field_name string, window string, exemplar string, cover double")
 
 
 def without_residue(vulns: DataFrame) -> DataFrame:

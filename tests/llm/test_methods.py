@@ -242,14 +242,14 @@ def test_even_slots_hand_spare_ones_on(spark):
 
 @pytest.mark.parametrize("text, bad", [
     ("Page not found", True), ("Error 502: bad gateway. Request id 0f3e9a11", True), ("The patch is fine. Please enable JavaScript and cookies to continue.", True), ("## Summary\n\n<!-- what and why? -->\n\n## Test plan\n\n- [ ] \n", True),
-    ("In {{file}} the {{function}} is affected by {{issue}}.", True), ("Fuzzing <function name> for <number> minutes", True), ("Lorem ipsum velor dasit sevit comen.", True),
-    ("Escape {{name}} and ${amount} in the mail template so that renderX cannot inject markup.", False), ("A 502 from the relay made drainOrigin retry 3982 times; it now backs off.", False), ("Access denied replies are no longer cached by exportContact.", False),
-    ("<!-- keep this line --> The careful flag in a/b.rs turned closeWorkerPin off for version 7.21.17.", False), ("## Steps to reproduce\nOpen the vault twice and wait.\n\n## Expected\nNo crash of the signer.", False), ("Vec<String> and Map<u8, u8> are parsed twice here.", False),
+    ("In {{file}} the {{function}} is affected by {{issue}}.", True), ("Fuzzing <function name> for <number> minutes", True), ("Lorem ipsum vero labore magna.", True), ("The vault crashes when {{component}} is closed twice by the user.", True),
+    ("Escape {{name}} and ${amount} before the page is drawn, so that no markup gets in.", False), ("The server answered 502 and the client asked again 12 times before it gave up.", False), ("Users with access denied see the reason in the log now.", False), ("The placeholder {{name}} is replaced twice.", False),
+    ("<!-- keep this line --> The flag in a/b.rs turned closeWorkerPin off for version 7.21.17.", False), ("## Steps to reproduce\nOpen the vault twice and wait.\n\n## Expected\nNo crash of the signer.", False), ("Vec<String> and Map<u8, u8> are parsed twice here.", False),
+    ("the handler interpolates {user} into the query that the driver runs", False), ("The sample text in lorem style ran over the edge.", False),
 ])
 def test_residue(text, bad):
-    parts, form = residue.windows(text)
-    w = residue.Weigher({"": 100_000, "the": 40_000, "in": 20_000, "a": 20_000, "to": 9_000, "and": 9_000})
-    assert (form or any(w.covered(residue.tokens(p))[0] >= residue.WINDOW_COVER for p in parts)) is bad
+    w = residue.Weigher({"": 100_000, "the": 40_000, "in": 20_000, "a": 20_000, "to": 9_000, "and": 9_000, "is": 12_000, "when": 5_000, "for": 9_000, "SLOT": 90, "NAME": 60_000, "0": 40_000, "minutes": 800, "by": 9_000})
+    assert w.is_residue(text) is bad
 
 
 # ------------------------------------------------------------------ 6
