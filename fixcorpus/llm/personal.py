@@ -2,12 +2,16 @@
 
 Method (information-theoretic sanitisation): candidate terms are found by
 shape alone (addresses of mail, runs of digits, mixed codes, postal lines,
-capitalised word runs). Over all rows it is counted how often the words around
-a candidate (its cues; not the parts of the candidate) stand with terms known to
-be protected (seeds: lexicon names, unmistakable numbers and addresses). From
-these co-occurrences follows how much information, in bits, a cue gives about
-the kind; a candidate whose cues and form together exceed the kind's disclosure
-threshold is replaced by a placeholder of its kind, the rest stays.
+capitalised words). Over all rows it is counted how often the words around a
+candidate (its cues) and the candidate's own parts (the words of a name, the
+host of an address, the form of an identity number) stand with terms known to be protected
+(seeds: lexicon names, mail addresses made of them, whole postal addresses,
+unmistakable numbers) and with terms that are not. From these co-occurrences
+follows how much information, in bits, cues and parts give about the kind; a
+candidate of any kind whose form, cues and parts together exceed the disclosure
+threshold is replaced by a placeholder of its kind, the rest stays. So a surname
+that no lexicon has is known by the names it stands beside elsewhere, and a
+common word by the many rows in which it stands beside none.
 """
 
 from __future__ import annotations
@@ -30,6 +34,10 @@ PLACEHOLDER = {"name": "<NAME>", "email": "<EMAIL>", "phone": "<PHONE>", "id_num
 DISCLOSURE = 1.0
 #: Sightings of a cue before it counts.
 SEEN = 3
+#: Most bits that parts add or take, and bits that a single unknown capitalised word starts from.
+PART_GAIN, PART_LOSS, UNKNOWN_WORD = 4.0, 2.0, -4.5
+#: Distinct cues and parts a task counts before it hands its counts on.
+HELD_CUES = 500_000
 
 #: Mailboxes of a function (fixed values).
 FUNCTION_BOX = frozenset("security noreply no-reply donotreply info support admin abuse postmaster webmaster hello contact sales help team press bugs bounty disclosure psirt git root hostmaster notifications notification mailer-daemon billing office jobs legal privacy dev ops service services alerts".split())
@@ -62,6 +70,10 @@ ADDRESS = re.compile(
 STREET_HINTS = tuple("Street,St ,St.,Avenue,Ave,Road,Rd,Lane,Ln,Drive,Dr ,Dr.,Court,Ct,Way,Blvd,Boulevard,Place,Pl ,Pl.,Square,Terrace,Row,Rise,Close,Crescent,Hill,Walk,Grove,Mews,Parade,Quay,Circle,Trail,Parkway,Alley,weg ,straße,strasse,str.,gasse,allee,platz,zeile,ufer,damm,steig,stieg,Box ,Postfach".split(","))
 TOWN_HINT = re.compile(r"\d{4,6} [A-ZÀ-Ý]")
 
+POSTAL_END = re.compile(r"[ \n]\d{4,6}(?:-\d{4})?$")
+#: Bits of a candidate that is none and only counts against its cues.
+NEVER = -99.0
+
 HONORIFIC = r"(?:Mrs?|Ms|Miss|Dr|Prof|Herr|Frau|Mme|Sr|Sra)\.?"
 _PART = rf"(?:{HONORIFIC}(?= )|[A-ZÀ-Ý][a-zà-ÿ'’-]+|[A-ZÀ-Ý]{{2,}}|[A-ZÀ-Ý]\.)"
 NAME = re.compile(rf"(?<![\w@/.#-]){_PART}(?:,? {_PART}){{0,4}}(?![\w@/])")
@@ -69,13 +81,11 @@ NAME_PART = re.compile(_PART)
 IS_HONORIFIC = re.compile(HONORIFIC)
 LETTERS = re.compile(r"(?<![\w@/.#-])([a-zà-ÿ'’-]{3,}),? (?=([a-zà-ÿ'’-]{3,})(?![\w@/]))")
 CUE_WORD = re.compile(r"[A-Za-z]+|\d+|[^\w\s]")
-#: Words at the start of a sentence and the like that no name begins with (fixed values).
+#: Function words of English, with which no name begins (fixed values).
 COMMON = frozenset(
-    """the a an and or but if in on at to of for from by with without since before after when while because both any only all this that these those it its he she they we you i
-    as is are was were be been not no nothing so then thanks thank per see mail write call calls contact reporter reported credit ask tel hotline build ticket node height path pin clone clear stop guard reject prevent
-    validate fix fixes closes tracked severity backport signed off found invoice address holder export geo return unit device account form logs log line notices escape placeholders street grace period quiet hours
-    out wrong missing race security refactor chore bump harden tests test re cve impact limits root cause traces storage reviewers regression fuzzing follow nothing ported tested summary note again also update
-    error bad internal server page access sign read module tls url http https json api usb qr rpc pin ui nft id""".split()
+    """a an the and or but nor if then so as at by for from in into of off on onto out over per to under up via with without about above after again against all also any because been before being below
+    between both can could did do does during each few had has have having he her here his how i is it its may me might more most must my no not now only other our own same she should some such than that
+    their them there these they this those through too until very was we were what when where which while who why will would you your""".split()
 )
 
 
@@ -138,7 +148,21 @@ def _cues(text: str, a: int, b: int) -> list[str]:
     return out
 
 
-_STOP = re.compile(r"[a-z][A-Z]|\d")
+def parts_of(kind: str, term: str) -> list[str]:
+    """What a term consists of: words of a name, host of a mail address, last word of a postal one, form of an identity number."""
+    if kind == "name":
+        return ["=" + w for w in dict.fromkeys(_shape(x.group()) for x in NAME_PART.finditer(term.title() if term.islower() or term.isupper() else term) if len(x.group()) > 2 and not IS_HONORIFIC.fullmatch(x.group()))]
+    if kind == "email":
+        return ["=" + re.split(r"@|\sat\s|[(\[]at[)\]]", term.lower())[-1].strip()]
+    if kind == "address":
+        return ["=" + (re.findall(r"[^\W\d_]+", term.lower()) or [""])[-1]]
+    if kind == "id_number":
+        return ["=" + re.sub(r"[A-Za-z]", "a", re.sub(r"\d", "0", term))]
+    return []  # phone numbers are seeds by their form, which so tells nothing more
+
+
+#: Where a sentence, line or item begins, whose first word has a capital for that reason.
+_OPENS = re.compile(r"(?:^|[.!?\n][\s\"'(*_#>-]*|[-*#>]\s)\Z")
 
 
 def _name_spans(text: str, names: Names) -> Iterator[tuple[int, int, int, bool]]:
@@ -159,8 +183,11 @@ def _name_spans(text: str, names: Names) -> Iterator[tuple[int, int, int, bool]]
             n = sum(1 for s in strong[lo : hi + 1] if s)
             formed = n >= 2 if text.isupper() else n >= 2 or (n == 1 and (any(hon[lo:hi]) or any(initial[lo : hi + 1]) or hi > lo))
             yield words[lo][0], words[hi][1], 2 * n + sum(s == 2 for s in strong[lo : hi + 1]), formed
-        elif len(words) >= 2 and all(_shape(w) not in COMMON for _, _, w in words):
-            yield words[0][0], words[-1][1], 0, any(hon)
+        elif all(_shape(w) not in COMMON for _, _, w in words):
+            if len(words) >= 2:
+                yield words[0][0], words[-1][1], 0, any(hon)
+            elif len(words[0][2]) >= 4 and words[0][2][1:].islower() and not _OPENS.search(text, max(0, words[0][0] - 4), words[0][0]):
+                yield words[0][0], words[0][1], -1, False
 
 
 @lru_cache(maxsize=4)
@@ -195,12 +222,13 @@ def candidates(text: str, names: Names) -> list[tuple[int, int, str, float, bool
             box = m.group(1).lower()
             before, after = text[max(0, m.start() - 1) : m.start()], text[m.end() : m.end() + 1]
             if box in FUNCTION_BOX or box.split("+")[0].split(".")[0] in FUNCTION_BOX or (after == ":" and text[m.end() + 1 : m.end() + 2].isalnum()) or after == "/" or before in ("/", "@"):
-                taken.append((m.start(), m.end()))  # a function's mailbox or a remote: nothing in it is personal
+                add(m.start(), m.end(), "email", NEVER, False)  # a function's mailbox or a remote: what stands around it speaks against
                 continue
-            add(m.start(), m.end(), "email", 9.0, True)
+            parts = re.split(r"[._+-]|\d+", m.group(1).lower())
+            add(m.start(), m.end(), "email", 4.0, any(names.strength(x) for x in parts))
     if any(map(str.isdigit, text)):
         for m in ADDRESS.finditer(text) if any(h in text for h in STREET_HINTS) or TOWN_HINT.search(text) else ():
-            add(m.start(), m.end(), "address", 4.0, True)
+            add(m.start(), m.end(), "address", 4.0, bool(TOWN_HINT.search(m.group())) or bool(POSTAL_END.search(m.group())))
         for m in CODE.finditer(text):
             add(m.start(), m.end(), "id_number", -1.0, bool(ID_WORD.search(text, max(0, m.start() - 40), m.start())))
         for m in NUMBER.finditer(text):
@@ -220,19 +248,27 @@ def candidates(text: str, names: Names) -> list[tuple[int, int, str, float, bool
             if names.strength(m.group(1)) and names.strength(m.group(2)) and names.strength(m.group(1)) + names.strength(m.group(2)) >= 3:
                 add(m.start(), m.end(2), "name", 2.5, False)
     for a, b, strong, formed in _name_spans(text, names):
-        add(a, b, "name", (2.0 if formed else -0.5) + 0.5 * strong - 1.5 if strong else -3.0, strong >= 5 and formed)
+        bits = UNKNOWN_WORD if strong < 0 else -3.0 if not strong else (2.0 if formed else -0.5) + 0.5 * strong - 1.5
+        add(a, b, "name", bits, strong >= 5 and formed)
     return sorted(out)
 
 
-_SCHEMA = pa.schema([("kind", pa.int8()), ("id", pa.string()), ("field_name", pa.string()), ("start", pa.int32()), ("stop", pa.int32()), ("pii_kind", pa.string()), ("term", pa.string()), ("bits", pa.float64()), ("cue", pa.string()), ("cues", pa.list_(pa.string())), ("n", pa.int64()), ("seeds", pa.int64())])
-_OUT = "kind byte, id string, field_name string, start int, stop int, pii_kind string, term string, bits double, cue string, cues array<string>, n long, seeds long"
+_SCHEMA = pa.schema([("kind", pa.int8()), ("id", pa.string()), ("field_name", pa.string()), ("start", pa.int32()), ("stop", pa.int32()), ("pii_kind", pa.string()), ("term", pa.string()), ("bits", pa.float64()), ("cue", pa.string()), ("cues", pa.list_(pa.string())), ("parts", pa.list_(pa.string())), ("n", pa.int64()), ("seeds", pa.int64())])
+_OUT = "kind byte, id string, field_name string, start int, stop int, pii_kind string, term string, bits double, cue string, cues array<string>, parts array<string>, n long, seeds long"
 
 
 def _scanner(lexicon: list[tuple[str, str]]):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """kind 0: a candidate; kind 1: how often a cue stands with candidates of a kind, and with seeds of it."""
+        """kind 0: a candidate; kind 1: how often a cue or part stands with candidates of a kind, and with seeds of it."""
         names = Names(lexicon)
         counts: dict[tuple[str, str], list[int]] = {}
+
+        def told() -> pa.RecordBatch:
+            n = len(counts)
+            cols = {"kind": [1] * n, "pii_kind": [k for k, _ in counts], "cue": [c for _, c in counts], "n": [v[0] for v in counts.values()], "seeds": [v[1] for v in counts.values()]}
+            counts.clear()
+            return pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) if f.name in cols else pa.nulls(n, f.type) for f in _SCHEMA], schema=_SCHEMA)
+
         for b in batches:
             cols: dict[str, list] = {f.name: [] for f in _SCHEMA}
             for field in FIELDS:
@@ -240,22 +276,21 @@ def _scanner(lexicon: list[tuple[str, str]]):
                     if text is None or text.strip().lower() in ("", "nan"):
                         continue
                     for a, z, kind, bits, seed in candidates(text, names):
-                        cues = _cues(text, a, z)
-                        for c in cues:
+                        cues, parts = _cues(text, a, z), parts_of(kind, text[a:z])
+                        # a word beside a known name word is seen with a protected term, though the run is none itself
+                        beside = seed or (kind == "name" and bits >= 2.0 and len(parts) > 1)
+                        for c in (*cues, *parts):
                             n = counts.setdefault((kind, c), [0, 0])
                             n[0] += 1
-                            n[1] += seed
-                        if kind == "name" and bits <= -3.0 and not seed:
-                            # a run without any name word is kept only where a cue may speak for it
-                            if not text[a:z].replace(".", "").replace(" ", "").isalpha() or " " not in text[a:z]:
-                                continue
-                        for k, v in zip(cols, (0, i, field, a, z, kind, text[a:z], bits, None, cues, None, None)):
-                            cols[k].append(v)
+                            n[1] += beside
+                        if bits > NEVER:
+                            for k, v in zip(cols, (0, i, field, a, z, kind, text[a:z], bits, None, cues, parts, None, None)):
+                                cols[k].append(v)
             yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) for f in _SCHEMA], schema=_SCHEMA)
+            if len(counts) > HELD_CUES:
+                yield told()
         if counts:
-            n = len(counts)
-            cols = {"kind": [1] * n, "pii_kind": [k for k, _ in counts], "cue": [c for _, c in counts], "n": [v[0] for v in counts.values()], "seeds": [v[1] for v in counts.values()]}
-            yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], f.type) if f.name in cols else pa.nulls(n, f.type) for f in _SCHEMA], schema=_SCHEMA)
+            yield told()
 
     return scan
 
@@ -270,22 +305,24 @@ def personal_items(vulns: DataFrame, lexicon: DataFrame, disclosure: float = DIS
     words = [(r["name_word"], r["name_kind"]) for r in lexicon.select("name_word", "name_kind").filter("name_word is not null").collect()]
     found = materialize(vulns.select(F.col("id").cast("string").alias("id"), *FIELDS).mapInArrow(_scanner(words), _OUT), "candidates")
     counts = found.filter("kind = 1").groupBy("pii_kind", "cue").agg(F.sum("n").alias("n"), F.sum("seeds").alias("seeds"))
-    base = counts.filter(F.col("cue").startswith("<1")).groupBy("pii_kind").agg(F.sum("n").alias("all_n"), F.sum("seeds").alias("all_seeds"))
+    base = counts.filter(F.col("cue").startswith("<1")).groupBy("pii_kind").agg(F.sum("n").alias("all_n"), F.sum("seeds").alias("all_seeds"))  # one row per kind
     prior = (F.col("all_seeds") + 1) / (F.col("all_n") + 2)
-    given = (F.col("seeds") + 2 * prior) / (F.col("n") + 2)
-    cues = counts.join(F.broadcast(base), "pii_kind").filter(F.col("n") >= SEEN).select("pii_kind", "cue", "n", F.log2(F.greatest(given, F.lit(1e-6)) / F.greatest(1 - given, F.lit(1e-6))).alias("odds"))
+    given = F.greatest((F.col("seeds") + 2 * prior) / (F.col("n") + 2), F.lit(1e-6))
+    odds, lift = F.log2(given / F.greatest(1 - given, F.lit(1e-6))), F.log2(given / prior)
+    weighed = counts.join(F.broadcast(base), "pii_kind").select(F.concat_ws(" ", "pii_kind", "cue").alias("key"), "cue", "n", F.when(F.col("cue").startswith("="), F.greatest(lift, F.when(odds > 0, odds)) * F.col("n") / (F.col("n") + SEEN)).otherwise(odds).alias("told"))
     rows = found.filter("kind = 0").withColumn("rid", F.monotonically_increasing_id())
-    rows = materialize(rows.select("rid", "id", "field_name", "start", "stop", "pii_kind", "term", "bits", "cues"), "numbered")
-    asked = rows.select("rid", "pii_kind", F.explode("cues").alias("cue"))
-    # the longest cue before and the one after that were seen often enough speak; a cue may stand with a third of all candidates
+    rows = materialize(rows.select("rid", "id", "field_name", "start", "stop", "pii_kind", "term", "bits", "cues", "parts"), "numbered")
+    asked = rows.select("rid", F.explode(F.concat("cues", "parts")).alias("cue"), "pii_kind").select("rid", F.concat_ws(" ", "pii_kind", "cue").alias("key"))
+    # a cue may stand with a third of all candidates
+    met = join_by_group(asked, materialize(weighed.filter((F.col("n") >= SEEN) | F.col("cue").startswith("=")), "cues"), "key", "n")
+    # the longest cue before and the one after that were seen often enough speak, and all parts
     side, length = F.substring("cue", 1, 1), F.substring("cue", 2, 1)
-    met = join_by_group(asked.withColumn("key", F.concat_ws(" ", "pii_kind", "cue")), cues.select(F.concat_ws(" ", "pii_kind", "cue").alias("key"), "n", "odds"), "key", "n")
-    spoken = met.groupBy("rid").agg(F.max(F.when(side == "<", F.struct(length.alias("l"), F.col("odds").alias("o")))).alias("left"), F.max(F.when(side == ">", F.col("odds"))).alias("right"))
+    spoken = met.groupBy("rid").agg(F.max(F.when(side == "<", F.struct(length.alias("l"), F.col("told").alias("o")))).alias("left"), F.max(F.when(side == ">", F.col("told"))).alias("right"), F.avg(F.when(side == "=", F.col("told"))).alias("own"))
     x = rows.join(spoken, "rid", "left")
-    evidence = F.greatest(F.coalesce(F.col("left.o"), F.lit(-2.0)), F.coalesce(F.col("right"), F.lit(-4.0)))
-    total = F.col("bits") + F.greatest(F.lit(-4.0), F.least(F.lit(6.0), evidence))
-    strong = F.col("pii_kind").isin("email", "address")
-    x = x.withColumn("evidence", evidence).withColumn("total", F.when(strong, F.col("bits")).otherwise(total))
+    around = F.greatest(F.coalesce(F.col("left.o"), F.lit(-2.0)), F.coalesce(F.col("right"), F.lit(-4.0)))
+    around = F.greatest(F.lit(-4.0), F.least(F.lit(6.0), around))
+    own = F.greatest(F.lit(-PART_LOSS), F.least(F.lit(PART_GAIN), F.coalesce("own", F.lit(0.0))))
+    x = x.withColumn("total", F.col("bits") + around + own)
     return x.filter(F.col("total") >= disclosure).select("id", "field_name", "pii_kind", "start", "stop", "term", F.col("total").alias("bits"))
 
 

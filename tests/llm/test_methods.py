@@ -326,6 +326,26 @@ def test_cues_tell_numbers_apart(spark):
     assert clean["p0"]["description"] == "The reporter can be called on <PHONE>." and clean["t0"]["description"].startswith("Ticket 202")
 
 
+def test_parts_tell_names_that_no_lexicon_has(spark):
+    """A surname that stands beside known names elsewhere is one alone; a common word with a capital is none."""
+    rows = [(f"a{i}", None, f"It was found by {g} Quandorp on host {i}.") for i, g in enumerate(["Brebekh", "Jomira", "Konaq", "Mirik"] * 8)]
+    rows += [(f"b{i}", None, f"It was found by {g} {f} on host {i}.") for i, (g, f) in enumerate([("Brebekh", "Fairquist"), ("Jomira", "Harrowicz"), ("Konaq", "Kolsinek")] * 8)]
+    rows += [(f"c{i}", None, f"The Ledger was slow by Ledger {i}.") for i in range(30)] + [("x", None, "It was found by Quandorp on host 7."), ("y", None, "It was slow by Ledger again.")]
+    df = spark.createDataFrame(rows, "id string, title string, description string")
+    lex = spark.createDataFrame(LEXICON, "name_word string, name_kind string")
+    got = {r["id"] for r in personal.personal_items(df, lex).collect()}
+    assert "x" in got and "y" not in got and not any(i[0] == "c" for i in got) and all(f"a{i}" in got for i in range(32))
+
+
+def test_mail_is_judged_by_what_stands_around_it(spark):
+    """Addresses where mailboxes of functions stand otherwise say less than those after a reporter's name."""
+    rows = [(f"a{i}", None, f"Reported by jomira.f{i}@post.example on Monday.") for i in range(20)] + [(f"b{i}", None, f"Clone over git@host{i}.example to reproduce it.") for i in range(40)]
+    rows += [("x", None, "Reported by kk77@post.example on Monday."), ("y", None, "Clone over kk77@host3.example to reproduce it.")]
+    df = spark.createDataFrame(rows, "id string, title string, description string")
+    got = {r["id"]: r["bits"] for r in personal.personal_items(df, spark.createDataFrame(LEXICON, "name_word string, name_kind string"), disclosure=-50).filter("pii_kind = 'email'").collect()}
+    assert got["x"] >= personal.DISCLOSURE > got["y"] and all(got[f"a{i}"] >= personal.DISCLOSURE for i in range(20)) and not any(k[0] == "b" for k in got)
+
+
 # ------------------------------------------------------------------ 8
 
 
