@@ -425,6 +425,28 @@ def test_round_trip(restorer, lang, read, written):
         assert bad and chain and fixed.split("\n")[1] == line.encode(written, "ignore").decode(written)
 
 
+@pytest.mark.parametrize("lang, read, written", [("de", "cp1252", "mac_roman"), ("pl", "cp1252", "cp1250"), ("fr", "cp1252", "cp850")])
+def test_garbling_into_letters_and_common_signs(restorer, lang, read, written):
+    """Pairs whose garbled forms are letters or ordinary punctuation are tried like all others."""
+    back = {b: c for c, b in mojibake._TABLES[read].items()}
+    line = CLEAN[lang][1].replace("’", "'") if lang == "fr" else CLEAN[lang][1]
+    garbled = "".join(chr(back.get(b, b)) for b in line.encode(written))
+    fixed, chain, bad = restorer.text(garbled)
+    assert bad and chain and fixed == line
+
+
+def test_known_words_are_clean_ones():
+    texts = [(lang, "\n".join(lines)) for lang, lines in CLEAN.items() for _ in range(4)] + [("pl", CLEAN["pl"][0].encode("cp1250").decode("cp1252"))] * 2
+    dictionaries, known = mojibake._dictionaries(texts)
+    garbled = {w for w in texts[-1][1].split(" ") if not w.isascii()} - set(CLEAN["pl"][0].split(" "))
+    assert known and not known & garbled and "Błąd" in known
+    r = mojibake.Restorer(dictionaries, known)
+    assert r.text(texts[-1][1])[0] == CLEAN["pl"][0]
+    whole = mojibake.Restorer(dictionaries)
+    for w in known:
+        assert not whole.judge((w,))[1]
+
+
 def test_twice_garbled_and_clean(restorer):
     line = CLEAN["fr"][0]
     once = line.encode().decode("cp1252", "replace")
