@@ -63,14 +63,14 @@ def cap_contributors(df: DataFrame, id_col: str, contributor: Column, stratum: C
     total = counts.agg(F.sum("n").alias("total_rows"))
     sizes = counts.groupBy("contributor", "stratum").agg(F.sum("n").alias("n")).crossJoin(F.broadcast(total)).withColumn("cap", cap.cast("long")).drop("total_rows")
     slots = _slots(sizes, even)
-    both = Window.partitionBy("contributor", "stratum")
     order = [F.asc_nulls_last(c) for c in cells]
     key = F.struct(F.struct(F.col("contributor")).alias("c"), F.struct(F.col("stratum")).alias("s"), *[F.struct(F.col(c)).alias(c) for c in cells])
     hashed = F.xxhash64(key)
-    # cells are the distinct quality values, far fewer than rows
-    before = F.coalesce(F.sum("n").over(both.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    x = counts.alias("c").join(slots.alias("s"), F.col("c.contributor").eqNullSafe(F.col("s.contributor")) & F.col("c.stratum").eqNullSafe(F.col("s.stratum"))).select("c.*", "s.slots")
-    x = x.withColumn("here", F.col("slots") - before)
+    # with continuous scores cells are as many as rows: rows before a cell are summed over range partitions, too
+    ordered = before_in_groups(counts.withColumn("group", F.xxhash64(F.struct("contributor").alias("c"), F.struct("stratum").alias("s"))), "group", order, "n", "before").drop("group")
+    # strata of contributors are few: one row each
+    x = ordered.alias("c").join(slots.alias("s"), F.col("c.contributor").eqNullSafe(F.col("s.contributor")) & F.col("c.stratum").eqNullSafe(F.col("s.stratum"))).select("c.*", "s.slots")
+    x = x.withColumn("here", F.col("slots") - F.col("before"))
     x = x.withColumn("verdict", F.when(F.col("here") >= F.col("n"), 1).when(F.col("here") <= 0, 0).otherwise(2)).withColumn("cell", hashed)
     verdicts = materialize(x.select("cell", "n", "here", "verdict"), "verdicts")
     marked = join_by_group(rows.withColumn("cell", hashed), verdicts, "cell", "n")
@@ -80,18 +80,27 @@ def cap_contributors(df: DataFrame, id_col: str, contributor: Column, stratum: C
     return decided.unionByName(ranked.select("rid", "contributor", "stratum", (F.col("rank") <= F.col("here")).alias("kept"))).withColumnRenamed("rid", "id")
 
 
+def before_in_groups(df: DataFrame, group: str, order: list[Column], weight: str, name: str) -> DataFrame:
+    """Sum of ``weight`` over the rows before each row of its ``group`` by ``order``, without bringing a group together.
+
+    Rows are range-partitioned by (group, order), summed up inside each
+    partition, and moved by the sums of the group in the partitions before.
+    """
+    placed = materialize(df.repartitionByRange(F.col(group), *order).withColumn("_pid", F.spark_partition_id()), "ranges")
+    sums = placed.groupBy(group, "_pid").agg(F.sum(weight).alias("_m"))
+    ahead = Window.unboundedPreceding, -1
+    moved = sums.withColumn("_far", F.coalesce(F.sum("_m").over(Window.partitionBy(group).orderBy("_pid").rowsBetween(*ahead)), F.lit(0))).drop("_m")
+    near = F.coalesce(F.sum(weight).over(Window.partitionBy(group, "_pid").orderBy(*order).rowsBetween(*ahead)), F.lit(0))
+    return placed.withColumn("_near", near).join(moved, [group, "_pid"]).withColumn(name, F.col("_near") + F.col("_far")).drop("_near", "_far", "_pid")
+
+
 def rank_in_groups(df: DataFrame, group: str, order: str) -> DataFrame:
     """Row number by ``order`` inside ``group`` without bringing a group together.
 
-    Rows are range-partitioned by (group, order), numbered inside each
-    partition, and moved by the counts of the group in the partitions before.
+    See ``before_in_groups``; ties of ``order`` get different numbers.
     """
-    placed = materialize(df.repartitionByRange(F.col(group), F.col(order)).withColumn("pid", F.spark_partition_id()), "ranges")
-    counts = placed.groupBy(group, "pid").agg(F.count("*").alias("m"))
-    before = counts.withColumn("before", F.coalesce(F.sum("m").over(Window.partitionBy(group).orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("m")
-    near = F.row_number().over(Window.partitionBy(group, "pid").orderBy(order))
-    # one row per (group, partition): both sides meet by the partitioning of the window
-    return placed.withColumn("near", near).join(before, [group, "pid"]).withColumn("rank", F.col("near") + F.col("before")).drop("near", "before", "pid")
+    one = df.withColumn("_one", F.lit(1))
+    return before_in_groups(one, group, [F.asc_nulls_last(order)], "_one", "rank").withColumn("rank", F.col("rank") + 1).drop("_one")
 
 
 #: Share of all rows that one platform may hold.

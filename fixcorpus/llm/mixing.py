@@ -5,20 +5,18 @@ their Kullback-Leibler divergence allows while each source's tokens meet the
 target. The optimum is an exponential tilt, w_d = min(max_repeats, exp(l_s t_d)),
 whose multipliers l_s solve a convex dual, one equation per source, by Newton
 steps over distributed sums (kept inside a shrinking bracket). Rates are then
-rounded to whole copies so that rounding errors cancel inside each source.
+rounded to whole copies over the histogram of sizes, so that the rounding error
+of a source stays below half of its smallest document, however many partitions
+there are.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import join_by_group, materialize
 from .tokens import DEFAULT_VOCABULARY, count_tokens
 
 MAX_STEPS = 60
@@ -90,34 +88,41 @@ def mix_sources(docs: DataFrame, targets: DataFrame, total: float | None = None,
     """
     mix = _targets(targets)
     mine = docs.filter(F.col("source").isin(*mix)) if mix else docs.filter(F.lit(False))
-    sizes = materialize(count_tokens(mine, ["doc_id", "source"], vocabulary).drop("pid"), "tokens")
-    rates = solve_rates(materialize(sizes.groupBy("source", "n_tokens").agg(F.count("*").alias("n")), "histogram"), mix, total)
-
-    def rounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Whole copies, the largest documents first, each source's error carried on to its next document."""
-        all_ = [b for b in batches if b.num_rows]
-        if not all_:
-            return
-        t = pa.Table.from_batches(all_)
-        source, n = t.column("source").to_pylist(), np.asarray(t.column("n_tokens"))
-        rate, copies = np.zeros(len(n)), np.zeros(len(n), np.int64)
-        error: dict[str, float] = {}
-        for i in np.argsort(-n, kind="stable").tolist():
-            s = source[i]
-            if s not in rates or not n[i]:
-                continue
-            lam, cap = rates[s][0], mix[s][1]
-            w = float(cap) if lam == math.inf else min(float(cap), math.exp(min(lam * n[i], 700.0)))
-            low = math.floor(w)
-            e = error.get(s, 0.0) + (w - low) * n[i]
-            k = low + 1 if low < cap and e >= n[i] / 2 else low
-            error[s] = e - (k - low) * n[i]
-            rate[i], copies[i] = w, k
-        out = t.append_column("rate", pa.array(rate)).append_column("copies", pa.array(copies)).combine_chunks()
-        yield from out.to_batches(max_chunksize=50_000)
-
-    fields = ", ".join(f"{c} {sizes.schema[c].dataType.simpleString()}" for c in ("doc_id", "source", "n_tokens"))
-    return sizes.mapInArrow(rounded, f"{fields}, rate double, copies long")
+    sizes = materialize(count_tokens(mine, ["doc_id", "source"], vocabulary), "tokens")
+    histogram = materialize(sizes.groupBy("source", "n_tokens").agg(F.count("*").alias("n")), "histogram")
+    rates = solve_rates(histogram, mix, total)
+    cells = round_cells([(r["source"], r["n_tokens"], r["n"]) for r in histogram.collect()], rates, mix)  # a row per source and size
+    key = F.xxhash64("source", "n_tokens")
+    plan = docs.sparkSession.createDataFrame(cells, "source string, n_tokens long, n long, rate double, low long, extra long").withColumn("key", key).drop("source", "n_tokens")
+    # which documents of a cell get one copy more: the first by partition and id; a cell may hold a third of all documents
+    counts = sizes.groupBy("source", "n_tokens", "pid").agg(F.count("*").alias("m"))
+    before = counts.withColumn("before", F.coalesce(F.sum("m").over(Window.partitionBy("source", "n_tokens").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("m")
+    near = F.row_number().over(Window.partitionBy("source", "n_tokens", "pid").orderBy("doc_id"))
+    placed = sizes.withColumn("near", near).join(before, ["source", "n_tokens", "pid"]).withColumn("rank", F.col("near") + F.col("before")).withColumn("key", key)
+    out = join_by_group(placed, plan, "key", "n")
+    return out.select("doc_id", "source", "n_tokens", "rate", (F.col("low") + (F.col("rank") <= F.col("extra")).cast("long")).alias("copies"))
+
+
+def round_cells(cells: list[tuple[str, int, int]], rates: dict[str, tuple[float, float]], mix: dict[str, tuple[float, int]]) -> list[tuple[str, int, int, float, int, int]]:
+    """(source, n_tokens, n, rate, low, extra): every document of a cell gets ``low`` copies, ``extra`` of them one more.
+
+    Cells are taken from the largest documents on; what rounding leaves of a
+    source's tokens goes on to its next cell.
+    """
+    out = []
+    error: dict[str, float] = {}
+    for s, t, n in sorted(cells, key=lambda c: (c[0], -c[1])):
+        if s not in rates or not t:
+            out.append((s, t, n, 0.0, 0, 0))
+            continue
+        lam, cap = rates[s][0], mix[s][1]
+        w = float(cap) if lam == math.inf else min(float(cap), math.exp(min(lam * t, 700.0)))
+        low = math.floor(w)
+        e = error.get(s, 0.0) + (w - low) * n * t
+        extra = min(n, max(0, math.floor(e / t + 0.5))) if low < cap else 0
+        error[s] = e - extra * t
+        out.append((s, t, n, w, low, extra))
+    return out
 
 
 def mix_report(docs: DataFrame, targets: DataFrame, total: float | None = None, vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -16,10 +17,21 @@ SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\
 
 
 @lru_cache(maxsize=2)
-def encoding(path: str):
+def _shipped(session: str, path: str) -> str:
+    """The vocabulary file, sent to all executors once per application (it need not lie on them)."""
+    from pyspark.sql import SparkSession
+
+    SparkSession.getActiveSession().sparkContext.addFile(path)
+    return os.path.basename(path)
+
+
+@lru_cache(maxsize=2)
+def encoding(name: str):
+    """The tokenizer of a shipped vocabulary file, on an executor."""
     import tiktoken
+    from pyspark import SparkFiles
 
-    with open(path, "rb") as f:
+    with open(SparkFiles.get(name), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
     return tiktoken.Encoding("own", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
@@ -29,9 +41,10 @@ def count_tokens(docs: DataFrame, columns: list[str], vocabulary: str = DEFAULT_
     kept = docs.select(*columns, F.coalesce("text", F.lit("")).alias("_text"), F.spark_partition_id().alias("pid"))
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema if f.name not in ("_text", "pid"))
     at = len(columns)
+    name = _shipped(docs.sparkSession.sparkContext.applicationId, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoding(vocabulary)
+        enc = encoding(name)
         for b in batches:
             n = [len(enc.encode_ordinary(t)) for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(at)], pa.array(n, pa.int64()), b.column(at + 1)], names=[*columns, "n_tokens", "pid"])

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from fixcorpus.operators.graph import spanning_forest
+from fixcorpus.operators.graph import Forest, spanning_forest
 from fixcorpus.llm import capping, components, mixing, mojibake, nearedit, packing, personal, residue, secrets, truncation
 
 
@@ -400,6 +400,54 @@ def test_mix_reaches_the_targets(spark):
         assert abs(r["actual_share"] - r["target_share"]) < 0.002 and r["most_copies"] <= r["max_repeats"]
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(1, 500), st.integers(1, 60)), min_size=1, max_size=30, unique_by=lambda c: c[:2]), st.floats(-0.004, 0.004))
+def test_rounding_keeps_the_tokens_of_a_source(cells, lam):
+    mix = {"a": (0.5, 3), "b": (0.5, 1)}
+    got = mixing.round_cells(cells, {"a": (lam, 0.0), "b": (-abs(lam), 0.0)}, mix)
+    for s in "ab":
+        mine = [c for c in got if c[0] == s]
+        if mine:
+            wanted, given_ = sum(t * n * w for _, t, n, w, _, _ in mine), sum(t * (n * low + extra) for _, t, n, _, low, extra in mine)
+            assert abs(wanted - given_) <= max(t for _, t, *_ in mine) / 2 + 1e-6
+            assert all(0 <= extra <= n and low + (extra > 0) <= mix[s][1] for _, _, n, _, low, extra in mine)
+
+
+def test_ranks_over_many_ranges(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice("aab"), rng.choice([None, rng.random(), 0.5]), rng.randint(1, 4)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "g string, q double, w int").repartition(7)
+    got = capping.before_in_groups(df, "g", [F.asc_nulls_last("q")], "w", "before").collect()
+    for g in "ab":
+        x = sorted((r for r in got if r["g"] == g), key=lambda r: r["before"])
+        assert all(r["before"] == sum(y["w"] for y in x[:i]) for i, r in enumerate(x))
+        assert [r["q"] for r in x] == sorted((r["q"] for r in x), key=lambda q: (q is None, q or 0))
+
+
+@pytest.mark.parametrize("limit", [100, 7])
+def test_pieces_stay_below_the_limit(limit):
+    rng = np.random.default_rng(4)
+    order = rng.permutation(3000)
+    a, b = order[:-1], order[1:]  # one chain through nodes in random order
+    shuffled = rng.permutation(len(a))
+    forest = Forest(limit)
+    out = [p for i in range(0, len(a), 250) for p in forest.add(a[shuffled[i : i + 250]].astype(np.int64), b[shuffled[i : i + 250]].astype(np.int64))] + list(forest.rest())
+    assert forest.largest <= limit and set(np.concatenate([n for n, _ in out])) == set(range(3000))
+    nodes, roots = spanning_forest(np.concatenate([n for n, _ in out]), np.concatenate([r for _, r in out]))
+    assert len(set(roots.tolist())) == 1
+
+
+def test_a_long_chain_is_one_group(spark):
+    order = list(range(2500))
+    random.Random(1).shuffle(order)
+    rows = [(f"{i:05d}", f"k{p}", f"k{p + 1}") for i, p in enumerate(order)] + [("z1", "other", None), ("z2", "other", None)]
+    df = spark.createDataFrame(rows, "id string, a string, b string").repartition(6)
+    # both ends of a link stand in one column of keys
+    links = df.select("id", F.explode(F.array("a", "b")).alias("k")).filter("k is not null")
+    got = {r["id"]: r["group_id"] for r in components.link_groups(links, "id", [F.col("k")], edges_per_partition=100).collect()}
+    assert {got[f"{i:05d}"] for i in range(2500)} == {"00000"} and got["z2"] == "z1"
+
+
 # ------------------------------------------------------------------ 10
 
 CLEAN = {
