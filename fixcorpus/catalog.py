@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,10 +13,11 @@ from pyspark.sql import functions as F
 from .functions import patterns as P
 from .functions import text as T
 from .functions import vocabulary as V
-from .operators import analytics, code, features, labels, normalize, redact, refs, severity, xref
+from .operators import analytics, answers, code, features, labels, normalize, redact, refs, registry, severity, targets, xref
 from .operators.dedup import fix_commit_key
+from .operators.tables import scratch_dir
 from .plans import gate
-from .sources import commits, lines, slices
+from .sources import commits, feeds, io, lines, slices
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -286,11 +289,106 @@ def path_hint(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "wallet_vulns").select("id", features.path_hint(_blob()).alias("path_hint"))
 
 
-@query("search_terms", "SELECT slug, array_to_string(list_distinct_ordered, '|') AS terms FROM (SELECT slug, list_filter(l, lambda x, i: list_position(l, x) = i) AS list_distinct_ordered FROM (SELECT slug, list_concat(" + f"[{', '.join(q(t) for t in V.CORE_TERMS)}], CASE category {' '.join(f'WHEN {q(c)} THEN [{", ".join(q(t) for t in ts)}]' for c, ts in V.CATEGORY_TERMS.items())} ELSE [] END, [{', '.join(q(t) for t in V.LANGUAGE_TERMS['js'])}]) AS l FROM wallet_registry))")
+_TERMS = "SELECT slug, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), '|') AS terms FROM (SELECT slug, list_concat(" + f"[{', '.join(q(t) for t in V.CORE_TERMS)}], CASE category {' '.join(f'WHEN {q(c)} THEN [{", ".join(q(t) for t in ts)}]' for c, ts in V.CATEGORY_TERMS.items())} ELSE [] END, CASE {{0}} {' '.join(f'WHEN {q(c)} THEN [{", ".join(q(t) for t in ts)}]' for c, ts in V.LANGUAGE_TERMS.items())} ELSE [] END) AS l FROM {{1}})"
+
+
+@query("search_terms", _TERMS.format("'js'", "wallet_registry"))
 def search_terms(spark: SparkSession, d: str) -> DataFrame:
     return commits.search_terms(table(spark, d, "wallet_registry"))
 
 
+def _languages(spark: SparkSession, d: str) -> DataFrame:
+    """Languages told apart by ecosystem, for the tables name none; a third of the projects stay without."""
+    lang = F.create_map(*[F.lit(x) for x in ("evm", "solidity", "bitcoin", "cpp", "cosmos", "go", "solana", "rust")])
+    return table(spark, d, "wallet_registry").select("slug", lang[F.col("ecosystem")].alias("language")).filter("language is not null")
+
+
+_LANG = "CASE ecosystem WHEN 'evm' THEN 'solidity' WHEN 'bitcoin' THEN 'cpp' WHEN 'cosmos' THEN 'go' WHEN 'solana' THEN 'rust' ELSE 'js' END"
+
+
+@query("search_terms_by_language", _TERMS.format(_LANG, "wallet_registry"))
+def search_terms_by_language(spark: SparkSession, d: str) -> DataFrame:
+    return commits.search_terms(table(spark, d, "wallet_registry"), _languages(spark, d))
+
+
+@query("project_languages", f"SELECT slug, {_LANG} AS language FROM wallet_registry")
+def project_languages(spark: SparkSession, d: str) -> DataFrame:
+    return registry.with_language(table(spark, d, "wallet_registry"), _languages(spark, d)).select("slug", "language")
+
+
+@query("projects_selected", "SELECT slug FROM wallet_registry WHERE coalesce(tier, 3) <= 1 AND category = 'mobile'")
+def projects_selected(spark: SparkSession, d: str) -> DataFrame:
+    return registry.selected(table(spark, d, "wallet_registry"), tier=1, category="mobile").select("slug")
+
+
+@query("project_names", "WITH n AS (SELECT lower(trim(slug)) AS slug, unnest([lower(trim(slug)), replace(lower(trim(slug)), '-', ' '), lower(split_part(repo, '/', -1)), replace(lower(split_part(repo, '/', -1)), '-', ' '), lower(split_part(repo, '/', 1))]) AS name FROM wallet_registry) SELECT DISTINCT slug, name FROM n WHERE length(name) > 3")
+def project_names(spark: SparkSession, d: str) -> DataFrame:
+    return registry.names(table(spark, d, "wallet_registry"))
+
+
+@query("project_search_names", "SELECT slug, array_to_string(list_sort(list_distinct(list_filter([replace(slug, '-', ' '), replace(lower(split_part(repo, '/', -1)), '-', ' '), replace(lower(split_part(repo, '/', 1)) || ' ' || lower(split_part(repo, '/', -1)), '-', ' ')], lambda n: length(n) >= 4))), '|') AS names FROM wallet_registry")
+def project_search_names(spark: SparkSession, d: str) -> DataFrame:
+    return registry.search_names(table(spark, d, "wallet_registry"))
+
+
+@query("registry_counts", " UNION ALL ".join(f"SELECT '{c}' AS section, coalesce({c}::VARCHAR, '') AS value, count(*) AS n FROM wallet_registry GROUP BY ALL" for c in ("category", "ecosystem", "custody", "tier")))
+def registry_counts(spark: SparkSession, d: str) -> DataFrame:
+    return registry.introspection(table(spark, d, "wallet_registry"))
+
+
+@query("label_strategies", "SELECT slug, CASE coalesce(category, 'wallet_sdk') WHEN 'browser_extension' THEN 'signing,transaction,permissions,phishing,connect,provider,keyring,network' WHEN 'mobile' THEN 'signing,transaction,keychain,biometrics,deeplink,webview,backup' WHEN 'desktop' THEN 'signing,transaction,storage,rpc,backup' WHEN 'hardware_firmware' THEN 'crypto,signing,bootloader,secure-element,u2f,display,pin,seed' WHEN 'smart_account' THEN 'validation,signature,module,upgrade,guard,audit' WHEN 'mpc_tss' THEN 'crypto,protocol,share,signing,audit' WHEN 'wallet_sdk' THEN 'crypto,signing,encoding,abi,provider' WHEN 'node_wallet' THEN 'wallet,rpc,consensus,p2p' WHEN 'infra' THEN 'protocol,session,pairing,relay,crypto' ELSE '' END AS areas, CASE WHEN slug = 'nimbus-keys' THEN 'labels_primary' WHEN coalesce(category, '') IN ('hardware_firmware', 'mpc_tss', 'smart_account') THEN 'body_keyword_primary' ELSE 'labels_primary' END AS strategy FROM wallet_registry")
+def label_strategies(spark: SparkSession, d: str) -> DataFrame:
+    """With one project's strategy overridden."""
+    over = spark.createDataFrame([("nimbus-keys", "labels_primary")], "slug string, strategy string")
+    return registry.label_strategy(table(spark, d, "wallet_registry"), over).select("slug", F.array_join("area_labels", ",").alias("areas"), "strategy")
+
+
+@query(
+    "project_priorities",
+    "WITH y AS (SELECT nullif(regexp_extract(coalesce(source_url, ''), 'https?://(?:www\\.)?[^/]+/([^/]+/[^/?#]+)', 1), '') AS repo, count(*) AS n, count(*) FILTER (silent_fix_prob >= 0.7) AS hits FROM silent_fix_scores GROUP BY 1), c AS (SELECT wallet AS slug, count(DISTINCT sha) AS commits FROM commit_history GROUP BY 1) SELECT r.slug, r.repo, -1 AS stars, coalesce(n, 0) AS judged, coalesce(hits, 0) AS hits, CASE WHEN coalesce(n, 0) >= 5 THEN round(hits / n, 6) END AS rate, CASE WHEN commits > 0 THEN round_even(commits * 0.54::DOUBLE, 0)::BIGINT END AS cost FROM wallet_registry r LEFT JOIN y ON y.repo = r.repo LEFT JOIN c ON c.slug = r.slug",
+)
+def project_priorities(spark: SparkSession, d: str) -> DataFrame:
+    none = spark.createDataFrame([], "slug string, stars int")
+    commits_ = table(spark, d, "commit_history").groupBy(F.col("wallet").alias("slug")).agg(F.count_distinct("sha").alias("commits"))
+    return registry.priorities(table(spark, d, "wallet_registry"), none, analytics.repo_yield(table(spark, d, "silent_fix_scores")), commits_, least=5)
+
+
+# ---------------------------------------------------------------- targets
+
+
+_DEP = f"({rx("coalesce(title, '')", P.DEPENDENCY_TITLE)} OR regexp_matches(coalesce(source_url, ''), 'CHANGELOG|/releases/|nvd\\.nist\\.gov|rustsec'))"
+_RATED = "lower(coalesce(severity, '')) IN ('critical', 'high', 'medium', 'low')"
+
+
+@query("allowed_findings", "SELECT id FROM wallet_vulns WHERE severity IN ('High', 'Critical') ORDER BY id LIMIT 25")
+def allowed_findings(spark: SparkSession, d: str) -> DataFrame:
+    """The limit is the feature."""
+    return targets.allowed(table(spark, d, "wallet_vulns"), severities=["High", "Critical"], max_rows=25).select("id")
+
+
+@query("classify_targets", "SELECT id FROM wallet_vulns WHERE regexp_matches(coalesce(source_url, ''), '/pull/|/commit/') AND authority_tier = 'B_corroborated'")
+def classify_targets(spark: SparkSession, d: str) -> DataFrame:
+    return targets.to_classify(table(spark, d, "wallet_vulns"), "B_corroborated").select("id")
+
+
+@query("estimate_targets", f"SELECT id FROM wallet_vulns WHERE NOT {_RATED} AND NOT {_DEP} AND source_platform IN (SELECT slug FROM wallet_registry)")
+def estimate_targets(spark: SparkSession, d: str) -> DataFrame:
+    return targets.to_estimate(table(spark, d, "wallet_vulns"), table(spark, d, "wallet_registry")).select("id")
+
+
+@query("validate_targets", f"SELECT id FROM wallet_vulns WHERE {_RATED} AND NOT {_DEP}")
+def validate_targets(spark: SparkSession, d: str) -> DataFrame:
+    return targets.to_estimate(table(spark, d, "wallet_vulns"), table(spark, d, "wallet_registry"), validate=True).select("id")
+
+
+@query(
+    "eval_classes",
+    f"WITH x AS (SELECT id, coalesce(title, '') AS t, coalesce(title, '') || ' ' || coalesce(description, '') AS b, regexp_matches(coalesce(source_url, ''), '/pull/|/commit/') AS c FROM wallet_vulns) SELECT id, CASE WHEN c AND {rx('t', targets.FIX_TITLE)} AND NOT {rx('t', targets.BUMP_TITLE)} AND NOT {rx('t', targets.NOT_CLEAN)} THEN 'fix' WHEN c AND {rx('t', targets.NON_FIX_TITLE)} AND NOT {rx('t', targets.FIX_TITLE)} AND NOT {rx('t', targets.BUMP_TITLE)} AND NOT {rx('b', targets.ANY_ID)} THEN 'other' END AS class FROM x",
+)
+def eval_classes(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "wallet_vulns").select("id", targets.eval_class(F.col("title"), F.col("description"), F.col("source_url")).alias("class"))
+
+
 # ---------------------------------------------------------------- redaction
 
 def _kind_sql(column: str) -> str:
@@ -541,15 +639,65 @@ def non_product_only(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- code
 
 
-@query("loc_histogram")
+def _hunks_sql(column: str) -> str:
+    """Rows (id, i, file, h, code) of all hunks; documents that are none give no row."""
+    return f"""j AS (SELECT id, TRY_CAST({column} AS JSON) AS doc FROM wallet_vulns WHERE starts_with(trim({column}), '[')),
+f AS (SELECT id, unnest(range(1, json_array_length(doc)::BIGINT + 1)) AS i, doc FROM j WHERE doc IS NOT NULL AND json_type(doc) = 'ARRAY'),
+e AS (SELECT id, i, json_extract(doc, '$[' || (i - 1) || ']') AS entry FROM f),
+h AS (SELECT id, i, entry ->> '$.file' AS file, unnest(CASE WHEN json_array_length(entry, '$.hunks') > 0 THEN json_extract(entry, '$.hunks[*]') ELSE [NULL] END) AS hunk FROM e),
+n AS (SELECT id, sum(CASE WHEN hunk ->> '$.code' IS NULL THEN NULL ELSE length(hunk ->> '$.code') - length(replace(hunk ->> '$.code', chr(10), '')) + 1 END)::INT AS n_lines FROM h GROUP BY id)"""
+
+
+@query("loc_histogram", f"WITH {_hunks_sql('post_fix_code')}, b AS (SELECT least(n_lines, 4999) AS loc FROM n WHERE n_lines > 0) SELECT CASE WHEN loc >= 500 THEN 500 WHEN loc >= 200 THEN 200 WHEN loc >= 100 THEN 100 WHEN loc >= 50 THEN 50 WHEN loc >= 30 THEN 30 WHEN loc >= 20 THEN 20 WHEN loc >= 10 THEN 10 WHEN loc >= 5 THEN 5 ELSE 0 END AS bin_from, count(*) AS n FROM b GROUP BY 1")
 def loc_histogram(spark: SparkSession, d: str) -> DataFrame:
     return analytics.loc_histogram(table(spark, d, "wallet_vulns"))
 
 
+@query("loc_median", f"WITH {_hunks_sql('post_fix_code')} SELECT median(n_lines)::DOUBLE AS median_loc, count(*) AS n FROM n WHERE n_lines > 0")
+def loc_median(spark: SparkSession, d: str) -> DataFrame:
+    return analytics.loc_median(table(spark, d, "wallet_vulns"))
+
+
 @query("hunk_row_cap")
 def hunk_row_cap(spark: SparkSession, d: str) -> DataFrame:
-    side = code.hunks_of(F.col("post_fix_code"))
-    return table(spark, d, "wallet_vulns").select("id", F.size(side).alias("n_files"), F.size(code.row_cap(side)).alias("n_kept"), code.line_count(side).alias("n_lines"))
+    """Files and lines of both sides, and how many files the row's limit keeps (their JSON's length is that of this engine's writer)."""
+    sides = [(c, code.hunks_of(F.col(f"{c}_fix_code"))) for c in ("pre", "post")]
+    return table(spark, d, "wallet_vulns").select("id", *[x for c, s in sides for x in (F.size(s).alias(f"{c}_files"), F.size(code.row_cap(s)).alias(f"{c}_kept"), code.line_count(s).alias(f"{c}_lines"))])
+
+
+@query("changed_lines", f"WITH {_hunks_sql('pre_fix_code').replace('n AS (', 'pre AS (')}, {_hunks_sql('post_fix_code').replace('j AS (', 'j2 AS (').replace('FROM j ', 'FROM j2 ').replace('f AS (', 'f2 AS (').replace('FROM f)', 'FROM f2)').replace('e AS (', 'e2 AS (').replace('FROM e)', 'FROM e2)').replace('h AS (', 'h2 AS (').replace('FROM h ', 'FROM h2 ').replace('n AS (', 'post AS (')} SELECT v.id, coalesce(pre.n_lines, 0) AS pre_lines, coalesce(post.n_lines, 0) AS post_lines FROM wallet_vulns v LEFT JOIN pre USING (id) LEFT JOIN post USING (id)")
+def changed_lines(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "wallet_vulns").select("id", *[F.coalesce(code.line_count(code.hunks_of(F.col(f"{c}_fix_code"))), F.lit(0)).alias(f"{c}_lines") for c in ("pre", "post")])
+
+
+_DIFF = "diff --git a/src/a.rs b/src/a.rs\n--- a/src/a.rs\n+++ b/src/a.rs\n@@ -1,3 +1,3 @@ fn x\n keep\n-old\n+new\n+more\n@@ -9 +10 @@\n-gone\ndiff --git a/b.md b/b.md\n@@ -0,0 +1 @@\n+text"
+
+
+def _diffs(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([("u1", _DIFF), ("u2", ""), ("u3", None)], "source_url string, diff string")
+
+
+@query("diff_hunks", "SELECT * FROM (VALUES ('u1', 'src/a.rs,b.md', 'before', 'src/a.rs', 1, 'keep' || chr(10) || 'old'), ('u1', 'src/a.rs,b.md', 'before', 'src/a.rs', 9, 'gone'), ('u1', 'src/a.rs,b.md', 'after', 'src/a.rs', 1, 'keep' || chr(10) || 'new' || chr(10) || 'more'), ('u1', 'src/a.rs,b.md', 'after', 'b.md', 1, 'text')) AS t(source_url, files, side, file, start_line, code)")
+def diff_hunks(spark: SparkSession, d: str) -> DataFrame:
+    x = code.parse_diffs(_diffs(spark))
+    side = F.explode(F.array(F.struct(F.lit("before").alias("side"), F.col("pre").alias("f")), F.struct(F.lit("after").alias("side"), F.col("post").alias("f")))).alias("s")
+    x = x.select("source_url", F.array_join("files", ",").alias("files"), side).select("source_url", "files", "s.side", F.explode("s.f").alias("f"))
+    return x.select("source_url", "files", "side", "f.file", F.explode("f.hunks").alias("h")).select("source_url", "files", "side", "file", "h.start_line", "h.code")
+
+
+@query("diff_condensed", "SELECT * FROM (VALUES ('u1', 'diff --git a/src/a.rs b/src/a.rs' || chr(10) || '@@ -1,3 +1,3 @@ fn x' || chr(10) || '-old' || chr(10) || '+new' || chr(10) || '+more' || chr(10) || '@@ -9 +10 @@' || chr(10) || '-gone' || chr(10) || 'diff --git a/b.md b/b.md' || chr(10) || '@@ -0,0 +1 @@' || chr(10) || '+text'), ('u2', ''), ('u3', NULL)) AS t(source_url, short)")
+def diff_condensed(spark: SparkSession, d: str) -> DataFrame:
+    return _diffs(spark).select("source_url", code.condensed(F.col("diff")).alias("short"))
+
+
+@query("diffs_join", "SELECT id, CASE WHEN source_url IS NULL THEN NULL WHEN id LIKE '%1' THEN 'd' WHEN id LIKE '%2' THEN '' END AS diff FROM wallet_vulns WHERE source_url IS NULL OR source_url IN (SELECT source_url FROM wallet_vulns GROUP BY 1 HAVING count(*) = 1)")
+def diffs_join(spark: SparkSession, d: str) -> DataFrame:
+    """Diffs of findings that are alone at their address: some there, some known to be missing, the rest not looked for."""
+    v = table(spark, d, "wallet_vulns").select("id", "source_url")
+    alone = v.groupBy("source_url").agg(F.count("*").alias("n")).filter("n = 1 and source_url is not null").select("source_url")
+    one = v.join(alone, "source_url", "left_semi")
+    diffs = one.select("source_url", F.when(F.col("id").endswith("1"), "d").when(F.col("id").endswith("2"), "").alias("diff")).filter("diff is not null")
+    return code.with_diffs(one.unionByName(v.filter("source_url is null")), diffs).select("id", "diff")
 
 
 @query("files_touched", "SELECT least(len(coalesce(TRY_CAST(files_changed AS JSON)::VARCHAR[], [])), 8)::INT AS n_files, count(*) AS n FROM wallet_vulns GROUP BY ALL")
@@ -616,11 +764,35 @@ def release_lines(spark: SparkSession, d: str) -> DataFrame:
     return _release_lines(spark, d).select(F.col("key").alias("doc_id"), "pos", "title", "severity", "line_hash")
 
 
-@query("changelog_context", _LINES + "SELECT doc_id, pos::INT AS pos, context FROM k WHERE rn = 1")
-def changelog_context(spark: SparkSession, d: str) -> DataFrame:
+@query("release_context", _LINES + "SELECT doc_id, pos::INT AS pos, context FROM k WHERE rn = 1")
+def release_context(spark: SparkSession, d: str) -> DataFrame:
     return _release_lines(spark, d).select(F.col("key").alias("doc_id"), "pos", "context")
 
 
+@query("changelog_lines", _LINES.replace(f" AND NOT {rx('line', P.URGENCY)}", "") + f"SELECT doc_id, pos::INT AS pos, title, {_SEV_WORD} AS severity, 'CHANGELOG#' || line_hash AS issue_id FROM k WHERE rn = 1")
+def changelog_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The changelog's rule (lines on urgency stay) over the release notes."""
+    notes = table(spark, d, "documents").filter("doc_kind = 'release_notes'")
+    x = lines.security_lines(notes, "doc_id", "text", skip_urgency=False)
+    return x.select(F.col("key").alias("doc_id"), "pos", "title", "severity", F.concat(F.lit("CHANGELOG#"), "line_hash").alias("issue_id"))
+
+
+_LINE = "chr(10) || '- Critical security fix of the parser' || chr(10) || 'end'"
+
+
+@query("changelog_rows", f"SELECT 'w' AS source, 'o/r' AS contest, 'CHANGELOG#' || substr(sha256('- Critical security fix of the parser'), 1, 16) AS issue_id, 'High' AS severity, 'Critical security fix of the parser' AS title, '# 1.0' || {_LINE} || chr(10) || 'x' || chr(10) || 'high-urgency security release here' AS description, 'https://github.com/o/r/blob/main/ChangeLog.md#L2' AS source_url, '' AS introduced_in_commit UNION ALL SELECT 'w', 'o/r', 'CHANGELOG#' || substr(sha256('high-urgency security release here'), 1, 16), 'High', 'high-urgency security release here', '- Critical security fix of the parser' || chr(10) || 'end' || chr(10) || 'x' || chr(10) || 'high-urgency security release here', 'https://github.com/o/r/blob/main/ChangeLog.md#L5', ''")
+def changelog_rows(spark: SparkSession, d: str) -> DataFrame:
+    body = "# 1.0\n- Critical security fix of the parser\nend\nx\nhigh-urgency security release here"
+    rows = [("w", "o/r", "main", "HISTORY.md", "a panic in the other file"), ("w", "o/r", "main", "ChangeLog.md", body), ("w", "o/r", "main", "CHANGELOG.md", ""), ("w", "o/q", "main", "notes.txt", "a panic in the wrong file")]
+    return lines.changelog_rows(spark.createDataFrame(rows, "source string, repo string, branch string, path string, content string"))
+
+
+@query("release_rows", f"SELECT 'w' AS source, 'o/r' AS contest, 'RELEASE#v1#' || substr(sha256('- Critical security fix of the parser'), 1, 8) AS issue_id, 'High' AS severity, 'Critical security fix of the parser' AS title, '[v1] # 1.0' || {_LINE} || chr(10) || 'x' || chr(10) || 'high-urgency security release here' AS description, 'u' AS source_url, '' AS introduced_in_commit")
+def release_rows(spark: SparkSession, d: str) -> DataFrame:
+    body = "# 1.0\n- Critical security fix of the parser\nend\nx\nhigh-urgency security release here"
+    return lines.release_rows(spark.createDataFrame([("w", "o/r", "v1", body, "u"), ("w", "o/r", "v2", None, "u")], "source string, repo string, tag_name string, body string, html_url string"))
+
+
 @query("release_earliest", _LINES + "SELECT wallet, title, published_at, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY wallet, title ORDER BY published_at NULLS LAST, doc_id, pos) AS r2 FROM k WHERE rn = 1) WHERE r2 = 1")
 def release_earliest(spark: SparkSession, d: str) -> DataFrame:
     notes = table(spark, d, "documents").select(F.col("doc_id").alias("key"), "wallet", "published_at")
@@ -651,11 +823,20 @@ def commit_term_hits(spark: SparkSession, d: str) -> DataFrame:
     return commits.term_hits(table(spark, d, "commit_history"))
 
 
-@query("cross_mentions", f"WITH {_COMMITS}, n AS (SELECT DISTINCT lower(slug) AS slug, unnest([lower(slug), replace(lower(slug), '-', ' '), lower(split_part(repo, '/', -1))]) AS name FROM wallet_registry), t AS (SELECT sha, lower(coalesce(wallet, '')) AS own, substr(lower(coalesce(subject, '') || ' ' || coalesce(body, '')), 1, 2000) AS txt FROM c), m AS (SELECT DISTINCT sha, slug FROM t JOIN n ON contains(txt, name) AND own <> slug WHERE length(name) > 3) SELECT sha, string_agg(slug, ', ' ORDER BY slug) AS mentions FROM m GROUP BY sha")
+_NAMES = "n AS (SELECT DISTINCT slug, name FROM (SELECT lower(trim(slug)) AS slug, unnest([lower(trim(slug)), replace(lower(trim(slug)), '-', ' '), lower(split_part(repo, '/', -1)), replace(lower(split_part(repo, '/', -1)), '-', ' '), lower(split_part(repo, '/', 1))]) AS name FROM wallet_registry) WHERE length(name) > 3)"
+
+
+@query("cross_mentions", f"WITH {_COMMITS}, {_NAMES}, t AS (SELECT sha, lower(coalesce(wallet, '')) AS own, lower(coalesce(subject, '') || ' ' || substr(coalesce(body, ''), 1, 2000)) AS txt FROM c), m AS (SELECT DISTINCT sha, slug FROM t JOIN n ON contains(txt, name) AND own <> slug) SELECT sha, string_agg(slug, ', ' ORDER BY slug) AS mentions FROM m GROUP BY sha")
 def cross_mentions(spark: SparkSession, d: str) -> DataFrame:
     return commits.cross_mentions(table(spark, d, "commit_history"), table(spark, d, "wallet_registry"))
 
 
+@query("mention_rows", "SELECT * FROM (VALUES ('opal-keys', 'cross_client', 'PR#1', 'High', 'Same seed phrase bug', '[cross-wallet: juniper-vault, nimbus-keys] As in Nimbus Keys and juniper-vault', 'u1', ''), ('opal-keys', 'cross_client', 'PR#2', 'Medium', 'Port from nimbuslabs', '[cross-wallet: nimbus-keys] ', 'u2', '')) AS t(source, contest, issue_id, severity, title, description, source_url, introduced_in_commit)")
+def mention_rows(spark: SparkSession, d: str) -> DataFrame:
+    rows = [("opal-keys", 1, "Same seed phrase bug", "As in Nimbus Keys and juniper-vault", "u1"), ("opal-keys", 1, "Same seed phrase bug", "As in Nimbus Keys and juniper-vault", "u1"), ("opal-keys", 2, "Port from nimbuslabs", None, "u2"), ("opal-keys", 3, "Only opal-keys here", "", "u3")]
+    return commits.mention_rows(spark.createDataFrame(rows, "source string, number int, title string, body string, url string"), table(spark, d, "wallet_registry").filter(F.col("slug").isin("nimbus-keys", "juniper-vault", "opal-keys")))
+
+
 @query("issue_kind_counts", "SELECT CASE " + " ".join(f"WHEN starts_with(coalesce(issue_id, ''), '{p}') THEN '{p.rstrip('#-')}'" for p in V.ISSUE_PREFIXES) + " ELSE 'unknown' END AS issue_kind, count(*) AS n FROM wallet_vulns GROUP BY ALL")
 def issue_kind_counts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "wallet_vulns").groupBy(T.issue_kind(F.col("issue_id")).alias("issue_kind")).agg(F.count("*").alias("n"))
@@ -687,6 +868,36 @@ def top_root_causes(spark: SparkSession, d: str) -> DataFrame:
     return analytics.top(table(spark, d, "wallet_vulns"), "root_cause", 9, ("other",))
 
 
+@query("top_attack_paths", "SELECT attack_path AS value, count(*) AS n FROM wallet_vulns WHERE attack_path IS NOT NULL GROUP BY 1 ORDER BY n DESC, value LIMIT 8")
+def top_attack_paths(spark: SparkSession, d: str) -> DataFrame:
+    return analytics.top(table(spark, d, "wallet_vulns"), "attack_path", 8)
+
+
+@query("top_labels", "SELECT label AS value, count(*) AS n FROM wallet_vulns WHERE label IS NOT NULL GROUP BY 1 ORDER BY n DESC, value LIMIT 14")
+def top_labels(spark: SparkSession, d: str) -> DataFrame:
+    return analytics.top(table(spark, d, "wallet_vulns"), "label", 14)
+
+
+@query("cause_tier_matrix", "SELECT coalesce(root_cause, '') AS row_value, coalesce(authority_tier, '') AS column_value, count(*) AS n FROM wallet_vulns GROUP BY ALL")
+def cause_tier_matrix(spark: SparkSession, d: str) -> DataFrame:
+    return analytics.matrix(table(spark, d, "wallet_vulns"), T.text("root_cause"), T.text("authority_tier"))
+
+
+@query("rows_by_column", " UNION ALL ".join(f"SELECT '{c}' AS section, coalesce({c}::VARCHAR, '') AS value, count(*) AS n FROM wallet_vulns GROUP BY ALL" for c in ("source_platform", "severity", "stride")))
+def rows_by_column(spark: SparkSession, d: str) -> DataFrame:
+    return analytics.counts_by(table(spark, d, "wallet_vulns"), **{c: F.col(c) for c in ("source_platform", "severity", "stride")})
+
+
+@query("tier_disagreements", f"WITH {_EST}, x AS (SELECT lower(trim(coalesce(v.severity, ''))) AS graded, lower(trim(coalesce(e.severity_estimated, ''))) AS estimated FROM wallet_vulns v JOIN est e USING (id)) SELECT graded, estimated, count(*) AS n FROM x WHERE graded IN ('critical', 'high', 'medium', 'low') AND graded <> estimated GROUP BY ALL ORDER BY n DESC, graded, estimated LIMIT 12")
+def tier_disagreements(spark: SparkSession, d: str) -> DataFrame:
+    return severity.disagreements(table(spark, d, "wallet_vulns"), table(spark, d, "severity_estimates"))
+
+
+@query("unresolved_sample", "WITH x AS (SELECT id, CASE " + " ".join(f"WHEN starts_with(coalesce(issue_id, ''), '{p}') THEN '{p.rstrip('#-')}'" for p in V.ISSUE_PREFIXES) + " ELSE 'unknown' END AS issue_kind FROM wallet_vulns WHERE NOT regexp_full_match(trim(coalesce(introduced_in_commit, '')), '[0-9a-fA-F]{7,40}')) SELECT issue_kind, id FROM (SELECT *, row_number() OVER (PARTITION BY issue_kind ORDER BY id) AS rn FROM x) WHERE rn <= 10")
+def unresolved_sample(spark: SparkSession, d: str) -> DataFrame:
+    return refs.unresolved(table(spark, d, "wallet_vulns"))
+
+
 def _cov(c: str, name: str) -> str:
     return f"round(100 * avg(coalesce({c}, false)::INT), 4) AS {name}"
 
@@ -726,17 +937,22 @@ def blame_coverage(spark: SparkSession, d: str) -> DataFrame:
     return refs.coverage(table(spark, d, "wallet_vulns"))
 
 
-@query(
-    "parent_resolution",
-    f"""WITH r AS (SELECT wallet AS repo, substr(sha, 1, 12) AS k, min(patch_id) AS parent FROM commit_history WHERE sha IS NOT NULL GROUP BY 1, 2),
-    x AS (SELECT id, source_platform AS repo, introduced_in_commit, {_KIND} AS kind, coalesce(nullif(regexp_extract(coalesce(source_url, ''), '/commit/([0-9a-f]{{7,40}})', 1, 'i'), ''), regexp_replace(coalesce(issue_id, ''), '^[A-Z]+[#-]', '')) AS k FROM wallet_vulns)
-    SELECT id, coalesce(nullif(parent, ''), introduced_in_commit) AS introduced_in_commit FROM x LEFT JOIN r ON x.kind = 'COMMIT' AND r.repo = x.repo AND r.k = substr(x.k, 1, 12)""",
-)
+@query("parent_resolution", "SELECT * FROM (VALUES ('a', 'p1'), ('b', 'p2'), ('c', 'p3'), ('d', 'old'), ('e', 'p4'), ('f', NULL), ('g', 'old')) AS t(id, introduced_in_commit)")
 def parent_resolution(spark: SparkSession, d: str) -> DataFrame:
-    """Parents by commit; the history's patch ids stand in for parents, which the tables don't have."""
-    h = table(spark, d, "commit_history").filter("sha is not null").select(F.col("wallet").alias("repo"), F.lit("COMMIT").alias("kind"), F.substring("sha", 1, 12).alias("key"), F.col("patch_id").alias("parent_sha"))
-    v = table(spark, d, "wallet_vulns").withColumn("source_url", F.regexp_replace("source_url", r"(?i)(/commit/[0-9a-f]{12})[0-9a-f]*", "$1"))
-    return refs.resolve_parents(v, h)
+    """Every kind of reference on inline tables, as the tables have no parents."""
+    rows = [("a", "w", "PR#12", "", "", None), ("b", "w", "COMMIT#0123456789ab", "http://h/commit/0123456789abcdef", "", "old"), ("c", "w", "RELEASE#1.2.0#89abcdef", "", "", None), ("d", "w", "PR#99", "", "", "old"), ("e", "w", "GHSA-aaaa-bbbb-cccc", "", "patched_versions: >= 2.0.1", ""), ("f", "x", "PR#12", "", "", None), ("g", "w", "ISSUE#12", "", "", "old")]
+    v = spark.createDataFrame(rows, "id string, source_platform string, issue_id string, source_url string, description string, introduced_in_commit string")
+    known = spark.createDataFrame([("w", "PR", "12", "p1"), ("w", "COMMIT", "0123456789abcdef", "p2"), ("w", "RELEASE", "v1.2.0", "p3"), ("w", "RELEASE", "2.0.1", "p4"), ("y", "PR", "12", "p9")], "repo string, kind string, key string, parent_sha string")
+    return refs.resolve_parents(v, known)
+
+
+@query("advisory_commits", "SELECT * FROM (VALUES ('g1', 's2')) AS t(advisory, sha)")
+def advisory_commits(spark: SparkSession, d: str) -> DataFrame:
+    """g1: a small release; g2: the first tag; g3: too many commits; g4: no version."""
+    adv = spark.createDataFrame([("g1", "r", ">= 1.1.0", "seed leaks through the log"), ("g2", "r", "1.0.0", "x"), ("g3", "r", "1.2.0", "x"), ("g4", "r", None, "x")], "advisory string, repo string, patched string, summary string")
+    tags = spark.createDataFrame([("r", "v1.0.0", 1), ("r", "v1.1.0", 2), ("r", "nightly", 3), ("r", "v1.2.0", 4)], "repo string, tag string, turn int")
+    rows = [("r", "v1.1.0", "s1", "tidy readme", [], 1), ("r", "v1.1.0", "s2", "stop seed leaks", ["log.rs"], 2), ("r", "v1.1.0", "s3", "Prepare release", [], 3)] + [("r", "v1.2.0", f"t{i}", "change", [], i) for i in range(7)]
+    return refs.advisory_commits(adv, tags, spark.createDataFrame(rows, "repo string, tag string, sha string, subject string, files array<string>, seq int"))
 
 
 @query("body_keyword_slice", "WITH x AS (SELECT id, CASE " + " ".join(f"WHEN {rx('description', P.alternation([k], P.loose))} THEN {q(k)}" for k in V.CORE_TERMS) + " END AS word FROM wallet_vulns) SELECT id, 'body_kw:' || word AS contest FROM x WHERE word IS NOT NULL")
@@ -768,6 +984,204 @@ def entry_channels(spark: SparkSession, d: str) -> DataFrame:
     return analytics.mapped_counts(table(spark, d, "wallet_vulns"), T.text("attack_path"), analytics.CHANNEL)
 
 
-@query("dominance_cap", "WITH c AS (SELECT count(*) * 50 // 1000 AS cap FROM wallet_vulns), s AS (SELECT id, row_number() OVER (ORDER BY md5('42:' || id), id) AS rn FROM wallet_vulns WHERE source_platform = 'nimbus-keys') SELECT id FROM wallet_vulns WHERE NOT coalesce(source_platform = 'nimbus-keys', false) UNION ALL SELECT id FROM s, c WHERE rn <= cap")
+DOMINANCE_PERMILLE = 50
+
+
+@query("dominance_cap", f"WITH p AS (SELECT source_platform AS p FROM wallet_vulns WHERE source_platform IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1), c AS (SELECT count(*) * {DOMINANCE_PERMILLE} // 1000 AS cap FROM wallet_vulns), s AS (SELECT id, row_number() OVER (ORDER BY md5('42:' || id), id) AS rn FROM wallet_vulns WHERE source_platform = (SELECT p FROM p)) SELECT id FROM wallet_vulns WHERE NOT coalesce(source_platform = (SELECT p FROM p), false) UNION ALL SELECT id FROM s, c WHERE rn <= cap")
 def dominance_cap(spark: SparkSession, d: str) -> DataFrame:
-    return slices.dominance_cap(table(spark, d, "wallet_vulns").select("id", "source_platform"), F.col("source_platform") == "nimbus-keys", 50, "id").select("id")
+    """The largest platform held to its share."""
+    v = table(spark, d, "wallet_vulns").select("id", "source_platform")
+    largest = analytics.top(v, "source_platform", 1).first()
+    return slices.dominance_cap(v, F.col("source_platform") == (largest["value"] if largest else None), DOMINANCE_PERMILLE, "id").select("id")
+
+
+# ---------------------------------------------------------------- slices
+
+
+@query("label_slice", "SELECT * FROM (VALUES ('r', 1, 'Bug'), ('r', 2, 'sec')) AS t(repo, number, contest)")
+def label_slice(spark: SparkSession, d: str) -> DataFrame:
+    wanted = spark.createDataFrame([("r", "Bug", 1), ("r", "bug", 2), ("r", "sec", 3), ("r", "docs", 4), ("r", "phantom", 5)], "repo string, label string, turn int")
+    there = spark.createDataFrame([("r", "BUG"), ("r", "sec"), ("r", "docs"), ("q", "phantom")], "repo string, label string")
+    labels_ = slices.existing_labels(wanted, there, skip=["docs"])
+    changes = spark.createDataFrame([("r", 1, "bug", True), ("r", 1, "sec", True), ("r", 2, "SEC", True), ("r", 3, "bug", False), ("r", 4, "docs", True)], "repo string, number int, label string, merged boolean")
+    return slices.by_label(changes, labels_).select("repo", "number", "contest")
+
+
+@query("title_slice", "SELECT * FROM (VALUES ('r', 9), ('r', 7)) AS t(repo, number)")
+def title_slice(spark: SparkSession, d: str) -> DataFrame:
+    rows = [("r", 9, "Fix panic", True), ("r", 9, "Fix panic", True), ("r", 8, "Fix panic", False), ("r", 7, "CVE-2024-11", True), ("r", 6, "tidy", True), ("r", 5, "a crash", True)]
+    return slices.by_title(spark.createDataFrame(rows, "repo string, number int, title string, merged boolean"), cap=2).select("repo", "number")
+
+
+@query("united_slices", "SELECT * FROM (VALUES ('a', 1, 0), ('a', 2, 0), ('b', 1, 1)) AS t(source, number, slice)")
+def united_slices(spark: SparkSession, d: str) -> DataFrame:
+    one = spark.createDataFrame([("a", 1), ("a", 2)], "source string, number int")
+    two = spark.createDataFrame([("a", 2), ("a", 3), ("b", 1)], "source string, number int")
+    return slices.united([one, two], ["source", "number"], F.col("number"), cap=2)
+
+
+@query("stealth_terms", f"WITH x AS (SELECT id, coalesce(title, '') || ' ' || coalesce(description, '') AS b FROM wallet_vulns), t AS (SELECT id, CASE " + " ".join(f"WHEN {rx('b', P.alternation([k], P.loose))} THEN {q(k)}" for k in [*V.CORE_TERMS, *V.LANGUAGE_TERMS["rust"]]) + " END AS term FROM x) SELECT id, term FROM t WHERE term IS NOT NULL")
+def stealth_terms(spark: SparkSession, d: str) -> DataFrame:
+    return slices.first_term(table(spark, d, "wallet_vulns"), [*V.CORE_TERMS, *V.LANGUAGE_TERMS["rust"]])
+
+
+@query("registry_filter_crawl", "SELECT source, count(*) AS n FROM crawl_rows WHERE lower(trim(coalesce(source, ''))) NOT IN (SELECT lower(trim(slug)) FROM wallet_registry) GROUP BY source")
+def registry_filter_crawl(spark: SparkSession, d: str) -> DataFrame:
+    """Raw rows of platforms off the registry (the curated table has none)."""
+    known = table(spark, d, "wallet_registry").select(F.lower(F.trim("slug")).alias("p"))
+    return table(spark, d, "crawl_rows").withColumn("p", F.lower(F.trim(T.text("source")))).join(known, "p", "left_anti").groupBy("source").agg(F.count("*").alias("n"))
+
+
+@query("gate_stages_inline", "SELECT * FROM (VALUES ('a', 'off_registry'), ('b', 'boilerplate'), ('c', 'meta_work'), ('d', 'version_bump'), ('e', 'meta_prefix'), ('f', 'nvd_identity'), ('g', 'low_signal'), ('h', NULL), ('i', NULL)) AS t(id, drop_stage)")
+def gate_stages_inline(spark: SparkSession, d: str) -> DataFrame:
+    """Each stage of the gate on a row of its own; i names its project by a pattern of the identity table."""
+    rows = [("a", "nobody", "t", "", ""), ("b", "opal-keys", "Critical update required", "", ""), ("c", "opal-keys", "Update README", "", ""), ("d", "opal-keys", "Upgrade foo from 1.0 to 1.1", "", ""), ("e", "opal-keys", "refactor: move the button", "", ""), ("f", "opal-keys", "CVE-2024-12345", "a flaw in something else", ""), ("g", "opal-keys", "move the button", "", ""), ("h", "opal-keys", "CVE-2024-12345", "a flaw in opal keys", ""), ("i", "nimbus-keys", "CVE-2024-12345", "a flaw in the Nimbus mobile wallet", "")]
+    v = spark.createDataFrame(rows, "id string, source_platform string, title string, description string, severity string").withColumns({c: F.lit(None).cast("string") for c in ("contest", "issue_id", "source_url", "stride", "cwe_top25", "scraped_at")}).withColumn("silent_fix_prob", F.lit(None).cast("double"))
+    own = spark.createDataFrame([("nimbus-keys", r"\bnimbus\b.{0,40}wallet")], "slug string, pattern string")
+    return gate.judged(v, table(spark, d, "wallet_registry"), identities=own).select("id", "drop_stage")
+
+
+@query("signals_inline", "SELECT * FROM (VALUES ('a', 0, 'C_candidate'), ('b', 1, 'C_candidate'), ('c', 2, 'B_corroborated'), ('d', 3, 'B_corroborated')) AS t(id, signal_count, authority_tier)")
+def signals_inline(spark: SparkSession, d: str) -> DataFrame:
+    """The three signals that other stages add."""
+    rows = [("a", None, " ", ""), ("b", "said so", None, None), ("c", "said so", "#12", ""), ("d", "x", "y", "z")]
+    v = spark.createDataFrame(rows, "id string, comment_signal string, linked_issue_signal string, backport_signal string").withColumns({c: F.lit("" if c != "source_platform" else "opal-keys") for c in ("source_platform", "contest", "issue_id", "severity", "title", "description", "source_url", "stride", "cwe_top25", "scraped_at")}).withColumn("silent_fix_prob", F.lit(None).cast("double"))
+    return gate.judged(v, table(spark, d, "wallet_registry")).select("id", "signal_count", "authority_tier")
+
+
+# ---------------------------------------------------------------- feeds
+
+
+def _feed(spark: SparkSession, *records: dict) -> DataFrame:
+    return spark.createDataFrame([(json.dumps(r),) for r in records], "value string")
+
+
+_CRAWL_COLUMNS = "t(source, contest, issue_id, severity, title, description, source_url, introduced_in_commit)"
+
+
+@query("feed_advisories", f"SELECT * FROM (VALUES ('w', 'ghsa_advisory', 'GHSA-1', 'Critical', 'Leak [GHSA-1, CVE-2024-0001]', 'text' || chr(10) || 'patched_versions: >= 1.2, 2.0', 'u', ''), ('w', 'ghsa_advisory', 'CVE-2024-0002', 'Medium', ' [CVE-2024-0002]', '', '', '')) AS {_CRAWL_COLUMNS}")
+def feed_advisories(spark: SparkSession, d: str) -> DataFrame:
+    return feeds.advisories(_feed(spark, {"ghsa_id": "GHSA-1", "cve_id": "CVE-2024-0001", "severity": "critical", "summary": "Leak", "description": "text", "html_url": "u", "vulnerabilities": [{"patched_versions": ">= 1.2"}, {"patched_versions": "2.0"}, {"patched_versions": None}]}, {"cve_id": "CVE-2024-0002", "severity": "moderate"}, {"summary": "no id"}), "w")
+
+
+@query("feed_canonical", f"SELECT * FROM (VALUES ('w', 'o/r', 'GHSA-1', 'High', 'Leak', 'text', 'u', ''), ('w', 'o/r', 'GHSA-2', 'Info', 'x', '', '', '')) AS {_CRAWL_COLUMNS}")
+def feed_canonical(spark: SparkSession, d: str) -> DataFrame:
+    return feeds.canonical(_feed(spark, {"ghsa_id": " GHSA-1 ", "severity": "Critical", "summary": "Leak", "description": "text", "html_url": "u"}, {"ghsa_id": "GHSA-2", "severity": "odd", "summary": "x"}, {"ghsa_id": "GHSA-3"}, {"summary": "no id"}), "w", "o/r")
+
+
+@query("feed_osv", f"SELECT * FROM (VALUES ('w', 'osv_npm', 'CVE-2024-0009', 'High', 'Title', 'body' || chr(10) || 'fixed_version: 1.3', 'https://osv.dev/vulnerability/GHSA-9', 'abc'), ('w', 'osv_npm', 'X-1', 'Unrated', 'X-1', '' || chr(10) || 'fix_commit: 0123456789', 'https://osv.dev/vulnerability/X-1', '')) AS {_CRAWL_COLUMNS}")
+def feed_osv(spark: SparkSession, d: str) -> DataFrame:
+    a = {"id": "GHSA-9", "aliases": ["CVE-2024-0009"], "summary": "Title", "details": "body", "severity": [{"type": "CVSS_V3", "score": "CVSS:3.1/AV:N/C:H/I:H/A:H"}], "affected": [{"ranges": [{"type": "GIT", "events": [{"introduced": "0"}, {"introduced": "abc"}]}, {"type": "SEMVER", "events": [{"fixed": "1.3"}]}]}]}
+    return feeds.vulnerabilities(_feed(spark, a, a, {"id": "X-1", "affected": [{"ranges": [{"type": "GIT", "events": [{"introduced": "0"}, {"fixed": "0123456789"}]}]}]}), "w", "osv_npm")
+
+
+@query("feed_rustsec", f"SELECT * FROM (VALUES ('w', 'rustsec', 'RUSTSEC-2024-0001', 'High', 'Unsound', 'why', 'https://rustsec.org/advisories/RUSTSEC-2024-0001.html', ''), ('w', 'rustsec', 'GHSA-5', 'Unrated', 'GHSA-5', 'why', 'https://osv.dev/vulnerability/GHSA-5', '')) AS {_CRAWL_COLUMNS}")
+def feed_rustsec(spark: SparkSession, d: str) -> DataFrame:
+    return feeds.rustsec(_feed(spark, {"id": "GHSA-4", "aliases": ["RUSTSEC-2024-0001"], "summary": "Unsound", "details": "why", "severity": [{"type": "x", "score": ""}], "database_specific": {"severity": "CRITICAL"}}, {"id": "GHSA-5", "details": "why", "database_specific": {"severity": "HIGH"}}, {"id": "GHSA-6"}), "w")
+
+
+@query("feed_go", f"SELECT * FROM (VALUES ('w', 'govulncheck', 'CVE-2024-0003', 'Unrated', 'Panic', 'why', 'https://pkg.go.dev/vuln/GHSA-3', ''), ('w', 'govulncheck', 'GO-2024-9', 'Low', 'GO-2024-9', '', 'https://pkg.go.dev/vuln/GO-2024-9', '')) AS {_CRAWL_COLUMNS}")
+def feed_go(spark: SparkSession, d: str) -> DataFrame:
+    return feeds.go_vulnerabilities(_feed(spark, {"id": "GO-2024-1", "aliases": ["CVE-2024-0003", "GHSA-3"], "summary": "same"}, {"id": "GHSA-3", "aliases": ["CVE-2024-0003"], "summary": "Panic", "details": "why"}, {"id": "GO-2024-9", "database_specific": {"severity": "low"}}), "w")
+
+
+@query("feed_nvd", f"SELECT * FROM (VALUES ('w', 'nvd', 'CVE-2024-0004', 'High', 'CVE-2024-0004', 'a flaw in opal keys', 'https://nvd.nist.gov/vuln/detail/CVE-2024-0004', '')) AS {_CRAWL_COLUMNS}")
+def feed_nvd(spark: SparkSession, d: str) -> DataFrame:
+    def record(i: str, text_: str) -> dict:
+        return {"cve": {"id": i, "descriptions": [{"lang": "es", "value": "x"}, {"lang": "en", "value": text_}], "metrics": {"cvssMetricV31": [{"cvssData": {"baseSeverity": "HIGH"}}], "cvssMetricV2": [{"baseSeverity": "LOW"}]}}}
+
+    return feeds.nvd(_feed(spark, record("CVE-2024-0004", "a flaw in opal keys"), record("CVE-2024-0005", "a flaw elsewhere")), "w", r"\bopal[-_ ]?keys\b")
+
+
+@query("feed_changes", f"SELECT * FROM (VALUES ('w', 'w', 'PR#1', 'Unrated', 'T', '', 'u', ''), ('w', 'w', 'ISSUE#2', 'Unrated', '', 'B', '', '')) AS {_CRAWL_COLUMNS}")
+def feed_changes(spark: SparkSession, d: str) -> DataFrame:
+    return feeds.changes(spark.createDataFrame([(1, "pull", "T", None, "u"), (2, "issue", None, "B", None), (3, "pull", "", "", "u")], "number int, kind string, title string, body string, url string"), "w")
+
+
+# ---------------------------------------------------------------- answers
+
+
+def _answers(spark: SparkSession) -> DataFrame:
+    rows = [("u1", 'so {"x": {"y": "}"}} then {"is_security_fix": true, "confidence": 0.9, "vuln_class": "dos", "reason": "r"} end', "m"), ("u2", '{"is_security_fix": true, "confidence": 0.2}', "m"), ("u3", "no object {", "m"), ("u4", '{"is_security_fix": false, "confidence": 0.1, "reason": "q"}', "m"), ("u5", None, "m")]
+    return spark.createDataFrame(rows, "source_url string, answer string, model string")
+
+
+@query("answers_accepted", "SELECT * FROM (VALUES ('u1', 0.9::DOUBLE, 1, 'dos', 'r', 'm'), ('u4', 0.1, 0, NULL, 'q', 'm')) AS t(source_url, silent_fix_prob, is_security_fix, vuln_class, reason, model)")
+def answers_accepted(spark: SparkSession, d: str) -> DataFrame:
+    return answers.accept(answers.extract(_answers(spark), "answer", "is_security_fix"))
+
+
+@query("answers_to_ask_again", "SELECT * FROM (VALUES ('u3'), ('u5')) AS t(source_url)")
+def answers_to_ask_again(spark: SparkSession, d: str) -> DataFrame:
+    """Failed calls are never cached: what gave no object is still to do."""
+    x = answers.extract(_answers(spark), "answer", "is_security_fix")
+    return answers.still_to_do(x.select("source_url"), x.filter("parsed is not null"), "source_url")
+
+
+@query("answers_flat", "SELECT * FROM (VALUES ('a', 'ui', 'c1', NULL, 'CWE-79'), ('b', NULL, NULL, 'p', NULL), ('c', NULL, NULL, NULL, NULL)) AS t(id, label, root_cause, attack_path, cwe)")
+def answers_flat(spark: SparkSession, d: str) -> DataFrame:
+    rows = [("a", 'x {"label": "ui", "root_cause": "c1", "cwe": "CWE-79"}'), ("b", '{"label": "nowhere",\n "attack_path": "p", "cwe": "79"}'), ("c", "none")]
+    x = spark.createDataFrame(rows, "id string, answer string").select("id", answers.flat_answer(F.col("answer"), ["ui", "key"]).alias("o"))
+    return x.select("id", "o.*")
+
+
+@query("answers_enum", "SELECT * FROM (VALUES ('a', 'Tampering', 'CWE-20'), ('b', 'Other', 'N/A'), ('c', 'Other', 'N/A')) AS t(id, stride, cwe_top25)")
+def answers_enum(spark: SparkSession, d: str) -> DataFrame:
+    rows = [("a", '```json\n{"stride": "Tampering", "cwe_top25": "CWE-20"}\n```'), ("b", '{"stride": "Odd", "cwe_top25": "20"}'), ("c", None)]
+    return spark.createDataFrame(rows, "id string, answer string").select("id", answers.enum_answer(F.col("answer")).alias("o")).select("id", "o.*")
+
+
+@query("answers_batch", "SELECT * FROM (VALUES (1, 0, 'Spoofing', 'N/A'), (1, 1, 'Other', 'CWE-1'), (1, 2, 'Other', 'N/A'), (2, 0, 'Other', 'N/A')) AS t(batch, i, stride, cwe_top25)")
+def answers_batch(spark: SparkSession, d: str) -> DataFrame:
+    rows = [(1, 3, '[{"i": 0, "stride": "Spoofing"}, {"stride": "?", "cwe_top25": "CWE-1"}, {"i": 9, "stride": "Tampering"}]'), (2, 1, "broken")]
+    return answers.align_batch(spark.createDataFrame(rows, "batch int, n int, answer string"))
+
+
+@query("checkpoint_attach", "SELECT id, CASE WHEN id LIKE '%1' THEN 'Tampering' ELSE 'Other' END AS stride, CASE WHEN id LIKE '%1' THEN 'CWE-20' ELSE 'N/A' END AS cwe_top25 FROM wallet_vulns")
+def checkpoint_attach(spark: SparkSession, d: str) -> DataFrame:
+    v = table(spark, d, "wallet_vulns").select("id", "stride", "cwe_top25")
+    done = v.filter(F.col("id").endswith("1")).select("id", F.lit("Tampering").alias("stride"), F.lit("CWE-20").alias("cwe"))
+    return answers.attach(v, done)
+
+
+# ---------------------------------------------------------------- tables in and out
+
+
+@query("csv_round_trip", "SELECT source, contest, issue_id, title, description FROM crawl_rows")
+def csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Written as CSV and read again, line breaks and quotes included; blanks come back as they went."""
+    x = table(spark, d, "crawl_rows").select("source", "contest", "issue_id", "title", "description")
+    path = f"{scratch_dir(spark)}/csv-{uuid.uuid4().hex}"
+    io.write_csv(x.select(*[F.concat(F.lit("="), c).alias(c) if c in x.columns else c for c in x.columns]), path)
+    back = io.read_csv_folders(spark, [path])
+    return back.select(*[F.when(F.col(c).startswith("="), F.expr(f"substring({c}, 2)")).alias(c) for c in x.columns])
+
+
+@query("address_parts", "SELECT id, regexp_replace(coalesce(source_url, ''), '^.*/', '') AS sha, nullif(regexp_extract(coalesce(source_url, ''), 'https?://(?:www\\.)?[^/]+/([^/]+/[^/?#]+)', 1), '') AS repo FROM wallet_vulns")
+def address_parts(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "wallet_vulns").select("id", T.full_sha(F.col("source_url")).alias("sha"), T.repository(F.col("source_url")).alias("repo"))
+
+
+@query("synthetic_urls", "SELECT * FROM (VALUES ('a', 'https://github.com/code-423n4/2024-01-x/issues/7'), ('b', ''), ('c', ''), ('d', '')) AS t(id, url)")
+def synthetic_urls(spark: SparkSession, d: str) -> DataFrame:
+    rows = [("a", "code4rena", "2024-01-x", "#7"), ("b", "sherlock", "2024-01-x", "7"), ("c", "code4rena", "", "7"), ("d", "code4rena", "x", None)]
+    return spark.createDataFrame(rows, "id string, platform string, slug string, issue string").select("id", registry.synthetic_url(F.col("platform"), F.col("slug"), F.col("issue")).alias("url"))
+
+
+@query("call_failures", "SELECT * FROM (VALUES ('a', 'secondary', '403'), ('b', 'primary', '403'), ('c', 'auth', '401'), ('d', 'auth', NULL)) AS t(id, kind, status)")
+def call_failures(spark: SparkSession, d: str) -> DataFrame:
+    rows = [("a", "You have exceeded a secondary rate limit", "gh: HTTP 403"), ("b", "API rate limit exceeded", '{"status": "403"}'), ("c", "Bad credentials", "HTTP 401"), ("d", None, None)]
+    return spark.createDataFrame(rows, "id string, body string, stderr string").select("id", T.classify_403(F.col("body")).alias("kind"), T.http_status(F.col("stderr")).alias("status"))
+
+
+@query("semver_first", "SELECT * FROM (VALUES ('>= 1.2.0, < 2', '1.2.0'), ('^0.3 || 1', '0.3'), ('any', ''), (NULL, '')) AS t(range, version)")
+def semver_first(spark: SparkSession, d: str) -> DataFrame:
+    return spark.createDataFrame([(">= 1.2.0, < 2",), ("^0.3 || 1",), ("any",), (None,)], "range string").select("range", T.first_semver(F.col("range")).alias("version"))
+
+
+@query("sets_compared", "SELECT count(*) FILTER (v AND c) AS both_, count(*) FILTER (v AND NOT c) AS only_findings, count(*) FILTER (NOT v AND c) AS only_history FROM (SELECT sha, max(v) AS v, max(c) AS c FROM (SELECT DISTINCT lower(fix_commit) AS sha, true AS v, false AS c FROM wallet_vulns WHERE regexp_full_match(coalesce(fix_commit, ''), '[0-9a-fA-F]{40}') UNION ALL SELECT DISTINCT lower(sha), false, true FROM commit_history WHERE sha IS NOT NULL) GROUP BY sha)")
+def sets_compared(spark: SparkSession, d: str) -> DataFrame:
+    """Commits in both tables, and in one only."""
+    v = table(spark, d, "wallet_vulns").filter(F.col("fix_commit").rlike("^[0-9a-fA-F]{40}$")).select(F.lower("fix_commit").alias("sha"))
+    h = table(spark, d, "commit_history").filter("sha is not null").select(F.lower("sha").alias("sha"))
+    return analytics.sets_compared(v, h, "sha", "both_", "only_findings", "only_history")

@@ -103,6 +103,11 @@ def fix_commit(url: Column) -> Column:
     return F.regexp_extract(text(url), r"(?i)/commit/([0-9a-f]{7,40})", 1)
 
 
+def full_sha(url: Column) -> Column:
+    """What stands after the last slash of an address."""
+    return F.substring_index(text(url), "/", -1)
+
+
 def repository(url: Column) -> Column:
     """owner/name of a forge address; null if there is none."""
     return F.nullif(F.regexp_extract(text(url), r"https?://(?:www\.)?[^/]+/([^/]+/[^/?#]+)", 1), F.lit(""))

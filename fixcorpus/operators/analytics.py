@@ -27,8 +27,8 @@ def repo_yield(scores: DataFrame, least: int = 150) -> DataFrame:
 
 def loc_histogram(vulns: DataFrame) -> DataFrame:
     """Changed code per fix in bins: lines of the side after the fix, clipped into the last bin."""
-    n = F.least(line_count(hunks_of(F.col("post_fix_code"))), F.lit(4999))
-    x = vulns.select(n.alias("loc")).filter("loc > 0")
+    x = vulns.select(line_count(hunks_of(F.col("post_fix_code"))).alias("loc")).filter("loc > 0")
+    x = x.withColumn("loc", F.least("loc", F.lit(4999)))
     edge = F.lit(None).cast("int")
     for e in LOC_EDGES[:-1]:
         edge = F.when(F.col("loc") >= e, e).otherwise(edge)
@@ -46,6 +46,13 @@ def counts_by(df: DataFrame, **by: Column) -> DataFrame:
     return df.select(each).groupBy("x.section", "x.value").agg(F.count("*").alias("n"))
 
 
+def sets_compared(left: DataFrame, right: DataFrame, key: str, both: str, only_left: str, only_right: str) -> DataFrame:
+    """One row: distinct keys in both tables and in one only, by one aggregation (no join)."""
+    x = left.select(key, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(right.select(key, F.lit(0).alias("l"), F.lit(1).alias("r")))
+    g = x.groupBy(key).agg(F.max("l").alias("l"), F.max("r").alias("r"))
+    return g.agg(F.count_if((F.col("l") == 1) & (F.col("r") == 1)).alias(both), F.count_if(F.col("r") == 0).alias(only_left), F.count_if(F.col("l") == 0).alias(only_right))
+
+
 def files_touched(vulns: DataFrame) -> DataFrame:
     n = F.least(F.size(file_list(F.col("files_changed"))), F.lit(8))
     return vulns.select(n.alias("n_files")).groupBy("n_files").agg(F.count("*").alias("n"))

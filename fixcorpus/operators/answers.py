@@ -46,6 +46,20 @@ def accept(parsed: DataFrame) -> DataFrame:
     return x.filter(F.col("p.is_security_fix") == (F.col("p.confidence") > 0.5)).select("source_url", F.col("p.confidence").alias("silent_fix_prob"), F.col("p.is_security_fix").cast("int").alias("is_security_fix"), "p.vuln_class", "p.reason", "model")
 
 
+def flat_answer(answer: Column, labels: list[str]) -> Column:
+    """The first object without inner braces that has a label: (label, root_cause, attack_path, cwe); what isn't valid is null."""
+    o = F.from_json(F.regexp_extract(F.coalesce(answer, F.lit("")), r'(?s)\{[^{}]*"label"[^{}]*\}', 0), "label string, root_cause string, attack_path string, cwe string")
+    cwe = F.when(o["cwe"].rlike(r"(?i)^CWE-\d+$"), o["cwe"])
+    return F.struct(F.when(o["label"].isin(*labels), o["label"]).alias("label"), o["root_cause"].alias("root_cause"), o["attack_path"].alias("attack_path"), cwe.alias("cwe"))
+
+
+def attach(rows: DataFrame, done: DataFrame) -> DataFrame:
+    """Rows with the classes of a checkpoint (id, stride, cwe); rows that it lacks have Other and N/A."""
+    one = done.groupBy("id").agg(F.min(F.struct(F.coalesce("stride", F.lit("Other")).alias("stride"), F.coalesce("cwe", F.lit("N/A")).alias("cwe"))).alias("d"))
+    x = rows.drop("stride", "cwe_top25").join(one, "id", "left")
+    return x.withColumn("stride", F.coalesce("d.stride", F.lit("Other"))).withColumn("cwe_top25", F.coalesce("d.cwe", F.lit("N/A"))).drop("d")
+
+
 def still_to_do(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return rows.join(done.select(key), key, "left_anti")
 

@@ -77,6 +77,17 @@ def parse(diff: str) -> tuple[list[str], list[dict], list[dict]]:
     return files, before.capped(), after.capped()
 
 
+#: Diffs longer than this are used but not kept for later runs (fixed value).
+KEPT_CHARS = 200_000
+
+
+def with_diffs(findings: DataFrame, diffs: DataFrame) -> DataFrame:
+    """Findings with the diff of their address from a table (source_url, diff): null not looked for, empty known to be missing; and whether it may be kept."""
+    one = diffs.filter("source_url is not null").groupBy("source_url").agg(F.max("diff").alias("diff"))
+    x = findings.join(one, "source_url", "left")
+    return x.withColumn("keep", F.coalesce(F.length("diff") <= KEPT_CHARS, F.lit(False)))
+
+
 def parse_diffs(diffs: DataFrame, text_col: str = "diff") -> DataFrame:
     """Adds files, pre and post to a table of diffs (Arrow batches); a null diff has none of them."""
     fields = [f for f in diffs.schema.fields]

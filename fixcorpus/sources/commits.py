@@ -9,6 +9,8 @@ from ..functions import patterns as P
 from ..functions import vocabulary as V
 from ..functions.text import commit_row_id, severity_in, text
 from ..operators.dedup import keep_first
+from ..operators.registry import DEFAULT_LANGUAGE, names, with_language
+from ..operators.tables import DIMENSION_ROWS
 
 MAX_FILES = 60
 
@@ -60,25 +62,62 @@ def term_hits(history: DataFrame, cap: int = 200) -> DataFrame:
     return x.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= cap).select("wallet", "term", "sha")
 
 
+# fixed value: how much of a text is looked at for mentions
+LOOKED_AT = 2000
+
+
+def mentions(texts: DataFrame, registry: DataFrame, own: Column, text_: Column) -> DataFrame:
+    """``texts`` with ``mentioned``: the other projects whose names stand in the text, sorted; rows without any are left out.
+
+    The registry is a dimension (its names are collected, at most DIMENSION_ROWS
+    of them): one alternation of all names rules most texts out, and only the
+    others are held against each name. No join is made.
+    """
+    dims = names(registry).limit(DIMENSION_ROWS + 1).collect()
+    if len(dims) > DIMENSION_ROWS:
+        raise ValueError(f"more than {DIMENSION_ROWS} names are no dimension")
+    if not dims:
+        return texts.withColumn("mentioned", F.array().cast("array<string>")).filter(F.lit(False))
+    any_name = "|".join(P.literal(n) for n in sorted({r["name"] for r in dims}))
+    by_slug: dict[str, list[str]] = {}
+    for r in dims:
+        by_slug.setdefault(r["slug"], []).append(P.literal(r["name"]))
+    each = F.array_compact(F.array(*[F.when((own != slug) & text_.rlike("|".join(sorted(ns))), F.lit(slug)) for slug, ns in sorted(by_slug.items())]))
+    return texts.filter(text_.rlike(any_name)).withColumn("mentioned", each).filter(F.size("mentioned") > 0)
+
+
+def _custody(text_: Column) -> Column:
+    words = sorted({k.lower() for g in ("key_material", "signing", "mpc", "approval") for k in V.GROUPS[g]})
+    return text_.rlike("|".join(P.literal(w) for w in words))
+
+
 def cross_mentions(history: DataFrame, registry: DataFrame) -> DataFrame:
-    """(sha, mentions): commits of one wallet that name another by slug, spaced slug or repository (more than 3 letters).
+    """(sha, mentions): commits of one project that name another by slug, repository or owner (more than 3 letters)."""
+    x = distinct_commits(history).select("sha", F.lower(text("wallet")).alias("own"), F.lower(F.concat_ws(" ", text("subject"), F.substring(text("body"), 1, LOOKED_AT))).alias("text"))
+    return mentions(x, registry, F.col("own"), F.col("text")).select("sha", F.array_join("mentioned", ", ").alias("mentions"))
+
+
+def mention_rows(changes: DataFrame, registry: DataFrame) -> DataFrame:
+    """Crawler rows of changes (source, number, title, body, url) that name another project, a change once.
 
-    Every text is held against the registry's names, a dimension of fixed size.
+    High where custody words stand beside, else Medium; the projects named lead the description.
     """
-    names = F.array_distinct(F.filter(F.array(F.lower("slug"), F.replace(F.lower("slug"), F.lit("-"), F.lit(" ")), F.lower(F.substring_index("repo", "/", -1))), lambda n: F.length(n) > 3))
-    dims = registry.select(F.lower("slug").alias("slug"), F.explode(names).alias("name")).distinct()
-    x = distinct_commits(history).select("sha", F.lower(text("wallet")).alias("own"), F.substring(F.lower(F.concat_ws(" ", text("subject"), text("body"))), 1, 2000).alias("text"))
-    met = x.join(F.broadcast(dims), F.col("text").contains(F.col("name")) & (F.col("own") != F.col("slug")))
-    return met.groupBy("sha").agg(F.array_join(F.array_sort(F.collect_set("slug")), ", ").alias("mentions"))
+    x = changes.withColumn("_own", F.lower(F.trim(text("source")))).withColumn("_text", F.lower(F.concat_ws(" ", text("title"), F.substring(text("body"), 1, LOOKED_AT))))
+    x = mentions(x, registry, F.col("_own"), F.col("_text"))
+    x = keep_first(x, ["source", "number"], [F.asc_nulls_last("title"), F.asc_nulls_last("body"), F.asc_nulls_last("url")])
+    sev = F.when(_custody(F.col("_text")), "High").otherwise("Medium")
+    lead = F.concat(F.lit("[cross-wallet: "), F.array_join("mentioned", ", "), F.lit("] "))
+    return x.select("source", F.lit("cross_client").alias("contest"), F.concat(F.lit("PR#"), "number").alias("issue_id"), sev.alias("severity"), F.substring(F.trim(text("title")), 1, 500).alias("title"), F.substring(F.concat(lead, F.trim(text("body"))), 1, 2000).alias("description"), F.trim(text("url")).alias("source_url"), F.lit("").alias("introduced_in_commit"))
 
 
-def search_terms(registry: DataFrame, language: str = "js") -> DataFrame:
-    """(slug, terms): core, category and language terms, each once and in order."""
+def search_terms(registry: DataFrame, languages: DataFrame | None = None) -> DataFrame:
+    """(slug, terms): core, category and language terms, each once and in order; languages: (slug, language)."""
     def mapped(table: dict[str, list[str]], key: Column) -> Column:
         out = F.array().cast("array<string>")
         for k, terms in table.items():
             out = F.when(key == k, F.array(*[F.lit(t) for t in terms])).otherwise(out)
         return out
 
+    x = with_language(registry, languages) if languages is not None else registry.withColumn("language", F.lit(DEFAULT_LANGUAGE))
     core = F.array(*[F.lit(t) for t in V.CORE_TERMS])
-    return registry.select("slug", F.array_join(F.array_distinct(F.concat(core, mapped(V.CATEGORY_TERMS, F.col("category")), mapped(V.LANGUAGE_TERMS, F.lit(language)))), "|").alias("terms"))
+    return x.select("slug", F.array_join(F.array_distinct(F.concat(core, mapped(V.CATEGORY_TERMS, F.col("category")), mapped(V.LANGUAGE_TERMS, F.col("language")))), "|").alias("terms"))

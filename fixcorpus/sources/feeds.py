@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import capitalised, text
+from ..operators.graph import components
 
 OSV = "id string, aliases array<string>, summary string, details string, severity array<struct<type:string,score:string>>, database_specific struct<severity:string,cvss:string>, affected array<struct<ranges:array<struct<type:string,events:array<struct<introduced:string,fixed:string>>>>>>"
 _CVSS = "array<struct<cvssData:struct<baseSeverity:string>,baseSeverity:string>>"
@@ -37,6 +38,42 @@ def advisories(feed: DataFrame, source: str) -> DataFrame:
     return _row(x, source=F.lit(source), contest=F.lit("ghsa_advisory"), issue_id=F.coalesce("ghsa_id", "cve_id"), severity=feed_severity(F.col("severity")), title=F.substring(F.concat(text("summary"), F.lit(" ["), ids, F.lit("]")), 1, 500), description=F.substring(described, 1, 1500), source_url=text("html_url"))
 
 
+def canonical(feed: DataFrame, source: str, repo: str) -> DataFrame:
+    """Repository advisories as findings: an id and a text are required, critical counts as High, what is no tier as Info."""
+    x = feed.select(F.from_json("value", ADVISORY).alias("a")).select("a.*")
+    blank = lambda c: F.trim(text(c))
+    s = F.lower(blank("severity"))
+    sev = F.when(s.isin("critical", "high"), "High").when(s.isin("medium", "moderate"), "Medium").when(s == "low", "Low").otherwise("Info")
+    x = x.filter((blank("ghsa_id") != "") & ((blank("summary") != "") | (blank("description") != "")))
+    return _row(x, source=F.lit(source), contest=F.lit(repo), issue_id=blank("ghsa_id"), severity=sev, title=blank("summary"), description=blank("description"), source_url=blank("html_url"))
+
+
+def rustsec(feed: DataFrame, source: str) -> DataFrame:
+    """Crate advisories: a RUSTSEC alias before the id, a severity only where the record scores one, the advisory's own page."""
+    x = feed.select(F.from_json("value", OSV).alias("v")).select("v.*").filter("id is not null")
+    best = F.coalesce(_first(F.col("aliases"), lambda v: v.startswith("RUSTSEC-")), F.col("id"))
+    word = F.upper(F.coalesce(F.nullif("database_specific.cvss", F.lit("")), "database_specific.severity", F.lit("")))
+    vector = F.upper(F.array_join(F.transform("severity", lambda s: F.coalesce(s["score"], F.lit(""))), " "))
+    said = F.when(word.isin("CRITICAL", "HIGH"), "High").when(word.isin("MEDIUM", "MODERATE"), "Medium").when(word == "LOW", "Low")
+    scored = F.when(vector.contains("CRITICAL") | vector.contains("HIGH"), "High").when(vector.contains("MEDIUM"), "Medium").when(vector.contains("LOW"), "Low")
+    sev = F.when(F.coalesce(F.size("severity"), F.lit(0)) > 0, F.coalesce(said, scored, F.lit("Unrated"))).otherwise("Unrated")
+    page = F.when(best.startswith("RUSTSEC-"), F.concat(F.lit("https://rustsec.org/advisories/"), best, F.lit(".html"))).otherwise(F.concat(F.lit("https://osv.dev/vulnerability/"), best))
+    title, described = F.trim(text("summary")), F.substring(F.trim(text("details")), 1, 500)
+    x = x.filter((title != "") | (described != ""))
+    return _row(x, source=F.lit(source), contest=F.lit("rustsec"), issue_id=best, severity=sev, title=F.when(title != "", title).otherwise(best), description=described, source_url=page)
+
+
+def go_vulnerabilities(feed: DataFrame, source: str) -> DataFrame:
+    """Go records: CVE before GHSA before GO ids; records that share any id or alias are one (the smallest id stays)."""
+    x = feed.select(F.from_json("value", OSV).alias("v")).select("v.*").filter("id is not null")
+    x = x.withColumn("ids", F.array_distinct(F.concat(F.array("id"), F.coalesce("aliases", F.array().cast("array<string>")))))
+    comp = components(x.select(F.col("id").alias("node"), F.explode("ids").alias("key")))
+    x = x.join(comp.filter("node = comp").select(F.col("node").alias("id")), "id", "left_semi").dropDuplicates(["id"])
+    best = best_id(F.col("id"), F.col("aliases"), ("CVE-", "GHSA-", "GO-"))
+    title = F.trim(text("summary"))
+    return _row(x, source=F.lit(source), contest=F.lit("govulncheck"), issue_id=best, severity=feed_severity(F.col("database_specific.severity")), title=F.when(title != "", title).otherwise(best), description=F.substring(F.trim(text("details")), 1, 500), source_url=F.concat(F.lit("https://pkg.go.dev/vuln/"), F.col("id")))
+
+
 def best_id(id_: Column, aliases: Column, order: tuple[str, ...]) -> Column:
     """The id or alias of the best kind, the kinds in order; else the id itself."""
     every = F.concat(F.array(id_), F.coalesce(aliases, F.array().cast("array<string>")))

@@ -19,12 +19,20 @@ def read_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return df.withColumn("file_name", F.col("_metadata.file_name"))
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def read_csv_folders(spark: SparkSession, folders: list[str]) -> DataFrame:
-    """All CSV files of the folders that exist."""
-    found = sorted(str(p) for d in folders for p in Path(d).glob("*.csv"))
+    """All CSV files of the folders that exist, on any file system that Spark reads."""
+    found: list[str] = []
+    for d in folders:
+        fs, p = _fs(spark, d.rstrip("/") + "/*.csv")
+        found += [s.getPath().toString() for s in fs.globStatus(p) or []]
     if not found:
         raise FileNotFoundError(f"no CSV in {folders}")
-    return read_csv(spark, found)
+    return read_csv(spark, sorted(found))
 
 
 def load_findings(spark: SparkSession, path: str, domain: str | None = None, repo: str | None = None, aliases: bool = True) -> DataFrame:
@@ -42,33 +50,63 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    df.write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def preview(df: DataFrame) -> DataFrame:
     return df.select(*[F.substring("title", 1, 70).alias("title") if c == "title" else c for c in PREVIEW])
 
 
+#: Most values of a column that a manifest lists.
+MANIFEST_VALUES = 10_000
+
+
 def manifest(df: DataFrame, columns: list[str]) -> dict:
-    """Row count, number of values and counts per value of some low-cardinality columns, in one pass."""
-    sets = ", ".join(f"({c})" for c in columns)
-    df.createOrReplaceTempView("_manifest")
-    rows = df.sparkSession.sql(f"SELECT {', '.join(columns)}, grouping_id({', '.join(columns)}) AS g, count(*) AS n FROM _manifest GROUP BY GROUPING SETS ({sets}, ()) ORDER BY n DESC").collect()
+    """Row count, number of values and counts per value of some low-cardinality columns, in one pass.
+
+    A column with more than MANIFEST_VALUES values is an error, as its counts
+    are no summary.
+    """
+    x = df.select(*columns)
+    g = x.groupingSets([*[[c] for c in columns], []], *columns).agg(F.grouping_id().alias("g"), F.count("*").alias("n"))
+    rows = g.limit(len(columns) * MANIFEST_VALUES + 2).collect()
     out: dict = {c: {} for c in columns}
-    for r in rows:
+    for r in sorted(rows, key=lambda r: -r["n"]):
         for i, c in enumerate(columns):
             if r["g"] == (1 << len(columns)) - 1 - (1 << (len(columns) - 1 - i)):
                 out[c][str(r[c])] = r["n"]
+    if any(len(v) > MANIFEST_VALUES for v in out.values()) or len(rows) > len(columns) * MANIFEST_VALUES + 1:
+        raise ValueError(f"a column of {columns} has more than {MANIFEST_VALUES} values")
     out["rows"] = next((r["n"] for r in rows if r["g"] == (1 << len(columns)) - 1), 0)
     return out
 
 
-def write_manifest(found: dict, path: str) -> None:
-    """Written beside and then renamed, so that no reader sees half of it."""
-    p = Path(path)
-    part = p.with_suffix(".part")
-    part.write_text(json.dumps(found, indent=2, ensure_ascii=False))
-    part.replace(p)
+def write_manifest(found: dict, path: str, spark: SparkSession | None = None) -> None:
+    """Written beside and then renamed, so that no reader sees half of it; on any file system where a session is given."""
+    body = json.dumps(found, indent=2, ensure_ascii=False)
+    if spark is None:
+        p = Path(path)
+        part = p.with_suffix(".part")
+        part.write_text(body)
+        part.replace(p)
+        return
+    fs, target = _fs(spark, path)
+    part = spark._jvm.org.apache.hadoop.fs.Path(path + ".part")
+    out = fs.create(part, True)
+    out.write(bytearray(body.encode()))
+    out.close()
+    if fs.exists(target):
+        fs.delete(target, False)
+    fs.rename(part, target)
+
+
+def card(name: str, found: dict) -> str:
+    """A short description of a published table: its name, rows and largest values per column."""
+    lines = [f"# {name}", "", f"{found['rows']} rows."]
+    for c, values in found.items():
+        if isinstance(values, dict):
+            lines += ["", f"## {c}", "", *[f"- {k}: {n}" for k, n in list(values.items())[:20]]]
+    return "\n".join(lines) + "\n"
 
 
 _NAME = re.compile(r"^[A-Za-z0-9][\w.-]*/[A-Za-z0-9][\w.-]*$")

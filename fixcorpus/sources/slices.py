@@ -11,16 +11,24 @@ from ..functions.text import text
 
 # fixed value: what a title must name to be taken where a repository has no labels
 SECURITY_TITLE = r"\b(?:security|vuln(?:erability)?|CVE-\d{4}-\d+|DoS|panic|crash|RCE|memory\s+leak|integer\s+overflow|race\s+condition)\b"
-BUG_LABELS = ["bug", "type:bug", "type: bug", "kind/bug", "C-bug", "Bug", "bug-fix", "defect", "regression"]
-SECURITY_LABELS = ["security", "Security", "C-security", "A-security", "type:security", "sec", "vulnerability"]
 
 
 def existing_labels(wanted: DataFrame, there: DataFrame, skip: list[str] | None = None) -> DataFrame:
-    """(repo, label): wanted labels that a repository has, whatever their case, in its own spelling."""
-    low = [s.lower() for s in skip or []]
-    own = there.groupBy("repo", F.lower("label").alias("low")).agg(F.min("label").alias("label"))
-    x = wanted.select("repo", F.lower("label").alias("low")).distinct().join(own, ["repo", "low"])
-    return (x.filter(~F.col("low").isin(*low)) if low else x).select("repo", "label")
+    """(repo, label): wanted labels that a repository has, whatever their case, once, spelled as first wanted.
+
+    wanted: (repo, label, turn), turn being the order in which labels are wanted.
+    """
+    have = there.select("repo", F.lower("label").alias("low")).distinct()
+    first = wanted.groupBy("repo", F.lower("label").alias("low")).agg(F.min(F.struct("turn", "label")).alias("w"))
+    x = first.join(have, ["repo", "low"], "left_semi").select("repo", F.col("w.label").alias("label"))
+    return x.filter(~F.col("label").isin(*skip)) if skip else x
+
+
+def by_label(changes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Merged changes (repo, number, label, ...) under a label of ``existing_labels``; a number once, ``contest`` the label."""
+    x = changes.filter("merged").withColumn("low", F.lower("label")).join(labels.select("repo", F.lower("label").alias("low"), F.col("label").alias("contest")), ["repo", "low"])
+    w = Window.partitionBy("repo", "number").orderBy("contest")
+    return x.withColumn("rn", F.row_number().over(w)).filter("rn = 1").drop("rn", "low", "label")
 
 
 def by_title(changes: DataFrame, cap: int = 2000) -> DataFrame:
