@@ -50,6 +50,29 @@ def redact_columns(df: DataFrame, columns: tuple[str, ...] = ("title", "descript
     return df.drop(*[f"_may_{c}" for c in columns])
 
 
+def _once(df: DataFrame, new: dict[str, Column]) -> DataFrame:
+    """``withColumns`` whose expressions are computed once per row, not again wherever a later stage uses the column.
+
+    A one-element array is exploded: unlike a projection, that is not merged
+    into the stages above.
+    """
+    rest = [c for c in df.columns if c not in new]
+    x = df.select(*rest, F.explode(F.array(F.struct(*[c.alias(n) for n, c in new.items()]))).alias("_once"))
+    return x.select(*[F.col("_once")[c].alias(c) if c in new else F.col(c) for c in df.columns])
+
+
+def masked(df: DataFrame, columns: tuple[str, ...] = ("title", "description")) -> DataFrame:
+    """The columns masked as by ``redact_columns``, without the kinds."""
+    shaped = {}
+    for c in columns:
+        out = F.col(c)
+        for _, shape in SHAPES:
+            out = F.regexp_replace(out, shape, MASK)
+        shaped[c] = F.when(F.coalesce(F.col(c).rlike(MAY_HOLD), F.lit(False)), out).otherwise(F.col(c))
+    phrase = {c: F.when(F.coalesce(F.col(c).rlike(PHRASE_CONTEXT) & F.col(c).rlike(WORD_RUN), F.lit(False)), F.regexp_replace(c, WORD_RUN, MASK)).otherwise(F.col(c)) for c in columns}
+    return _once(_once(df, shaped), phrase)
+
+
 def tally(df: DataFrame, columns: tuple[str, ...] = ("title", "description")) -> DataFrame:
     """(column_name, kind, n_rows): a row counts once per kind and column."""
     x = redact_columns(df.select(*columns), columns)

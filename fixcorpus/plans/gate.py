@@ -9,7 +9,7 @@ from ..functions import patterns as P
 from ..functions.text import fix_commit, text
 from ..operators import features as X
 from ..operators.dedup import fix_commit_key, keep_first
-from ..operators.redact import redact_columns
+from ..operators.redact import masked
 from ..operators.severity import best_estimates, title_case
 from ..operators.tables import dimension
 
@@ -63,8 +63,8 @@ def judged(vulns: DataFrame, registry: DataFrame, scores: DataFrame | None = Non
     carried along. Signal columns that the findings lack count as blank.
     """
     extra = [F.col(c) if c in vulns.columns else F.lit(None).cast("string").alias(c) for c in X.EXTRA_SIGNALS]
-    vulns = redact_columns(vulns)
-    x = vulns.select(*extra, "id", F.lower(F.trim(text("source_platform"))).alias("source_platform"), "contest", "issue_id", "severity", "title", "description", "source_url", "stride", "cwe_top25", "silent_fix_prob", "scraped_at", *keep)
+    vulns = masked(vulns.select(*extra, "id", "source_platform", "contest", "issue_id", "severity", "title", "description", "source_url", "stride", "cwe_top25", "silent_fix_prob", "scraped_at", *keep))
+    x = vulns.select(*X.EXTRA_SIGNALS, "id", F.lower(F.trim(text("source_platform"))).alias("source_platform"), "contest", "issue_id", "severity", "title", "description", "source_url", "stride", "cwe_top25", "silent_fix_prob", "scraped_at", *keep)
     if scores is not None:
         x = x.join(best_scores(scores), "source_url", "left").withColumn("silent_fix_prob", F.coalesce("scored_prob", "silent_fix_prob"))
     else:
