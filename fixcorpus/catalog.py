@@ -15,7 +15,7 @@ from .functions import text as T
 from .functions import vocabulary as V
 from .operators import analytics, answers, code, features, labels, normalize, redact, refs, registry, severity, targets, xref
 from .operators.dedup import fix_commit_key
-from .operators.tables import scratch_dir
+from .operators.tables import scratch_dir, spread
 from .plans import gate
 from .sources import commits, feeds, io, lines, slices
 
@@ -24,8 +24,13 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
+#: Tables with texts, of which one or two splits are worth spreading.
+TEXTS = ("wallet_vulns", "crawl_rows", "commit_history", "documents")
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(d, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(d, f"{name}.parquet"))
+    return spread(df) if name in TEXTS else df
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
