@@ -13,11 +13,6 @@ def keep_first(df: DataFrame, key: list[Column | str], order: list[Column]) -> D
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def keep_best(df: DataFrame, key: str, value: Column) -> DataFrame:
-    """One struct per key by a maximum, combined before the shuffle, so that a hot key costs one row per partition."""
-    return df.groupBy(key).agg(F.max(value).alias("best"))
-
-
 def fix_commit_key(df: DataFrame) -> DataFrame:
     """Rows of one platform with the same fix commit become one: the row with code, a change's address, a better tier, a longer text.
 

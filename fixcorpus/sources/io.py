@@ -9,7 +9,6 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CSV_COLUMNS = ("source", "contest", "issue_id", "severity", "title", "description", "source_url", "introduced_in_commit")
 PREVIEW = ("id", "source_platform", "severity", "title", "confidence")
 
 
