@@ -7,13 +7,14 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.tables import HOT_ROWS, join_by_group, materialize, release, scratch_dir
+from ..operators.tables import HOT_ROWS, join_by_group, materialize, release, scratch_dir, spread
 
-__all__ = ["HOT_ROWS", "join_by_group", "materialize", "norm", "parts", "read", "release", "scratch_dir"]
+__all__ = ["HOT_ROWS", "join_by_group", "materialize", "norm", "parts", "read", "release", "scratch_dir", "spread"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{table}.parquet"))
+    df = spark.read.parquet(os.path.join(sf_dir, f"{table}.parquet"))
+    return spread(df) if table in ("wallet_vulns", "documents") else df
 
 
 def norm(c: Column) -> Column:

@@ -16,7 +16,6 @@ common word by the many rows in which it stands beside none.
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -190,14 +189,8 @@ def _name_spans(text: str, names: Names) -> Iterator[tuple[int, int, int, bool]]
                 yield words[0][0], words[0][1], -1, False
 
 
-@lru_cache(maxsize=4)
-def _digits(n: int) -> str:
-    return "0" * n
-
-
 _PHONE_FORM = re.compile(r"^(?:\+\d{1,3}[ .-]?(?:\(0?\d+\)[ .-]?)?\d[\d .()/-]{5,}\d|00\d{2}[ (]\(?\d[\d .()/-]{5,}\d|\(\d{3}\) ?\d{3}-\d{4}|0\d{4} \d{6}|0\d{2,4}/\d{4,}(?:-\d+)?)(?:\s?(?:ext\.?|x)\s?\d+)?$")
 _PHONE_SHAPE = re.compile(r"^(?:\+?1[ .-]?)?\(?\d{3}\)?[ .-]\d{3}[.-]\d{4}(?:\s?(?:ext\.?|x)\s?\d+)?$|^\+\d{8,15}$")
-_SSN = re.compile(r"^\d{3}-\d{2}-\d{4}$")
 
 
 def candidates(text: str, names: Names) -> list[tuple[int, int, str, float, bool]]:

@@ -323,7 +323,6 @@ FENCE = re.compile(r"```.*?(?:```|\Z)", re.S)
 HEADING = re.compile(r"^\s{0,3}(?:#{1,6}\s+\S.*|\*\*[^*]+\*\*:?)\s*$")
 SENTENCE = re.compile(r"(?<=[.!?])[\s\"')\]]+|\n+|(?<=\})\s+")
 WORD = re.compile(r"§(?:slot|url|name)§|[^\W\d_][^\W_]*(?:[_'’][^\W_]+)*|\d[\w.]*")
-CAMEL = re.compile(r"[a-z][A-Z]|[A-Za-z]+/[\w./-]+|\w+\.\w{1,5}$")
 
 
 def _slot(m: re.Match[str]) -> str:

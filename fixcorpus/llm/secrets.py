@@ -23,7 +23,6 @@ that happen to contain a value stay as they were.
 
 from __future__ import annotations
 
-import base64
 import binascii
 import json
 import math
@@ -228,17 +227,6 @@ def _entropy(s: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in counts.values()) if n else 0.0
 
 
-def _decoded(value: str) -> str | None:
-    """Printable text behind a base64 value."""
-    if len(value) < 12 or len(value) % 4 or not re.fullmatch(r"[A-Za-z0-9+/]+={0,2}", value):
-        return None
-    try:
-        t = base64.b64decode(value).decode("ascii")
-    except (ValueError, binascii.Error):
-        return None
-    return t if t.isprintable() else None
-
-
 _SYMBOL = re.compile(r"[^\w\s]")
 _CAMEL = re.compile(r"^[a-z]+(?:[A-Z][a-z]+)+(?:V\d)?$")
 

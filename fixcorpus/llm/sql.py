@@ -45,4 +45,28 @@ WITH r AS (
 SELECT id FROM r WHERE n > (SELECT count(*) * 25 // 1000 FROM wallet_vulns)
 """
 
-ORACLE_SQL: dict[str, str] = {"p2_found": P2_FOUND, "p3_found": P3_FOUND, "p3_group_sizes": P3_GROUP_SIZES, "p4_found": P4_FOUND}
+P4_BY_YEAR = """
+WITH c AS (SELECT lower(trim(source_platform)) AS contributor, substr(trim(scraped_at), 1, 4) AS stratum, count(*) AS n FROM wallet_vulns GROUP BY ALL),
+t AS (SELECT *, least((SELECT count(*) * 25 // 1000 FROM wallet_vulns), sum(n) OVER (PARTITION BY contributor)) AS most,
+  coalesce(sum(n) OVER (PARTITION BY contributor ORDER BY n, stratum NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS smaller,
+  count(*) OVER (PARTITION BY contributor) - row_number() OVER (PARTITION BY contributor ORDER BY n, stratum NULLS FIRST) + 1 AS still FROM c),
+f AS (SELECT *, n * still <= most - smaller AS filled FROM t),
+r AS (SELECT *, most - coalesce(sum(n) FILTER (filled) OVER (PARTITION BY contributor), 0) AS rest, count(*) FILTER (NOT filled) OVER (PARTITION BY contributor) AS others FROM f),
+b AS (SELECT *, CASE WHEN filled THEN 0 ELSE rest // others END AS base, CASE WHEN filled THEN 0 ELSE rest % others END AS remainder FROM r),
+s AS (SELECT *, rest - sum(base) OVER (PARTITION BY contributor) AS spare, row_number() OVER (PARTITION BY contributor ORDER BY filled, remainder DESC, stratum NULLS FIRST) AS turn FROM b)
+SELECT contributor, stratum, n AS n_rows, (CASE WHEN filled THEN n ELSE base + (turn <= spare)::INT END)::BIGINT AS n_kept FROM s
+"""
+
+P2_GROUPS = P2_FOUND.split(", n AS (")[0] + """, k AS (SELECT id, md5(string_agg(s, '|' ORDER BY s)) AS key FROM g GROUP BY id),
+m AS (SELECT id, min(id) OVER (PARTITION BY key) AS class_id FROM k), q AS (SELECT g.* FROM g WHERE id IN (SELECT class_id FROM m)),
+n AS (SELECT id, count(*) AS n FROM q GROUP BY id),
+c AS (SELECT x.id AS a, y.id AS b, count(*) AS shared FROM q x JOIN q y ON x.s = y.s AND x.id <> y.id GROUP BY x.id, y.id),
+e AS (SELECT a, b FROM c JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE shared >= 0.5 * (x.n + y.n - shared)),
+r AS (SELECT a AS id, b AS other FROM e UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.other),
+h AS (SELECT class_id, least(class_id, coalesce(min(other), class_id)) AS group_id FROM (SELECT DISTINCT class_id FROM m) LEFT JOIN r ON r.id = class_id GROUP BY class_id),
+l AS (SELECT a, count(*) AS links FROM e GROUP BY a)
+SELECT m.id, m.class_id, h.group_id, coalesce(l.links, 0) AS links FROM m JOIN h USING (class_id) LEFT JOIN l ON l.a = m.class_id
+"""
+P2_GROUPS = P2_GROUPS.replace("WITH t AS", "WITH RECURSIVE t AS", 1)
+
+ORACLE_SQL: dict[str, str] = {"p2_found": P2_FOUND, "p2_groups": P2_GROUPS, "p3_found": P3_FOUND, "p3_group_sizes": P3_GROUP_SIZES, "p4_found": P4_FOUND, "p4_by_year": P4_BY_YEAR}
