@@ -84,18 +84,19 @@ def join_by_group(rows: DataFrame, groups: DataFrame, key: str, count_col: str,
     return in_hot.unionByName(rest.join(cold, key))
 
 
-#: Splits up to which a table is spread over the cores.
-SPREAD_SPLITS = 2
+#: Splits up to which a table is spread, and over how many partitions at most.
+SPREAD_SPLITS, SPREAD_TO = 8, 64
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A table that lies in one or two splits over all cores; a larger one as it lies, so that no large table is shuffled.
+    """A table of few splits over the cores; one of more than SPREAD_SPLITS as it lies, so that no large table is shuffled.
 
-    Results don't depend on it.
+    Small files have few row groups, whatever their splits. Results don't depend
+    on it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     n = df.rdd.getNumPartitions()
-    return df.repartition(cores) if 0 < n <= SPREAD_SPLITS and n < cores else df
+    return df.repartition(min(cores, SPREAD_TO)) if 0 < n <= SPREAD_SPLITS and cores > 1 else df
 
 
 #: A dimension with more rows than this is joined by shuffle instead of being sent to all executors.
